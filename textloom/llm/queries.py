@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sentencepiece_bpe, token_counts
+from . import mixing, pii, quality_rules, sentencepiece_bpe, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -83,12 +83,106 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+#: The production mixture: weights by level, any value not named weighing 1 (10 for domains).
+MIX_WEIGHTS = {
+    "domain": {"web": 30, "books": 35, "news": 20, "forum": 15},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+}
+MIX_DEFAULTS = {"domain": 10, "lang": 1, "source": 1}
+MIX_SEED = 20240
+
+
+def domain_of_source() -> Column:
+    """The domain of a source by its number: 0-4 web, 5-9 books, 10-14 news, others forum."""
+    number = F.expr(r"try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) as int)")
+    names = F.when(number < 5, "web").when(number < 10, "books").when(number < 15, "news")
+    return F.when(number.isNull(), "unknown").otherwise(names.otherwise("forum"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    mixed = mixing.mix(
+        docs,
+        budget=F.expr("all_tokens * 3 div 4"),
+        weights=MIX_WEIGHTS,
+        domain=domain_of_source(),
+        defaults=MIX_DEFAULTS,
+        max_epochs=2,
+        seed=MIX_SEED,
+    )
+    return mixed.select("doc_id", "domain", F.col("lang"), F.col("source"), "n_tokens", "copies")
+
+
+def mix_sql(docs: str, budget: str, max_epochs: int) -> str:
+    """DuckDB SQL of the mixture over a relation ``docs`` (doc_id, text, lang, source)."""
+
+    def pour(name: str, above: str, keys: list[str], level: str, weight: str) -> str:
+        every, parent = ", ".join([*keys, level]), ", ".join(keys)
+        by = f"PARTITION BY {parent} " if keys else ""
+        join = f"JOIN {above} USING ({parent})" if keys else f"CROSS JOIN {above}"
+        return f"""
+{name}_n AS (SELECT {every}, capacity, budget, {weight} AS w FROM
+  (SELECT {every}, sum(tokens * {max_epochs})::HUGEINT AS capacity FROM leaves GROUP BY {every}) {join}),
+{name}_o AS (SELECT *, budget - coalesce(sum(capacity) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS lft,
+    sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest, row_number() OVER o AS rk
+  FROM {name}_n WINDOW o AS ({by}ORDER BY capacity::DOUBLE / w::DOUBLE, {level})),
+{name}_p AS (SELECT *, first_value(CASE WHEN capacity * rest >= w * lft THEN lft END IGNORE NULLS) OVER f AS l0,
+    first_value(CASE WHEN capacity * rest >= w * lft THEN rest END IGNORE NULLS) OVER f AS r0
+  FROM {name}_o WINDOW f AS ({by}ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+{name} AS (SELECT {every}, greatest(CASE WHEN l0 IS NULL THEN capacity ELSE least(capacity, (w * l0)::HUGEINT // r0::HUGEINT) END, 0)::HUGEINT AS budget FROM {name}_p)"""
+
+    def case(level: str) -> str:
+        arms = " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS.get(level, {}).items())
+        other = MIX_DEFAULTS[level]
+        return f"(CASE {level} {arms} ELSE {other} END)::HUGEINT" if arms else f"{other}::HUGEINT"
+
+    number = "try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT)"
+    return rf"""
+d0 AS (SELECT doc_id, source, coalesce(lang, 'unknown') AS lang, {number} AS num,
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens FROM {docs}),
+d AS (SELECT doc_id, lang, coalesce(source, 'unknown') AS source, n_tokens,
+    CASE WHEN num IS NULL THEN 'unknown' WHEN num < 5 THEN 'web' WHEN num < 10 THEN 'books' WHEN num < 15 THEN 'news' ELSE 'forum' END AS domain FROM d0),
+leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens FROM d GROUP BY ALL),
+whole AS (SELECT least(sum(tokens) * {max_epochs}, {budget})::HUGEINT AS budget FROM (SELECT *, sum(tokens) OVER () AS all_tokens FROM leaves) GROUP BY all_tokens),
+{pour("b1", "whole", [], "domain", case("domain"))},
+{pour("b2", "b1", ["domain"], "lang", case("lang"))},
+{pour("b3", "b2", ["domain", "lang"], "source", case("source"))},
+plan AS (SELECT leaves.*, budget // greatest(tokens, 1) AS epochs, budget % greatest(tokens, 1) AS prefix
+  FROM leaves JOIN b3 USING (domain, lang, source) WHERE tokens > 0),
+ordered AS (SELECT d.*, epochs, prefix, md5('{MIX_SEED}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')) AS h FROM d JOIN plan USING (domain, lang, source)),
+running AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, coalesce(doc_id::VARCHAR, '')
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM ordered),
+mixed AS (SELECT doc_id, domain, lang, source, n_tokens, (epochs + CASE WHEN upto <= prefix THEN 1 ELSE 0 END)::INT AS copies FROM running)"""
+
+
+OP7_SQL = f"""WITH {mix_sql("documents", "(all_tokens * 3) // 4", 2)}
+SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, copies FROM mixed WHERE copies > 0"""
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    text = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(text(base), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op7_mixing": op7_mixing,
+    "op8_personal_data": op8_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
+    "op7_mixing": OP7_SQL,
 }
