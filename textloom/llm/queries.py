@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_rules, sentencepiece_bpe, token_counts
+from . import mixing, pii, quality_rules, sentencepiece_bpe, sharding, token_counts
+from .common import shared_dir
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Target file size and number of arrivals of the sharding query.
+SHARD_TARGET = 128 << 20
+SHARD_ARRIVALS = 3
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends the documents as arrivals, compacting after each, and reads the last version back."""
+    docs = table(spark, sf_dir, "documents")
+    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/shards/{uuid.uuid4().hex}", SHARD_TARGET)
+    for arrival in range(SHARD_ARRIVALS):
+        store.append(docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SHARD_ARRIVALS)) == arrival))
+        while store.compact() is not None:
+            pass
+        store.vacuum()
+    return store.read().select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"))
+
+
+OP1_SQL = "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FROM documents"
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = vocabulary("piece_bpe_32k.model")
@@ -139,7 +161,8 @@ def mix_sql(docs: str, budget: str, max_epochs: int) -> str:
     number = "try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT)"
     return rf"""
 d0 AS (SELECT doc_id, source, coalesce(lang, 'unknown') AS lang, {number} AS num,
-    len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS n_tokens FROM {docs}),
+    len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS n_tokens FROM {docs}),
 d AS (SELECT doc_id, lang, coalesce(source, 'unknown') AS source, n_tokens,
     CASE WHEN num IS NULL THEN 'unknown' WHEN num < 5 THEN 'web' WHEN num < 10 THEN 'books' WHEN num < 15 THEN 'news' ELSE 'forum' END AS domain FROM d0),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens FROM d GROUP BY ALL),
@@ -175,6 +198,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
@@ -183,6 +207,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op7_mixing": OP7_SQL,
 }
