@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_rules, sentencepiece_bpe, sharding, token_counts
+from . import embedding_join, mixing, pii, quality_rules, sentencepiece_bpe, sharding, token_counts
 from .common import shared_dir
 
 
@@ -105,6 +105,23 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+def op5_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.embedding_groups(table(spark, sf_dir, "embeddings"))
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM comp LEFT JOIN n USING (vec_id)
+"""
+
+
 #: The production mixture: weights by level, any value not named weighing 1 (10 for domains).
 MIX_WEIGHTS = {
     "domain": {"web": 30, "books": 35, "news": 20, "forum": 15},
@@ -202,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op5_embedding_groups": op5_embedding_groups,
     "op7_mixing": op7_mixing,
     "op8_personal_data": op8_personal_data,
 }
@@ -209,5 +227,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
+    "op5_embedding_groups": OP5_SQL,
     "op7_mixing": OP7_SQL,
 }

@@ -171,8 +171,8 @@ class ShardStore:
     def compact(self) -> int | None:
         """Merges one round of runs and commits; None if there is nothing to merge.
 
-    Every run becomes one file: rows are dealt by run, a task holds a run
-        of at most the target size, and Spark sorts by run with spilling.
+        Every run becomes one file: a row's partition is its run, and a run has
+        at most the target size.
         """
         runs = self.plan()
         if not runs:
