@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_join, mixing, pii, quality_rules, sentencepiece_bpe, sharding, token_counts
+from . import embedding_join, mixing, pii, quality_gam, quality_rules, sentencepiece_bpe, sharding, token_counts
 from .common import shared_dir
 
 
@@ -122,6 +122,13 @@ SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = c
 """
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_gam.fit_quality(docs, table(spark, sf_dir, "labels"))
+    scored = quality_gam.score_quality(docs, model)
+    return scored.select("doc_id", quality_gam.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 #: The production mixture: weights by level, any value not named weighing 1 (10 for domains).
 MIX_WEIGHTS = {
     "domain": {"web": 30, "books": 35, "news": 20, "forum": 15},
@@ -220,6 +227,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_embedding_groups": op5_embedding_groups,
+    "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_personal_data": op8_personal_data,
 }
