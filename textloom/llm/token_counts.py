@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +95,7 @@ def _count_batches(path: str, chunk: int) -> Callable[[Iterator[pa.RecordBatch]]
             for at in range(0, batch.num_rows, chunk):
                 part = batch.slice(at, chunk)
                 *keys, texts = part.columns
-                sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).cast(pa.int64())
+                sizes = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
                 counts = np.array(counter.count(texts.to_pylist()), np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*keys, sizes, pa.array(counts)], names=[*batch.schema.names[:-1], "n_bytes", "n_tokens"]
