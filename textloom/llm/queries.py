@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_join, minhash, mixing, pii, quality_gam, quality_rules, sentencepiece_bpe, sharding, token_counts
+from . import embedding_join, minhash, mixing, pii, quality_gam, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, token_counts
 from .common import shared_dir
 
 
@@ -221,6 +221,10 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -234,6 +238,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_mixing": op7_mixing,
     "op8_personal_data": op8_personal_data,
+    "op9_repeated_passages": op9_repeated_passages,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
