@@ -15,7 +15,7 @@ columns and the columns asked for in ``keys``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -124,22 +124,27 @@ def measure(text: str | None) -> tuple[int, ...]:
     )
 
 
-def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        columns = list(batch.columns)
-        rows = [measure(t) for t in columns.pop().to_pylist()]
-        values = np.array(rows, np.int64).reshape(len(rows), len(MEASURES))
-        yield pa.RecordBatch.from_arrays(
-            columns + [pa.array(values[:, i]) for i in range(len(MEASURES))],
-            names=[*batch.schema.names[:-1], *MEASURES],
-        )
+def _measure_batches(n_keys: int, at: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Measures column ``at``; the first ``n_keys`` columns go on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [measure(t) for t in batch.column(at).to_pylist()]
+            values = np.array(rows, np.int64).reshape(len(rows), len(MEASURES))
+            yield pa.RecordBatch.from_arrays(
+                batch.columns[:n_keys] + [pa.array(values[:, i]) for i in range(len(MEASURES))],
+                names=[*batch.schema.names[:n_keys], *MEASURES],
+            )
+
+    return run
 
 
 def rule_ledger(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keys``, the measurements (long) and ``failed_bits`` (long) of every row."""
-    source = docs.select(*keys, F.col(text).cast("string").alias("__text"))
+    whole = text in keys and docs.schema[text].dataType == T.StringType()
+    source = docs.select(*keys) if whole else docs.select(*keys, F.col(text).cast("string").alias("__text"))
     fields = [source.schema[k] for k in keys] + [T.StructField(m, T.LongType(), False) for m in MEASURES]
-    measured = source.mapInArrow(_measure_batches, T.StructType(fields))
+    measured = source.mapInArrow(_measure_batches(len(keys), keys.index(text) if whole else len(keys)), T.StructType(fields))
     bits = sum((F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(RULES)), F.lit(0).cast("long"))
     return measured.withColumn("failed_bits", bits)
 
@@ -154,6 +159,14 @@ def apply_policy(ledger: DataFrame, version: str = CURRENT_POLICY) -> DataFrame:
     return ledger.withColumn("kept", ~fails(POLICIES[version])).withColumn("policy", F.lit(version))
 
 
+def passing_rows(docs: DataFrame, text: str = "text", version: str = CURRENT_POLICY) -> DataFrame:
+    """The rows that a policy keeps, all their columns unchanged, whatever their names."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    judged = apply_policy(rule_ledger(plain, f"c{names.index(text)}", tuple(plain.columns)), version)
+    return judged.where("kept").select(*plain.columns).toDF(*names)
+
+
 def ablation(ledger: DataFrame, version: str = CURRENT_POLICY) -> DataFrame:
     """For each rule of a policy: rows it fails, rows only it rejects, rows kept without it.
 
