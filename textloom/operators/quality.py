@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.text import has_page_suffix, let, lines, normalize_whitespace, squeeze
 
@@ -49,7 +50,7 @@ MIN_BLOCK, MIN_ADJACENT_BLOCK, MIN_LINE = 160, 120, 60
 MIN_RUN_CHARS, MIN_RUN_LINES, REPEATED_SHARE = 240, 3, 0.18
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_marks(text: pd.Series) -> pd.Series:
     """Compatibility form without combining marks, case folded; Spark has no built-in for it."""
 
@@ -104,7 +105,7 @@ def invalid_reason(title: Column | str, content: Column | str, least: int = MIN_
     return F.when(bad, F.concat(F.lit("invalid_title:"), name)).when(short, F.concat(F.lit("content_too_short:"), F.length(text).cast("string"))).otherwise(phrase)
 
 
-@F.pandas_udf("struct<n_lines:int,n_chars:int>")
+@F.pandas_udf(T.StructType([T.StructField("n_lines", T.IntegerType()), T.StructField("n_chars", T.IntegerType())]))
 def longest_repeated_run(hashes: pd.Series, sizes: pd.Series) -> pd.DataFrame:
     """Longest run of lines that occurs twice (then the most characters); 0 stands for a line that ends runs.
 
