@@ -1,0 +1,221 @@
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from textloom.llm import mixing, pii, quality_gam, quality_rules, queries, sharding
+
+
+@pytest.fixture(scope="module")
+def duck(sf_dir):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "labels"):
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_is_its_sql(spark, duck, sf_dir, name):
+    got = queries.QUERIES[name](spark, sf_dir)
+    columns = sorted(got.columns)
+    want = duck.execute(queries.ORACLE_SQL[name])
+    order = [c[0] for c in want.description]
+    assert sorted(order) == columns
+    rows = sorted((tuple(r[order.index(c)] for c in columns) for r in want.fetchall()), key=str)
+    assert sorted((tuple(r[c] for c in columns) for r in got.collect()), key=str) == rows
+
+
+# ------------------------------------------------------------ shards
+
+
+def store(spark, tmp_path, **options):
+    return sharding.ShardStore(spark, str(tmp_path / "store"), **({"target_bytes": 40_000, "smallest": 1_000, "fanout": 2} | options))
+
+
+def test_compaction_keeps_rows_and_old_versions(spark, tmp_path):
+    s = store(spark, tmp_path)
+    rows = lambda a, b: spark.range(a, b).select(F.col("id"), F.repeat(F.md5(F.col("id").cast("string")), 8).alias("path")).coalesce(1)
+    for k in range(6):
+        s.append(rows(k * 50, k * 50 + 50))
+    before = s.versions()[-1]
+    while s.compact() is not None:
+        pass
+    assert s.versions()[-1] > before
+    assert s.manifest().count() < s.manifest(before).count()
+    for v in (before, None):
+        assert sorted(r["id"] for r in s.read(v).select("id").collect()) == list(range(300))
+    assert s.manifest().agg(F.max("n_bytes")).first()[0] <= 2 * s.target_bytes
+    assert s.manifest().agg(F.sum("n_rows")).first()[0] == 300
+    assert s.vacuum() > 0
+    assert s.read().count() == 300
+
+
+def test_a_second_writer_loses_and_an_empty_arrival_commits(spark, tmp_path):
+    s = store(spark, tmp_path)
+    s.append(spark.createDataFrame([(None, ""), (1, None), (1, None)], "tier long, n_rows string"))
+    with pytest.raises(sharding.CommitConflict):
+        s._commit(s.versions()[-1], "other")
+    s.append(spark.createDataFrame([], "tier long, n_rows string"))
+    assert len(s.versions()) == 2
+    assert s.read().count() == 3
+
+
+# ------------------------------------------------------------ rules
+
+
+def test_rules_of_odd_rows(spark):
+    docs = spark.createDataFrame([(1, None, 3), (1, None, 3), (2, "", 4), (None, "word " * 60, 5)], "doc_id long, text string, n_words int")
+    got = quality_rules.apply_policy(quality_rules.rule_ledger(docs)).collect()
+    assert sorted(r["n_words"] for r in got) == [0, 0, 0, 60] and not any(r["kept"] for r in got)
+    kept = quality_rules.passing_rows(docs, version="v1")
+    assert kept.columns == docs.columns and kept.count() == 0
+    assert quality_rules.rule_ledger(docs.limit(0)).count() == 0
+
+
+def test_windows_found_twice():
+    assert quality_rules.repeated_window_words("a b c d a b c".split()) == 6
+    assert quality_rules.repeated_window_words("a a a a".split()) == 4
+    assert quality_rules.repeated_window_words("a b c".split()) == 0
+
+
+def test_ablation_counts_each_rule_by_itself(spark):
+    bits = [0, 1, 1, 2, 3, 128]
+    ledger = spark.createDataFrame([(b,) for b in bits], "failed_bits long")
+    got = {r["rule"]: (r["n_failed"], r["n_only_this_rule"], r["n_kept_without"]) for r in quality_rules.ablation(ledger, "v1").collect()}
+    assert got == {"few_words": (3, 2, 4), "repeated_windows": (2, 1, 3)}
+
+
+# ------------------------------------------------------------ quality model
+
+
+def test_held_out_documents_are_told_apart(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = queries.op6_quality(spark, d)
+    assert got.count() == docs.count()
+    rows = got.join(labels, "doc_id").where("held_out").select("score", "predicted", "quality").collect()
+    good = np.array([r["score"] for r in rows if r["quality"] == 1])
+    bad = np.array([r["score"] for r in rows if r["quality"] == 0])
+    assert (good[:, None] > bad[None]).mean() > 0.85
+    assert np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.85
+
+
+def test_fold_is_by_checksum(spark):
+    rows = spark.range(200).select(F.col("id").alias("doc_id"), quality_gam.held_out().alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+
+
+def test_model_of_odd_tables(spark):
+    docs = spark.createDataFrame([(1, None), (1, None), (2, ""), (None, "x y")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    scores = quality_gam.score_quality(docs, quality_gam.fit_quality(docs, none)).collect()
+    assert [r["score"] for r in scores] == [0.5] * 4
+    one = spark.createDataFrame([(1, 1), (2, None), (9, 0)], "doc_id long, quality int")
+    assert quality_gam.score_quality(docs, quality_gam.fit_quality(docs, one)).count() == 4
+
+
+def test_tables_learn_an_interaction():
+    rng = np.random.default_rng(1)
+    x = rng.random((3000, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    model = quality_gam.train(x, y)
+    assert (0, 1) in model.pairs
+    assert ((model.score(x) > 0.5) == y).mean() > 0.9
+
+
+# ------------------------------------------------------------ mixing
+
+
+def test_shortages_go_to_siblings_before_ancestors(spark):
+    totals = spark.createDataFrame([("a", "x", "s", 10), ("a", "y", "s", 1000), ("b", "x", "s", 1000)], "domain string, lang string, source string, tokens long")
+    got = mixing.leaf_budgets(totals, 200, {}, {"domain": 1, "lang": 1, "source": 1}, 1)
+    assert {(r["domain"], r["lang"]): r["budget"] for r in got.collect()} == {("a", "x"): 10, ("a", "y"): 90, ("b", "x"): 100}
+    got = mixing.leaf_budgets(totals.where("lang = 'x'"), 200, {}, {"domain": 1, "lang": 1, "source": 1}, 1)
+    assert {r["domain"]: r["budget"] for r in got.collect()} == {"a": 10, "b": 190}
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [(1, None, None, None), (2, "a b c", "en", None), (2, "a b c", "en", None), (None, "d", None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("copies", F.lit("clash"))
+    mix = lambda d: mixing.mix(d, F.expr("all_tokens"), {}, F.lit("web"))
+    got = mix(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"], r["copies"]) for r in got) == [(0, 1, 1), (2, 3, 1), (2, 3, 1)]
+    assert mix(docs.limit(0)).count() == 0
+
+
+def test_epochs_repeat_documents(spark):
+    docs = spark.createDataFrame([(i, "a b", "en", "s") for i in range(10)], "doc_id long, text string, lang string, source string")
+    got = mixing.mix(docs, 30, {}, F.lit("web"), max_epochs=2)
+    assert got.agg(F.sum("copies")).first()[0] == 15
+    assert mixing.repeat_copies(got).count() == 15
+
+
+# ------------------------------------------------------------ personal data
+
+
+def plain_base(text):
+    out = []
+    for k, p in enumerate((pii.EMAIL, pii.IP, pii.CARD, pii.PHONE)):
+        for m in re.finditer(p.pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            ok = (True, all(int(x) <= 255 for x in m[0].split(".")) if k == 1 else 0, 12 <= len(digits) <= 19 and pii.luhn(digits), 9 <= len(digits) <= 15)[k]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+PII_TEXTS = [
+    "",
+    "mail a.b@c.de, a@@b.c x@y @z.q a@b.c@d.e.f",
+    "ip 1.2.3.4 999.1.1.1 1.2.3.4.5.6.7.8 0001.02.3.255",
+    "card 4539 1488 0343 6467 or 4539-1488-0343-6467, 1234567890123456 4539 1488 0343 64670",
+    "call +49 30 1234567 or +1 (415) 555-0100. +12",
+    "日本 a@b.co 😀 +49 30 1234567",
+]
+
+
+@pytest.mark.parametrize("text", PII_TEXTS)
+def test_base_spans_are_those_of_the_patterns(text):
+    assert pii.base_spans(text) == plain_base(text)
+
+
+def test_base_spans_of_documents(spark, sf_dir):
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert all(pii.base_spans(t) == plain_base(t) for t in texts)
+
+
+def test_field_labels_its_table_and_keeps_base_spans():
+    field = pii.default_field()
+    table = pii.training_table(120, seed=99)
+    right = total = 0
+    for tokens, labels in table:
+        ids, lengths = pii.pad([field.index(tokens)])
+        got = pii.viterbi(field, ids, lengths)[0][: len(tokens)]
+        right += int((got == labels).sum())
+        total += len(labels)
+    assert right / total > 0.97
+    for text in PII_TEXTS:
+        (base, every), = pii.scan([text], field)
+        assert set(base) <= set(every)
+
+
+def test_windows_decode_as_the_whole_text():
+    field = pii.default_field()
+    text = "say (415) 555-0100 to them , key = " + "0123456789abcdef" * 2 + " and then 12 of 30 go"
+    tokens = [(m.start(), m.end()) for m in re.finditer(r"\S+", text)]
+    ids, lengths = pii.pad([field.index([text[a:b] for a, b in tokens])])
+    whole = pii.viterbi(field, ids, lengths)[0]
+    by_place = {a: int(x) for (a, _), x in zip(tokens, whole)}
+    for window in pii.windows(text):
+        ids, lengths = pii.pad([field.index([text[a:b] for a, b in window])])
+        assert [by_place[a] for a, _ in window] == pii.viterbi(field, ids, lengths)[0].tolist()
+
+
+def test_redaction_and_odd_rows(spark):
+    docs = spark.createDataFrame([(1, "x a@b.co y", 1), (2, None, 2), (2, None, 2), (None, "", 3)], "doc_id long, text string, spans int")
+    got = {(r["doc_id"], r["redacted"]) for r in pii.find_personal_data(docs, redacted=True).collect()}
+    assert got == {(1, "x <email> y"), (2, None), (None, "")}
+    assert pii.find_personal_data(docs.limit(0)).count() == 0
