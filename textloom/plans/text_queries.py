@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import text as tx
+from textloom.functions import titles
 from textloom.operators import quality, repair, sections
 from textloom.sources import files
 
@@ -507,3 +508,10 @@ def layered_map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.setting_rows(spark, [{"a": "1", "b": "2"}, {"b": "3", "c": "4"}, {"c": "5", "d": "6"}])
 
 
+
+
+@query("clean_titles")
+def clean_title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """titles without clauses that repeat or break others."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("title"))
+    return rows.select("doc_id", titles.clean_titles("title").alias("title"))
