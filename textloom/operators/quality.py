@@ -79,13 +79,12 @@ def watermark(text: Column | str, patterns: tuple[str, ...] = WATERMARKS) -> Col
 def metadata_noise(text: Column | str, patterns: tuple[str, ...] = METADATA_LINES, scan: int = METADATA_SCAN) -> Column:
     """The pattern of the first metadata line among the first non-empty lines; null without one."""
     head = F.slice(F.filter(F.transform(lines(text), normalize_whitespace), lambda x: x != ""), 1, scan)
-    which = F.lit(None).cast("string")
-    name = lambda x: which_of(x, patterns)
-    found = F.filter(F.transform(head, name), lambda x: x.isNotNull())
-    return F.when(F.size(found) > 0, F.get(found, F.lit(0))).otherwise(which)
+    found = F.filter(F.transform(head, lambda x: which_of(x, patterns)), lambda x: x.isNotNull())
+    return F.get(found, F.lit(0))
 
 
 def which_of(text: Column, patterns: tuple[str, ...]) -> Column:
+    """The first of the patterns that a text holds; null without one."""
     found = F.lit(None).cast("string")
     for p in reversed(patterns):
         found = F.when(text.rlike(f"(?iud){p}"), F.lit(p)).otherwise(found)

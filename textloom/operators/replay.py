@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MINUTE, DAY = 60.0, 86_400.0
@@ -126,7 +127,8 @@ def admission(events: DataFrame, keys: Sequence[str], limits: Limits, order: str
 
     Waits are 0.25 s at least (1 s if the day is used up) and have 0.05 s of slack.
     """
-    fields = [requests_field for requests_field in (events.schema[k] for k in keys)] + [
+    fields = [
+        *(events.schema[k] for k in keys),
         events.schema[ident],
         T.StructField("admitted", T.BooleanType()),
         T.StructField("wait", T.DoubleType()),
@@ -173,9 +175,6 @@ def throttled(events: DataFrame, keys: Sequence[str], seconds: float, order: str
 
 def blacklist(results: DataFrame, proxy: str, at: str, timed_out: str, strikes: int, seconds: float) -> DataFrame:
     """Time-outs in a row of each proxy: every ``strikes``-th bars it for ``seconds``; a success starts again."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
     order = Window.partitionBy(proxy).orderBy(at)
     island = F.sum(F.when(F.col(timed_out), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0))
     counted = results.withColumn("island", island).where(F.col(timed_out))

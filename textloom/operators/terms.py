@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from .relational import majority
 
-#: Sides up to this many rows may be broadcast; larger ones join on a shared key.
-BROADCAST_TERMS = 20_000
-
-
 def longest_first(terms: DataFrame, keys: Sequence[str] = ()) -> Column:
     """The terms of a group as an array of struct(src, dst), longest first, then alphabetical."""
     return F.transform(

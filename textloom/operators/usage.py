@@ -50,11 +50,17 @@ def fallback_metric(counts: DataFrame, keys: Sequence[str], metric: str, order:
     return counts.withColumn("rank", rank).where("rank > 0").withColumn("place", place).where("place = 1").drop("rank", "place")
 
 
-def bursts(events: DataFrame, at: str, member: str, seconds: int, least: int, least_members: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Events that end a window with enough events of enough different members."""
-    window = Window.partitionBy(*keys).orderBy(at).rangeBetween(-seconds, 0)
-    counted = events.withColumn("n_events", F.count(F.lit(1)).over(window)).withColumn("n_members", F.size(F.collect_set(member).over(window)))
-    return counted.where((F.col("n_events") >= least) & (F.col("n_members") >= least_members))
+def bursts(events: DataFrame, at: str, member: str, seconds: int, least: int, least_members: int, block: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Events that end a window with enough events of enough different members.
+
+    Time is cut into blocks of ``block`` (``seconds`` at least), which are
+    counted apart; an event near the end of a block is also seen by the next.
+    """
+    own = F.floor(F.col(at) / block)
+    seen = events.withColumn("block", F.explode(F.array_distinct(F.array(own, F.floor((F.col(at) + seconds) / block)))))
+    window = Window.partitionBy(*keys, "block").orderBy(at).rangeBetween(-seconds, 0)
+    counted = seen.withColumn("n_events", F.count(F.lit(1)).over(window)).withColumn("n_members", F.size(F.collect_set(member).over(window)))
+    return counted.where((F.col("block") == own) & (F.col("n_events") >= least) & (F.col("n_members") >= least_members)).drop("block")
 
 
 def escalation(hits: DataFrame, keys: Sequence[str], at: str, first: float = 8.0, most: float = 180.0) -> DataFrame:

@@ -79,12 +79,12 @@ def usage_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "burst_detect",
-    f"WITH {_EV}, e AS (SELECT * FROM ev WHERE event_type = 'error') SELECT event_id, n_events, n_members::INT AS n_members FROM (SELECT a.event_id, count(*) AS n_events, count(DISTINCT b.user_id) AS n_members FROM e a JOIN e b ON b.us BETWEEN a.us - {2400 * SECOND} AND a.us AND b.us // {86_400 * SECOND} = a.us // {86_400 * SECOND} GROUP BY a.event_id) WHERE n_events >= 6 AND n_members >= 3",
+    f"WITH {_EV}, e AS (SELECT * FROM ev WHERE event_type = 'error') SELECT event_id, n_events, n_members::INT AS n_members FROM (SELECT a.event_id, count(*) AS n_events, count(DISTINCT b.user_id) AS n_members FROM e a JOIN e b ON b.us BETWEEN a.us - {2400 * SECOND} AND a.us GROUP BY a.event_id) WHERE n_events >= 6 AND n_members >= 3",
 )
 def burst_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5: errors that end a burst over several keys, day by day."""
-    errors = quota_events(spark, sf_dir).where("event_type = 'error'").withColumn("day", F.floor(F.col("us") / (86_400 * SECOND)))
-    return usage.bursts(errors, "us", "user_id", 2400 * SECOND, 6, 3, ["day"]).select("event_id", "n_events", "n_members")
+    """T5: errors that end a burst over several keys."""
+    errors = quota_events(spark, sf_dir).where("event_type = 'error'")
+    return usage.bursts(errors, "us", "user_id", 2400 * SECOND, 6, 3, 21_600 * SECOND).select("event_id", "n_events", "n_members")
 
 
 @query("ban_escalation", f"WITH {_EV} SELECT event_id, least(180.0, 8.0 * pow(2, least(row_number() OVER (PARTITION BY user_id ORDER BY us), 20) - 1))::DOUBLE AS ban_seconds FROM ev WHERE event_type = 'error'")
