@@ -513,5 +513,5 @@ def layered_map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("clean_titles")
 def clean_title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """titles without clauses that repeat or break others."""
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 120).alias("title"))
-    return rows.select("doc_id", titles.clean_titles("title").alias("title"))
+    title = F.concat("p_name", F.lit(". "), "p_type", F.lit(". "), "p_name", F.lit("."))
+    return table(spark, sf_dir, "part").select("p_partkey", titles.clean_titles(title).alias("title"))
