@@ -143,15 +143,18 @@ def brute_near(texts, weights):
     return groups_of(edges, keys)
 
 
-def test_near_groups(spark):
+@pytest.mark.parametrize("leaders, edits, block", [(3, 3, 1024), (1, 5, 4)])
+def test_near_groups(spark, monkeypatch, leaders, edits, block):
+    monkeypatch.setattr(minhash, "LEADERS", leaders)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
-    base = [[word() for _ in range(rng.randrange(60, 200))] for _ in range(30)]
+    base = [[word() for _ in range(rng.randrange(60, 200))] for _ in range(20)]
     texts, n = {}, 0
     for b in base:
-        for _ in range(rng.randrange(1, 5)):
+        for _ in range(rng.randrange(1, 3 * edits)):
             w = list(b)
-            for _ in range(rng.randrange(0, 3)):
+            for _ in range(rng.randrange(0, edits)):
                 w[rng.randrange(len(w))] = word()
             texts[n] = " ".join(w)
             n += 1
