@@ -319,7 +319,8 @@ def _remove_batches(kept: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 def repeated_passages(rows: DataFrame) -> DataFrame:
     """``rid, key, lo, end``: byte spans of repeats, from ``rid, key, text`` (binary)."""
     leads = rows.select("rid", "text").mapInArrow(_lead_batches, "rid long, place int, lead long")
-    twice = leads.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lead")
+    # Written out, so that the join reads two plain exchanges, which adaptive execution can split at a hot lead.
+    twice = materialize(leads.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lead"))
     places = leads.join(twice, "lead").groupBy("rid").agg(F.collect_list("place").alias("places"))
     suffixes = materialize(rows.join(places, "rid").select("rid", "key", "text", "places").mapInArrow(_suffix_batches, _SUFFIXES))
     found = suffixes.where("body is null").select("rid", "key", "lo", "end")
