@@ -164,6 +164,41 @@ def test_near_groups(spark, monkeypatch, leaders, edits, block):
     assert got == brute_near(texts, minhash.common_shingles(rows))
 
 
+@pytest.mark.parametrize("similarity, edit", [(0.8, 17), (0.7, 28)])
+def test_links_between_components_of_one_bucket(spark, similarity, edit):
+    """Pairs just above the threshold among many texts that share bands and are no links."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    core, texts = [word() for _ in range(200)], []
+    for _ in range(60):
+        a = list(core)
+        a[10:50] = [word() for _ in range(40)]
+        b = list(a)
+        at = rng.randrange(60, 160)
+        b[at : at + edit] = [word() for _ in range(edit)]
+        texts += [" ".join(a), " ".join(b)]
+    sets = [minhash.shingles(t.split()) for t in texts]
+    values = minhash.Sampler()(np.concatenate([h for h, _ in sets]), np.log(np.concatenate([n for _, n in sets])), np.cumsum([0, *(len(h) for h, _ in sets)])[:-1])
+    bands = values.reshape(len(texts), minhash.BANDS, minhash.ROWS)
+    share = lambda a, b: (bands[a] == bands[b]).all(1).any()
+    edges = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if share(a, b) and minhash.weighted_jaccard(sets[a], sets[b]) >= similarity]
+    assert 55 <= len(edges) <= 60
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(rows, similarity, weights=minhash.Weights()).collect()}
+    assert got == groups_of(edges, range(len(texts)))
+
+
+def test_bound_is_never_below_what_is_shared():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        h = np.sort(rng.integers(0, 1 << 62, 900, dtype=np.uint64))
+        sets = [(h[k], rng.random(int(k.sum())) * 5) for k in (rng.random((2, 900)) < 0.8)]
+        cells = [np.bincount((x >> np.uint64(40)).astype(np.int64) % minhash.CELLS, w, minhash.CELLS).astype(np.float32) for x, w in sets]
+        _, i, j = np.intersect1d(sets[0][0], sets[1][0], return_indices=True)
+        shared = np.minimum(sets[0][1][i], sets[1][1][j]).sum()
+        assert minhash.most_shared(cells[0], cells[1][None])[0] * (1 + minhash.SLACK) >= shared
+
+
 def test_near_groups_of_odd_rows(spark):
     rows = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, None)], "doc_id long, text string")
     got = [(r["doc_id"], r["class_id"], r["kept"]) for r in minhash.near_duplicates(rows).collect()]

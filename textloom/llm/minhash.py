@@ -15,10 +15,10 @@ Each document gets ``BANDS * ROWS`` samples whose collision probability is the
 weighted Jaccard similarity; documents that agree in all samples of a band are
 candidates.  Equal word sequences are collapsed first.  In a bucket every
 member is verified against a few members chosen by hash; after components of
-those links are known, only pairs from different components are left, and they
-are tested in blocks, on their samples and then on their texts.  Verification
-is the weighted Jaccard similarity of the whole texts.  Groups are the
-components of verified links.
+those links are known, only pairs from different components are left, and every one
+of them is tested in blocks, on bounds that no link can fail and then on the
+texts.  Verification is the weighted Jaccard similarity of the whole texts.
+Groups are the components of verified links.
 
 Defined results: null and empty texts, and texts without a word, are groups of
 their own; a text of fewer than five words is one shingle of all its words;
@@ -48,10 +48,11 @@ SIMILARITY = 0.8
 #: Share of all documents from which on a shingle is common, and the damping of its idf.
 COMMON = 0.02
 IDF_POWER = 0.25
-#: Agreeing samples (of BANDS * ROWS) without which a pair of the second round is not verified:
-#: 5.2 (1.6 standard deviations) below the mean at similarity 0.8.
-SAMPLES_NEEDED = 46
 BLOCK = 1024
+#: Cells that a text's weight is summed in, to bound the weight that two texts share from above.
+CELLS = 512
+#: Room for the rounding of float32 sums in that bound.
+SLACK = 1e-4
 #: Members of a bucket that all its others are verified against in the first round.
 LEADERS = 3
 #: Shingles of texts that a block pair keeps at hand.
@@ -319,24 +320,22 @@ def common_shingles(docs: DataFrame) -> Weights:
 
 
 def _sign(weights: Weights) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """doc_id, digest of the word sequence, band keys, and a byte of every sample."""
+    """doc_id, digest of the word sequence, and band keys."""
 
     def signed(sampler: Sampler, ids: pa.Array, words: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         h, counts, starts = shingle_sets(words, sizes)
         some = np.flatnonzero(np.diff(np.append(starts, len(h))) > 0)
         bands = np.zeros((len(ids), BANDS), np.int64)
-        sketch = np.zeros((len(ids), BANDS * ROWS), np.uint8)
         if len(some):
             values = sampler(h, np.log(weights(h, counts)), starts[some])
             keys = np.zeros((len(some), BANDS), _U)
             for r in range(ROWS):
                 keys = _mix(keys * _U(31) + values[:, r::ROWS])
             bands[some] = keys.view(np.int64)
-            sketch[some] = (values >> _U(56)).astype(np.uint8)
         offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * BANDS)
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(_digests(words, sizes), pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel())), pa.array([r.tobytes() for r in sketch], pa.binary())],
-            names=["doc_id", "digest", "bands", "sketch"],
+            [ids, pa.array(_digests(words, sizes), pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))],
+            names=["doc_id", "digest", "bands"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,12 +367,19 @@ def _verify(weights: Weights, similarity: float) -> Callable[[Iterator[pa.Record
     return run
 
 
-def _cross(weights: Weights, similarity: float, needed: int) -> Callable[[pa.Table], pa.Table]:
+def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Upper bounds of the weight that a text shares with others: least sums by cell."""
+    return np.minimum(others, cells).sum(1)
+
+
+def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table]:
     """Links between different components in a block pair of a bucket.
 
-    Pairs are tested on their samples in the first band that they share and
-    then on their whole texts.  A link makes its two components one, so no more
-    links are given than join components, and no pair is given that is no link.
+    Every pair is tested on its whole texts, in the first band that it shares,
+    unless bounds from above on its similarity (the ratio of total weights, and
+    the weights shared by cell) are below ``similarity``.  A link makes its two
+    components one, so no more links are given than join components, and no
+    pair is given that is no link.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -384,10 +390,22 @@ def _cross(weights: Weights, similarity: float, needed: int) -> Callable[[pa.Tab
         digest, text = table.column("digest"), table.column("text")
         n = table.num_rows
         bands = table.column("bands").chunk(0).flatten().to_numpy().reshape(n, BANDS)
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
         group = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
+        if (group == group[0]).all():
+            return pa.table({"src": digest.slice(0, 0), "dst": digest.slice(0, 0)})
+        total, cells = np.zeros(n), np.zeros((n, CELLS), np.float32)
         sets: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        held = 0
+        held = row = 0
+        for _, words, sizes in _words(iter(table.select(["text"]).to_batches())):
+            h, counts, starts = shingle_sets(words, sizes)
+            w, ends = weights(h, counts), np.append(starts[1:], len(h))
+            for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
+                total[row] = w[a:b].sum()
+                cells[row] = np.bincount((h[a:b] >> _U(40)).astype(np.int64) % CELLS, w[a:b], CELLS)
+                if held + b - a <= HELD_SHINGLES:
+                    sets[row] = (h[a:b].copy(), w[a:b].copy())
+                    held += b - a
+                row += 1
 
         def known(row: int) -> tuple[np.ndarray, np.ndarray]:
             nonlocal held
@@ -401,12 +419,18 @@ def _cross(weights: Weights, similarity: float, needed: int) -> Callable[[pa.Tab
             return sets[row]
 
         found_a, found_b = [], []
+        least = similarity * (1 - SLACK)
         for at in left.tolist():
             rest = right[right > at] if i == j else right
             rest = rest[group[rest] != group[at]]
-            rest = rest[(sketch[rest] == sketch[at]).sum(1) >= needed]
+            rest = rest[np.minimum(total[rest], total[at]) >= least * np.maximum(total[rest], total[at])]
             rest = rest[~(bands[rest][:, :band] == bands[at][None, :band]).any(1)]
-            for other in rest.tolist():
+            if not len(rest):
+                continue
+            shared = most_shared(cells[at], cells[rest]) * (1 + SLACK)
+            bound = shared / np.maximum(total[rest] + total[at] - shared, 1e-300)
+            order = np.argsort(-bound, kind="stable")  # likely links first, as they make other pairs needless
+            for other in rest[order[bound[order] >= least]].tolist():
                 if group[other] != group[at] and weighted_jaccard(known(at), known(other)) >= similarity:
                     group[group == group[other]] = group[at]
                     found_a.append(at)
@@ -420,9 +444,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
     """``doc_id``, ``class_id`` and ``kept`` of every row."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     weights = weights or common_shingles(rows)
-    signed = materialize(rows.mapInArrow(_sign(weights), "doc_id long, digest binary, bands array<long>, sketch binary"))
+    signed = materialize(rows.mapInArrow(_sign(weights), "doc_id long, digest binary, bands array<long>"))
     with_words = signed.where(F.col("digest").isNotNull())
-    one = materialize(with_words.select("digest", "bands", "sketch").dropDuplicates(["digest"]))
+    one = materialize(with_words.select("digest", "bands").dropDuplicates(["digest"]))
     each = one.select("digest", F.posexplode("bands").alias("band", "value"))
     leaders = F.array(*[F.min(F.struct(F.xxhash64("digest", F.lit(k)).alias("order"), "digest"))["digest"] for k in range(LEADERS)])
     buckets = each.groupBy("band", "value").agg(leaders.alias("leaders"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -442,7 +466,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
     first = materialize(verify(stars))
     parts = materialize(connected_components(first))
     member = one.join(ids, "digest", "left_semi").join(parts, one["digest"] == parts["node"], "left")
-    member = materialize(member.select("digest", "bands", "sketch", F.coalesce("component", "digest").alias("component")))
+    member = materialize(member.select("digest", "bands", F.coalesce("component", "digest").alias("component")))
     inside = member.select("digest", "component", F.posexplode("bands").alias("band", "value")).join(buckets.select("band", "value"), ["band", "value"])
     mixed = (
         inside.groupBy("band", "value")
@@ -458,7 +482,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
         .withColumn("i", F.least("block", "k"))
         .withColumn("j", F.greatest("block", "k"))
     )
-    second = materialize(dealt.groupBy("band", "value", "i", "j").applyInArrow(_cross(weights, similarity, SAMPLES_NEEDED), "src binary, dst binary"))
+    second = materialize(dealt.groupBy("band", "value", "i", "j").applyInArrow(_cross(weights, similarity), "src binary, dst binary"))
     labels = parts
     if not second.isEmpty():  # the second round joins whole components
         known = member.select("digest", "component")
