@@ -202,6 +202,26 @@ def test_field_labels_its_table_and_keeps_base_spans():
         assert set(base) <= set(every)
 
 
+@pytest.mark.parametrize("text", ["call +1 202 555 0100, 202-555-0101 today", "call 202-555-0101, +1 202 555 0100 today", "call 202-555-0101, +1 202 555 0100, 202-555-0102 today"])
+def test_numbers_beside_a_base_number_are_kept(text):
+    (base, every), = pii.scan([text], pii.default_field())
+    assert [text[a:b] for a, _, b in base] == ["+1 202 555 0100"]
+    assert [(text[a:b], k) for a, k, b in every] == [(n.strip(), 3) for n in text[5:-6].split(",")]
+    assert not re.search("[0-9]", pii.redact(text, every))
+
+
+def test_base_spans_are_cut_out_of_added_ones():
+    text = "x abcd4539148803436467efgh, (1.2.3.4) +12 y"
+    base = [(6, 2, 22), (29, 1, 36)]
+    assert pii.add_spans(base, [(2, 4, 26), (28, 3, 41)], text) == [(2, 4, 6), (6, 2, 22), (22, 4, 26), (29, 1, 36), (38, 3, 41)]
+    assert pii.add_spans(base, [(2, 2, 26)], text) == base
+
+
+def test_shapes_are_of_whole_tokens():
+    long = "a1-" * 40
+    assert pii.shape(long + "b") != pii.shape(long + "9") != pii.shape(long)
+
+
 def test_windows_decode_as_the_whole_text():
     field = pii.default_field()
     text = "say (415) 555-0100 to them , key = " + "0123456789abcdef" * 2 + " and then 12 of 30 go"
