@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from textloom.operators import ranges, relational, replay, terms, usage
 from textloom.operators.ranges import BatchRule
 from textloom.operators.replay import Limits
+from textloom.plans import relational_queries
 from textloom.sources import web
 
 
@@ -86,6 +87,20 @@ def test_terms_in_texts(spark):
     assert pairs(got, "d", "k") == [(1, 1), (1, 2), (1, 3), (2, 2)]
 
 
+def test_strings_in_texts(spark):
+    texts = [(1, "the category of mats"), (2, "他在北京大学学习，😀很好"), (2, "a.b"), (None, "the cat"), (4, None), (5, "")]
+    words = [(1, "cat"), (2, "egory of ma"), (3, "北京大学"), (4, "京大学学习，😀很"), (5, ".b"), (6, "dog"), (7, "e  cat"), (1, "cat"), (8, ""), (9, None), (10, "category of mats and")]
+    got = terms.contained_strings(spark.createDataFrame(texts, "d int, t string"), spark.createDataFrame(words, "k int, w string"), "t", "w", ["d"], ["k"])
+    want = [(d, k) for d, t in texts for k, w in words if t is not None and w is not None and w in t]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_contains_query_finds_terms_inside_words(spark, tmp_path):
+    spark.createDataFrame([(1, "xalpha beta gammay")], "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, "alpha beta gamma delta")], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [tuple(r) for r in relational_queries.term_contains_join(spark, str(tmp_path)).collect()] == [(1, 7)]
+
+
 def test_ancestors(spark):
     edges = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (5, 4), (9, 8)], "c int, p int")
     assert pairs(relational.closure(edges, "c", "p"), "node", "root", "depth") == [(2, 1, 1), (3, 1, 2), (4, 1, 3), (5, 1, 4), (9, 8, 1)]

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from .relational import majority
 
+#: Characters of the runs that substrings are looked for by.
+GRAM = 6
+
+
 def longest_first(terms: DataFrame, keys: Sequence[str] = ()) -> Column:
     """The terms of a group as an array of struct(src, dst), longest first, then alphabetical."""
     return F.transform(
@@ -61,6 +65,36 @@ def contained_terms(texts: DataFrame, terms: DataFrame, text: str, term: str, ke
     return whole.where(F.contains("whole", "term")).select(*keys, *term_keys)
 
 
+def _grams(text: Column | str, size: int) -> Column:
+    """All runs of ``size`` characters of a text, repeats included; the empty string for 0."""
+    text = F.col(text) if isinstance(text, str) else text
+    if not size:
+        return F.when(text.isNotNull(), F.array(F.lit("")))
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
+
+
+def contained_strings(texts: DataFrame, terms: DataFrame, text: str, term: str, keys: Sequence[str], term_keys: Sequence[str]) -> DataFrame:
+    """Which terms are substrings of which texts, as an equi-join: each term is looked for by its rarest run of GRAM characters.
+
+    A text that holds a term holds all its runs, so no match is lost; candidates
+    are then tested for the whole term.  A term shorter than a run is looked for
+    by itself.  Repeated rows on either side give repeated matches.
+    """
+    named = terms.select(*term_keys, F.col(term).alias("__term")).where("__term is not null")
+    each = named.select("__term").distinct().withColumn("__size", F.least(F.length("__term"), F.lit(GRAM)))
+    sizes = sorted(r[0] for r in each.select("__size").distinct().collect()) or [GRAM]
+    asked = each.select("__term", F.explode(F.coalesce(*[F.when(F.col("__size") == n, _grams("__term", n)) for n in sizes])).alias("__gram")).distinct()
+    held = texts.select(*keys, F.explode(F.concat(*[_grams(text, n) for n in sizes])).alias("__gram"))
+    held = held.join(asked.select("__gram").distinct(), "__gram", "left_semi").distinct()
+    frequency = held.groupBy("__gram").agg(F.count(F.lit(1)).alias("__n"))
+    filed = asked.join(frequency, "__gram", "left").withColumn("__n", F.coalesce("__n", F.lit(0)))
+    rarest = filed.groupBy("__term").agg(F.min_by("__gram", F.struct("__n", "__gram")).alias("__gram"))
+    candidates = held.join(rarest, "__gram").select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)], "__term")
+    same = [F.col(f"__{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    whole = candidates.join(texts.select(*keys, F.col(text).alias("__whole")), same)
+    return whole.where(F.contains("__whole", "__term")).select(*keys, "__term").join(named, "__term").select(*keys, *term_keys)
+
+
 def term_quality(terms: DataFrame, stop: Sequence[str], least: int = 2) -> DataFrame:
     """Terms with ``drop_reason``: empty, numeric, short, stop word, same as target, or target in lower case."""
     src, dst = F.trim("src"), F.trim("dst")

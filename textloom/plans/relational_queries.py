@@ -200,9 +200,9 @@ _TERM = "array_to_string(list_slice(string_split(text, ' '), 1, 3), ' ')"
 
 @query("term_contains_join", f"WITH t AS (SELECT item_id, {_TERM} AS term FROM benchmark) SELECT doc_id, item_id FROM documents JOIN t ON contains(text, term)")
 def term_contains_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases that stand in documents, found by their rarest word."""
+    """Phrases that are substrings of documents, found by their rarest run of characters."""
     phrases = table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("term"))
-    return terms.contained_terms(table(spark, sf_dir, "documents"), phrases, "text", "term", ["doc_id"], ["item_id"])
+    return terms.contained_strings(table(spark, sf_dir, "documents"), phrases, "text", "term", ["doc_id"], ["item_id"])
 
 
 @query(
