@@ -106,6 +106,19 @@ def test_ancestors(spark):
     assert pairs(relational.closure(edges, "c", "p"), "node", "root", "depth") == [(2, 1, 1), (3, 1, 2), (4, 1, 3), (5, 1, 4), (9, 8, 1)]
 
 
+def test_ancestors_of_long_chains(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(300)], "c long, p long")
+    assert {(r["node"], r["root"], r["depth"]) for r in relational.closure(edges, "c", "p").collect()} == {(i, 0, i) for i in range(1, 301)}
+    assert relational.closure(edges.limit(0), "c", "p").count() == 0
+
+
+def test_cycles_have_no_ancestor(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (9, 1)], "c long, p long")
+    with pytest.raises(ValueError):
+        relational.closure(edges, "c", "p")
+
+
+
 # ------------------------------------------------------------ usage
 
 

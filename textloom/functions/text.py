@@ -136,23 +136,39 @@ def strip_invalid_chars(text: ColumnOrName, allowed: str) -> Column:
 
 
 def split_camel(text: ColumnOrName) -> Column:
-    """A space where a lower-case letter meets an upper-case one, in words that start upper-case, but for Mc names."""
-    return F.regexp_replace(_col(text), r"(?U)(?<=\p{Ll})(?=\p{Lu})(?<=\b\p{Lu}\p{L}{0,60})(?<!\bMc)", " ")
+    """A space where a lower-case letter meets an upper-case one, in words of letters that start upper-case, but for Mc names."""
+    text = _col(text)
+    glued = lambda w: w.rlike(r"^\p{Lu}") & ~w.rlike(r"^Mc\p{Lu}")
+    cut = lambda w: F.when(glued(w), F.regexp_replace(w, r"(?<=\p{Ll})(?=\p{Lu})", " ")).otherwise(w)
+    words = F.regexp_extract_all(text, F.lit(r"\p{L}+|\P{L}+"), F.lit(0))
+    return F.when(text.rlike(r"\p{Ll}\p{Lu}"), F.array_join(F.transform(words, cut), "")).otherwise(text)
+
+
+def settled(text: ColumnOrName, step: Callable[[Column], Column], most: Column) -> Column:
+    """``step`` applied until it changes nothing; ``most`` bounds the number of changes.
+
+    A step that is no longer needed is not computed, so the bound costs little.
+    """
+    start = F.struct(_col(text).alias("text"), F.lit(False).alias("done"))
+    once = lambda acc: let(step(acc["text"]), lambda new: F.struct(new.alias("text"), (new == acc["text"]).alias("done")))
+    return F.aggregate(F.sequence(F.lit(0), most), start, lambda acc, _: F.when(acc["done"], acc).otherwise(once(acc)), lambda acc: acc["text"])
+
+
+#: Fixed value: the letters of words that may follow themselves.
+LETTERS = "A-Za-zÀ-Ỵà-ỹĐđ"
 
 
 def collapse_repeats(text: ColumnOrName, kept: Sequence[str] = ()) -> Column:
-    """A word that follows itself is dropped, but for the words in ``kept``."""
-    fresh = lambda ws: lambda w, i: (i == 0) | (F.lower(w) != F.lower(F.get(ws, i - 1))) | F.lower(w).isin(*kept, "")
-    return F.array_join(let(F.split(_col(text), " "), lambda ws: F.filter(ws, fresh(ws))), " ")
+    """A word that follows itself after blanks is dropped, as often as it does, but for the words in ``kept``."""
+    stays = f"(?!(?:{'|'.join(kept)})\\b)" if kept else ""
+    return F.regexp_replace(_col(text), rf"(?iuU)\b{stays}([{LETTERS}]+)\b(?:[ \t]+\1\b)+", "$1")
 
 
-def collapse_phrases(text: ColumnOrName, longest: int = 6, rounds: int = 3) -> Column:
-    """Phrases of 2 to ``longest`` words that follow themselves, collapsed to one; longest first."""
-    out = _col(text)
-    for _ in range(rounds):
-        for n in range(longest, 1, -1):
-            out = F.regexp_replace(out, r"(?iuU)(?<!\S)(\S+(?: \S+){%d})(?: \1)+(?!\S)" % (n - 1), "$1")
-    return out
+def collapse_phrases(text: ColumnOrName, longest: int = 6) -> Column:
+    """Phrases of 2 to ``longest`` words that follow themselves, collapsed to one until none does."""
+    word = f"[{LETTERS}]+"
+    again = rf"(?iuU)\b({word}(?:[ \t]+{word}){{1,{longest - 1}}})\b[ \t]+\1\b"
+    return settled(text, lambda t: F.regexp_replace(t, again, "$1"), F.regexp_count(_col(text), F.lit(r"[ \t]+")))
 
 
 def template(pattern: str, **values: ColumnOrName) -> Column:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.shared import checkpointed
+
 
 def missing_keys(expected: DataFrame, actual: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys expected but not there."""
@@ -103,15 +105,27 @@ def needs_work(source: DataFrame, done: DataFrame, keys: Sequence[str], text_has
     return joined.withColumn("reason", reason).where("reason is not null")
 
 
-def closure(edges: DataFrame, child: str, parent: str, most: int = 32) -> DataFrame:
-    """``node, root, depth``: each child's last ancestor, by pointer doubling (log2 of the depth joins)."""
-    up = edges.select(F.col(child).alias("node"), F.col(parent).alias("root"), F.lit(1).alias("depth"))
-    for _ in range(most.bit_length()):
+def closure(edges: DataFrame, child: str, parent: str, longest: int = 1 << 40) -> DataFrame:
+    """``node, root, depth``: each child's last ancestor, by pointer doubling until no pointer moves.
+
+    A child has one parent.  A cycle has no last ancestor: its pointers never
+    settle, and their depth passes the number of edges, which raises an error.
+    Each round is a checkpoint, so the plan does not grow with the depth.
+    """
+    up = edges.select(F.col(child).alias("node"), F.col(parent).alias("root"), F.lit(1).cast("long").alias("depth"))
+    up = checkpointed(up)
+    most = min(up.count(), longest)
+    while True:
         more = up.select(F.col("node").alias("via"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        up = up.join(more, up["root"] == more["via"], "left").select(
-            "node", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
-        )
-    return up
+        ahead = up.join(more, up["root"] == more["via"], "left")
+        depth = (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")
+        up = checkpointed(ahead.select("node", F.coalesce("next", "root").alias("root"), depth, F.col("next").isNotNull().alias("moved")))
+        moved, deepest = up.agg(F.count_if("moved"), F.max("depth")).first()
+        if not moved:
+            return up.drop("moved")
+        if deepest > most:
+            raise ValueError(f"{child} and {parent} form a cycle")
+        up = up.drop("moved")
 
 
 def top_excess(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str], allowed: Column) -> DataFrame:

@@ -13,11 +13,17 @@ from textloom.sources import files
 from .registry import query, table
 
 
-@query("range_overlap_scan", "SELECT doc_id // 10 * 10 + 1 AS batch_start, count(*) AS n FROM documents WHERE doc_id // 10 * 10 + 1 <= 455 AND doc_id // 10 * 10 + 10 >= 101 GROUP BY 1")
+@query(
+    "range_overlap_scan",
+    "WITH r AS (SELECT min(doc_id) + (max(doc_id) - min(doc_id)) // 4 AS low, max(doc_id) - (max(doc_id) - min(doc_id)) // 4 AS high FROM documents) SELECT doc_id // 10 * 10 + 1 AS batch_start, count(*) AS n FROM documents, r WHERE doc_id // 10 * 10 + 1 <= high AND doc_id // 10 * 10 + 10 >= low GROUP BY 1",
+)
 def range_overlap_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches that meet a range."""
+    """Batches that meet a range, the middle half of all ids."""
     docs = table(spark, sf_dir, "documents").withColumn("batch_start", F.expr("doc_id div 10 * 10 + 1")).withColumn("batch_end", F.col("batch_start") + 9)
-    return ranges.overlapping(docs, "batch_start", "batch_end", 101, 455).groupBy("batch_start").agg(F.count(F.lit(1)).alias("n"))
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    low, high = low or 0, high or 0
+    quarter = (high - low) // 4
+    return ranges.overlapping(docs, "batch_start", "batch_end", low + quarter, high - quarter).groupBy("batch_start").agg(F.count(F.lit(1)).alias("n"))
 
 
 _UPSERT_SQL = """WITH e AS (SELECT l_orderkey, l_linenumber, min(l_partkey)::VARCHAR AS block FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY ALL),
@@ -59,11 +65,12 @@ def completeness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relational.completeness(expected, parts, ("o_orderkey",), "part")
 
 
-@query("prune_manifest", "SELECT doc_id, quality, toxic FROM labels WHERE NOT (doc_id BETWEEN 100 AND 700 AND doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 500))")
+@query("prune_manifest", "SELECT doc_id, quality, toxic FROM labels WHERE NOT (doc_id IN (SELECT doc_id FROM documents WHERE n_chars >= 500) AND doc_id * 2 >= (SELECT max(doc_id) FROM documents))")
 def prune_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: manifest rows that a valid document inside the range makes stale go."""
-    valid = table(spark, sf_dir, "documents").where("n_chars >= 500")
-    return relational.pruned_manifest(table(spark, sf_dir, "labels"), valid, ["doc_id"], F.col("doc_id").between(100, 700))
+    docs = table(spark, sf_dir, "documents")
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    return relational.pruned_manifest(table(spark, sf_dir, "labels"), docs.where("n_chars >= 500"), ["doc_id"], F.col("doc_id") * 2 >= last)
 
 
 @query("upsert_manifest", "SELECT doc_id, 1 - quality AS quality, toxic FROM labels WHERE doc_id % 3 = 0 UNION ALL SELECT doc_id, quality, toxic FROM labels WHERE doc_id % 3 <> 0")
@@ -217,11 +224,12 @@ def first_success(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "process_ancestors",
-    "WITH RECURSIVE e AS (SELECT c_custkey AS node, c_custkey // 2 AS up FROM customer WHERE c_custkey % 64 <> 0), w AS (SELECT node, up AS root, 1 AS depth FROM e UNION ALL SELECT w.node, e.up, depth + 1 FROM w JOIN e ON w.root = e.node) SELECT node, min_by(root, -depth) AS root, max(depth)::INT AS depth FROM w GROUP BY node",
+    "WITH RECURSIVE e AS (SELECT c_custkey AS node, CASE WHEN c_custkey % 2 = 0 THEN c_custkey - 2 ELSE c_custkey // 2 END AS up FROM customer WHERE c_custkey % 500 <> 0), w AS (SELECT node, up AS root, 1 AS depth FROM e UNION ALL SELECT w.node, e.up, depth + 1 FROM w JOIN e ON w.root = e.node) SELECT node, min_by(root, -depth) AS root, max(depth)::INT AS depth FROM w GROUP BY node",
 )
 def process_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first ancestor of every process."""
-    edges = table(spark, sf_dir, "customer").where("c_custkey % 64 <> 0").select(F.col("c_custkey").alias("node"), F.expr("c_custkey div 2").alias("up"))
+    up = F.expr("case when c_custkey % 2 = 0 then c_custkey - 2 else c_custkey div 2 end")  # chains of 250, and trees
+    edges = table(spark, sf_dir, "customer").where("c_custkey % 500 <> 0").select(F.col("c_custkey").alias("node"), up.alias("up"))
     return relational.closure(edges, "node", "up")
 
 
@@ -367,21 +375,26 @@ def topk_excess_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "union_first_wins",
-    "WITH u AS (SELECT c_nationkey AS k, c_name AS v, c_custkey AS o, 0 AS layer FROM customer WHERE c_custkey % 50 = 0 UNION ALL SELECT s_nationkey, s_name, s_suppkey, 1 FROM supplier) SELECT k, v, layer::INT AS layer FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY layer, o) AS r FROM u) WHERE r = 1",
+    "WITH u AS (SELECT c_nationkey AS k, c_name AS v, c_custkey AS o, 0 AS layer FROM customer WHERE c_acctbal < 0 UNION ALL SELECT s_nationkey, s_name, s_suppkey, 1 FROM supplier) SELECT k, v, layer::INT AS layer FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY layer, o) AS r FROM u) WHERE r = 1",
 )
 def union_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The earliest layer's row of each key."""
-    a = table(spark, sf_dir, "customer").where("c_custkey % 50 = 0").select(F.col("c_nationkey").alias("k"), F.col("c_name").alias("v"), F.col("c_custkey").alias("o"))
+    a = table(spark, sf_dir, "customer").where("c_acctbal < 0").select(F.col("c_nationkey").alias("k"), F.col("c_name").alias("v"), F.col("c_custkey").alias("o"))
     b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_name").alias("v"), F.col("s_suppkey").alias("o"))
     return relational.first_wins([a, b], ["k"], ["o"]).select("k", "v", "layer")
 
 
-@query("set_ops", "(SELECT 'both' AS kind, c_nationkey AS k FROM customer WHERE c_custkey < 40 INTERSECT SELECT 'both', s_nationkey FROM supplier WHERE s_suppkey < 30) UNION ALL (SELECT 'left', c_nationkey FROM customer WHERE c_custkey < 40 EXCEPT SELECT 'left', s_nationkey FROM supplier WHERE s_suppkey < 30)")
+@query(
+    "set_ops",
+    "(SELECT 'both' AS kind, o_custkey AS k FROM orders INTERSECT SELECT 'both', c_custkey FROM customer WHERE c_acctbal > 0) UNION ALL (SELECT 'orders', o_custkey FROM orders EXCEPT SELECT 'orders', c_custkey FROM customer WHERE c_acctbal > 0) UNION ALL (SELECT 'customers', c_custkey FROM customer EXCEPT SELECT 'customers', o_custkey FROM orders)",
+)
 def set_ops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Intersection and difference."""
-    a = table(spark, sf_dir, "customer").where("c_custkey < 40").select(F.col("c_nationkey").alias("k"))
-    b = table(spark, sf_dir, "supplier").where("s_suppkey < 30").select(F.col("s_nationkey").alias("k"))
-    return a.intersect(b).select(F.lit("both").alias("kind"), "k").union(a.subtract(b).select(F.lit("left").alias("kind"), "k"))
+    """Intersection, and difference both ways, of customers with orders and customers."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
+    customers = table(spark, sf_dir, "customer")
+    solvent, every = customers.where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), customers.select(F.col("c_custkey").alias("k"))
+    tag = lambda df, kind: df.select(F.lit(kind).alias("kind"), "k")
+    return tag(orders.intersect(solvent), "both").union(tag(orders.subtract(solvent), "orders")).union(tag(every.subtract(orders), "customers"))
 
 
 @query(
@@ -426,18 +439,19 @@ def scoped_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "merge_rules",
-    "WITH u AS (SELECT s_nationkey AS number, s_name AS url, s_suppkey AS pos, 0 AS layer FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_nationkey, s_name, s_suppkey, 1 FROM supplier), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY number, url ORDER BY layer, pos) AS r FROM u) WHERE r = 1) SELECT number, url, row_number() OVER (PARTITION BY number ORDER BY layer, pos)::INT AS place FROM f",
+    "WITH u AS (SELECT s_nationkey AS number, s_name AS url, s_suppkey AS pos, 0 AS layer FROM supplier WHERE s_acctbal > 0 UNION ALL SELECT s_nationkey, s_name, s_suppkey, 1 FROM supplier), f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY number, url ORDER BY layer, pos) AS r FROM u) WHERE r = 1) SELECT number, url, row_number() OVER (PARTITION BY number ORDER BY layer, pos)::INT AS place FROM f",
 )
 def merge_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of two rule files in order, each once."""
-    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("number"), F.col("s_name").alias("url"), F.col("s_suppkey").alias("pos"))
-    return repair.merge_rules([rows.where("pos % 2 = 0"), rows]).select("number", "url", "place")
+    form = lambda df: df.select(F.col("s_nationkey").alias("number"), F.col("s_name").alias("url"), F.col("s_suppkey").alias("pos"))
+    rows = table(spark, sf_dir, "supplier")
+    return repair.merge_rules([form(rows.where("s_acctbal > 0")), form(rows)]).select("number", "url", "place")
 
 
-@query("multi_key_sort", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_totalprice > 100000")
+@query("multi_key_sort", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
 def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: several keys, nulls last, with a tie-break."""
-    return table(spark, sf_dir, "orders").where("o_totalprice > 100000").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(F.asc_nulls_last("o_orderpriority"), F.desc_nulls_last("o_totalprice"), "o_orderkey")
+    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(F.asc_nulls_last("o_orderpriority"), F.desc_nulls_last("o_totalprice"), "o_orderkey")
 
 
 @query("source_variants", "SELECT c_custkey, translate(c_name, '發國說', '发国说') AS simplified FROM customer")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,15 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.operators.replay import Limits
+from textloom.shared import shared_dir
 from textloom.streaming import usage as streaming
 
 from .registry import query, table
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder that driver and executors share; only where none is named (on one machine) a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(named or tempfile.mkdtemp(prefix='textloom-')).rstrip('/')}/streams/{uuid.uuid4().hex}"
+    """A fresh folder that driver and executors share."""
+    return f"{shared_dir(spark)}/streams/{uuid.uuid4().hex}"
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.functions import polish, titles
 from textloom.functions import text as tx
-from textloom.functions import titles
-from textloom.operators import quality, repair, sections
+from textloom.operators import quality, relational, repair, sections
 from textloom.sources import files
 
 from .registry import query, table
@@ -314,17 +314,39 @@ def strip_invalid_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "collapse_repeats",
-    "WITH w AS (SELECT doc_id, string_split(text, ' ') AS ws FROM documents) SELECT doc_id, array_to_string(list_filter(ws, lambda x, i: i = 1 OR lower(x) <> lower(ws[i - 1]) OR lower(x) IN ('very', '')), ' ') AS text FROM w",
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(text, '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_]+') AS ws FROM documents),
+f AS (SELECT doc_id, ws, list_transform(range(1, len(ws) + 1), lambda i: i > 2 AND regexp_full_match(ws[i], '[A-Za-zÀ-Ỵà-ỹĐđ]+') AND lower(ws[i]) = lower(ws[i - 2])
+  AND regexp_full_match(ws[i - 1], '[ \t]+') AND lower(ws[i]) <> 'very') AS gone FROM w)
+SELECT doc_id, array_to_string(list_filter(ws, lambda x, i: NOT gone[i] AND NOT coalesce(gone[i + 1], false)), '') AS text FROM f""",
 )
 def collapse_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """words that follow themselves."""
     return table(spark, sf_dir, "documents").select("doc_id", tx.collapse_repeats("text", ("very",)).alias("text"))
 
 
-@query("split_camel")
+@query("collapse_phrases")
+def collapse_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """phrases that follow themselves, until none does."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.collapse_phrases("text").alias("text"))
+
+
+@query(
+    "split_camel",
+    r"""SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(replace(p_name, ' ', '') || ' ' || replace(initcap_name, ' ', ''), '\p{L}+|[^\p{L}]+'),
+ lambda t: CASE WHEN regexp_matches(t, '^\p{Lu}') AND NOT regexp_matches(t, '^Mc\p{Lu}') THEN regexp_replace(t, '(\p{Ll})(\p{Lu})', '\1 \2', 'g') ELSE t END), '') AS name
+FROM (SELECT p_partkey, p_name, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(left(w, 1)) || lower(substring(w, 2))), ' ') AS initcap_name FROM part)""",
+)
 def split_camel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """words glued together."""
-    return table(spark, sf_dir, "part").select("p_partkey", tx.split_camel(F.replace("p_name", F.lit(" "), F.lit(""))).alias("name"))
+    glued = lambda c: F.replace(c, F.lit(" "), F.lit(""))
+    name = F.concat(glued(F.col("p_name")), F.lit(" "), glued(F.initcap("p_name")))
+    return table(spark, sf_dir, "part").select("p_partkey", tx.split_camel(name).alias("name"))
+
+
+@query("polish_pass")
+def polish_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole polish pass over every document."""
+    return polish.polish(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "doc_id").select("doc_id", "polished")
 
 
 @query(
@@ -402,7 +424,7 @@ def rule_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "repair_apply",
     """WITH e AS (SELECT unnest(range(0, (SELECT max(doc_id) + 21 FROM documents))) AS number), own AS (SELECT doc_id AS number, 'T' || doc_id AS title, text AS body FROM documents WHERE doc_id % 9 <> 0),
-new AS (SELECT doc_id AS number, 'R' || doc_id AS title, left(text, 50) AS body FROM documents WHERE doc_id % 6 = 0)
+new AS (SELECT doc_id AS number, 'R' || doc_id AS title, reverse(text) AS body FROM documents WHERE doc_id % 6 = 0)
 SELECT number // 10 AS batch, number, coalesce(new.title, own.title, '第' || number || '章 略过') AS title, CASE WHEN new.title IS NOT NULL THEN new.body WHEN own.title IS NOT NULL THEN own.body ELSE '本章内容与主线剧情无关。' END AS body,
 CASE WHEN new.title IS NOT NULL AND own.title IS NOT NULL THEN 'replaced_from_source' WHEN new.title IS NOT NULL THEN 'inserted_from_source' WHEN own.title IS NOT NULL THEN 'kept' ELSE 'placeholder_added' END AS action
 FROM e LEFT JOIN own USING (number) LEFT JOIN new USING (number)""",
@@ -411,8 +433,9 @@ def repair_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sections replaced, inserted, or given a placeholder."""
     docs = table(spark, sf_dir, "documents").withColumn("pos", F.lit(0))
     form = lambda df, tag, body: df.select(F.col("doc_id").alias("number"), "pos", F.concat(F.lit(tag), F.col("doc_id").cast("string")).alias("title"), body.alias("body"))
-    own, new = form(docs.where("doc_id % 9 <> 0"), "T", F.col("text")), form(docs.where("doc_id % 6 = 0"), "R", F.substring("text", 1, 50))
-    expected = docs.agg(F.max("doc_id").alias("m")).select(F.explode(F.sequence(F.lit(0), F.col("m") + 20)).alias("number")).withColumn("batch", F.expr("number div 10"))
+    own, new = form(docs.where("doc_id % 9 <> 0"), "T", F.col("text")), form(docs.where("doc_id % 6 = 0"), "R", F.reverse("text"))
+    last = docs.agg(F.max("doc_id")).first()[0]
+    expected = spark.range(0, (-1 if last is None else last) + 21).select(F.col("id").alias("number"), F.expr("id div 10").alias("batch"))
     return repair.apply_repairs(own, new, expected)
 
 
@@ -502,12 +525,18 @@ def srt_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.caption_lines(texts, ("conv_id",))
 
 
-@query("layered_map_merge", "SELECT name, value, layer::INT AS layer FROM (VALUES ('a', '1', 0), ('b', '3', 1), ('c', '5', 2), ('d', '6', 2)) t(name, value, layer)")
+@query(
+    "layered_map_merge",
+    "WITH u AS (SELECT n_name AS name, n_regionkey::VARCHAR AS value, 0 AS layer FROM nation UNION ALL SELECT s.n_name, min(s_name), 1 FROM supplier JOIN nation s ON s_nationkey = n_nationkey GROUP BY 1 UNION ALL SELECT c.n_name, max(c_name), 2 FROM customer JOIN nation c ON c_nationkey = n_nationkey WHERE c_acctbal < 0 GROUP BY 1) SELECT name, arg_max(value, layer) AS value, max(layer)::INT AS layer FROM u GROUP BY name",
+)
 def layered_map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Settings of three layers."""
-    return files.setting_rows(spark, [{"a": "1", "b": "2"}, {"b": "3", "c": "4"}, {"c": "5", "d": "6"}])
-
-
+    """Settings of three layers, each a table of names and values; the last layer with a name wins."""
+    nation = table(spark, sf_dir, "nation")
+    named = lambda t, key: table(spark, sf_dir, t).join(nation, F.col(key) == F.col("n_nationkey")).groupBy(F.col("n_name").alias("name"))
+    first = nation.select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("string").alias("value"))
+    second = named("supplier", "s_nationkey").agg(F.min("s_name").alias("value"))
+    third = named("customer", "c_nationkey").agg(F.max(F.when(F.col("c_acctbal") < 0, F.col("c_name"))).alias("value")).where("value is not null")
+    return relational.last_wins([first, second, third], ["name"]).select("name", "value", F.col("layer").cast("int").alias("layer"))
 
 
 @query("clean_titles")
