@@ -36,10 +36,10 @@ def test_metadata_lines(spark):
 def test_short_empty_paged_and_missing(spark):
     text = "第1章 a\n\n短\n\n\n第2章 b\n\n\n第5章 c（1/2）\n\n" + "这是正常章节内容。" * 20
     assert verify(spark, ("chuong_1-9.txt", text)) == {
-        (1, "invalid_content"),
-        (2, "empty_section"),
-        (3, "missing_in_batch"),
-        (4, "missing_in_batch"),
+        (1, "invalid_chapter_content"),
+        (2, "empty_chapter"),
+        (3, "missing_chapter_in_batch"),
+        (4, "missing_chapter_in_batch"),
         (5, "paginated_title"),
     }
 
@@ -50,7 +50,27 @@ def test_skipped_title_may_be_short(spark):
 
 def test_repeated_number(spark):
     body = "这是正常章节内容。" * 20
-    assert (1, "repeated_number") in verify(spark, ("chuong_1-1.txt", f"第1章 a\n{body}"), ("chuong_2-2.txt", f"第1章 a\n{body}"))
+    assert (1, "duplicate_chapter") in verify(spark, ("chuong_1-1.txt", f"第1章 a\n{body}"), ("chuong_2-2.txt", f"第1章 a\n{body}"))
+
+
+def test_every_code_of_files(spark):
+    good = "这是正常章节内容。" * 20
+    files_of = spark.createDataFrame([("a", 1, 5), ("b", None, None), ("c", 6, 9)], "batch string, batch_start int, batch_end int")
+    rows = [("a", 0, 1, "第1章 x", good), ("a", 1, 4, "第9章 x", good), ("b", 0, 4, "第4章 x", good), ("b", 1, 7, "第7章 x", "短")]
+    cut = spark.createDataFrame(rows, "batch string, pos int, number int, title string, body string")
+    failures = spark.createDataFrame([(1, "timeout", ""), (7, None, "again"), (90, "x", "")], "number int, reason string, details string")
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("gone",)], "batch string")
+    codes = lambda df: sorted((r["batch"] or "", r["number"] or 0, r["code"]) for r in df.collect())
+    got = quality.verify_files(files_of, cut, HEADING, asked, 1, 8, failures, fix_stale=False)
+    assert codes(got) == sorted(
+        [("a", 2, "missing_chapter_in_batch"), ("a", 3, "missing_chapter_in_batch"), ("a", 4, "header_mismatch"), ("b", 4, "duplicate_chapter")]
+        + [("b", 0, "invalid_batch_filename"), ("b", 7, "invalid_chapter_content"), ("c", 0, "unparseable_file"), ("gone", 0, "missing_file")]
+        + [("", n, "missing_chapter_in_range") for n in (2, 3, 5, 6, 8)]
+        + [("", 1, "stale_manifest"), ("", 7, "failure_manifest_entry")]
+    )
+    assert ("", 1, "stale_manifest") not in codes(quality.verify_files(files_of, cut, HEADING, failures=failures))
+    none = quality.verify_files(files_of.limit(0), cut)
+    assert codes(none) == [("", 0, "no_origin_files")]
 
 
 def model_run(ids):

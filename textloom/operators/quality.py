@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.text import has_page_suffix, let, lines, normalize_whitespace, squeeze
+from textloom.shared import materialize
 
 # What makes a section invalid, and what counts as promotion or metadata.
 INVALID_TITLES = ("error 1015", "access denied", "just a moment")
@@ -63,23 +64,23 @@ def fold_marks(text: pd.Series) -> pd.Series:
     return text.map(fold, na_action="ignore")
 
 
-def watermark(text: Column | str, patterns: tuple[str, ...] = WATERMARKS) -> Column:
-    """The first pattern that a text's folded form holds; null without one.
+def folded(text: str) -> Column:
+    """The folded form of a column; ASCII text is folded by ``lower`` and never leaves the JVM."""
+    other = F.when(F.length(text) != F.octet_length(text), F.col(text))
+    return F.coalesce(fold_marks(other), F.lower(text))
 
-    A text of ASCII characters is folded by ``lower`` alone and never leaves the JVM.
-    """
-    text = F.col(text) if isinstance(text, str) else text
-    folded = normalize_whitespace(fold_marks(text))
-    found = F.lit(None).cast("string")
-    for p in reversed(patterns):
-        found = F.when(folded.rlike(f"(?iud){p}"), F.lit(p)).otherwise(found)
-    return F.when(folded.rlike("(?iud)" + "|".join(f"(?:{p})" for p in patterns)), found)
+
+def watermark(plain: Column | str, patterns: tuple[str, ...] = WATERMARKS) -> Column:
+    """The first pattern that a folded text holds; null without one.  One pattern for all is tried first."""
+    plain = F.col(plain) if isinstance(plain, str) else plain
+    return F.when(plain.rlike("(?iud)" + "|".join(f"(?:{p})" for p in patterns)), which_of(plain, patterns))
 
 
 def metadata_noise(text: Column | str, patterns: tuple[str, ...] = METADATA_LINES, scan: int = METADATA_SCAN) -> Column:
-    """The pattern of the first metadata line among the first non-empty lines; null without one."""
-    head = F.slice(F.filter(F.transform(lines(text), normalize_whitespace), lambda x: x != ""), 1, scan)
-    found = F.filter(F.transform(head, lambda x: which_of(x, patterns)), lambda x: x.isNotNull())
+    """The pattern of the first metadata line among the first non-empty lines; null without one.  No more of a text is read."""
+    text = F.col(text) if isinstance(text, str) else text
+    head = F.regexp_extract(text, rf"(?U)\A\s*((?:\S[^\n]*\s*){{0,{scan}}})", 1)
+    found = F.filter(F.transform(lines(head), lambda x: which_of(normalize_whitespace(x), patterns)), lambda x: x.isNotNull())
     return F.get(found, F.lit(0))
 
 
@@ -92,8 +93,11 @@ def which_of(text: Column, patterns: tuple[str, ...]) -> Column:
 
 
 def invalid_reason(title: Column | str, content: Column | str, least: int = MIN_CONTENT) -> Column:
-    """Why a section is invalid: a title of an error page, too short a content, a phrase of an error page."""
-    name, text = F.lower(normalize_whitespace(title)), F.lower(normalize_whitespace(content))
+    """Why a section is invalid: a title of an error page, too short a content, a phrase of an error page.
+
+    Both are normalised and in lower case.
+    """
+    name, text = (F.col(c) if isinstance(c, str) else c for c in (title, content))
     bad = F.lit(False)
     for token in INVALID_TITLES:
         bad = bad | name.contains(token)
@@ -160,15 +164,15 @@ def _surplus(items: Column) -> Column:
     return total(items) - total(F.array_distinct(items))
 
 
-def with_duplication(rows: DataFrame, text: str, name: str) -> DataFrame:
+def with_duplication(rows: DataFrame, text: str, name: str, clean: bool = False) -> DataFrame:
     """Adds ``name``: repetition inside a text as a struct of counts.
 
     Blocks are separated by blank lines.  Only lines and blocks of some length
     count.  Everything but the longest repeated run is an array expression over
     lines and blocks that are cut once; the run is only looked for where a line
-    repeats.
+    repeats.  ``clean`` says that white space is normalised already.
     """
-    cut = rows.withColumn("__raw", normalize_whitespace(text))
+    cut = rows.withColumn("__raw", F.col(text) if clean else normalize_whitespace(text))
     cut = cut.withColumn("__every", F.transform(lines("__raw"), squeeze))
     block = lambda b: F.array_join(F.filter(F.transform(lines(b), squeeze), lambda x: x != ""), "\n")
     blocks = F.filter(F.transform(F.split("__raw", r"\n{2,}"), block), lambda b: b != "")
@@ -222,40 +226,117 @@ def gaps(rows: DataFrame, keys: tuple[str, ...], number: str = "number") -> Data
     return open_.select(*keys, F.explode(F.sequence(F.col(number) + 1, F.col("next") - 1)).alias(number))
 
 
-def verify(sections: DataFrame, heading: str | None = None) -> DataFrame:
-    """Issue rows ``batch, number, code, message`` of sections ``batch, pos, number, title, body``.
+def judged(sections: DataFrame, heading: str | None = None) -> DataFrame:
+    """``batch, pos, number, issues, valid``: the issues (code, message) of each section by itself, and whether its content is sound.
 
     A section has one content issue at most: empty, watermark, metadata,
-    invalid or duplicated, in that order; empty ones have no other issue but
-    being repeated.
+    invalid or duplicated, in that order; an empty one has no other.
     """
-    body, title = normalize_whitespace("body"), normalize_whitespace("title")
-    judged = sections.select("batch", "pos", "number", title.alias("title"), body.alias("text"), F.col("body"))
-    judged = judged.withColumn("watermark", watermark("body")).withColumn("metadata", metadata_noise("body"))
-    judged = judged.withColumn("invalid", invalid_reason("title", "text"))
-    judged = with_duplication(judged, "text", "stats")
-    judged = judged.withColumn("duplicated", duplication_reason(F.col("stats")))
+    rows = sections.select("batch", "pos", "number", normalize_whitespace("title").alias("title"), normalize_whitespace("body").alias("text"))
+    rows = rows.withColumn("plain", folded("text")).withColumn("low", F.lower("text"))
+    rows = rows.withColumn("watermark", watermark("plain")).withColumn("metadata", metadata_noise("text"))
+    rows = rows.withColumn("invalid", invalid_reason(F.lower("title"), F.col("low")))
+    rows = with_duplication(rows, "text", "stats", clean=True)
+    rows = rows.withColumn("duplicated", duplication_reason(F.col("stats")))
     empty, issue = F.col("text") == "", lambda code, message: F.struct(F.lit(code).alias("code"), message.alias("message"))
     content = (
-        F.when(empty, issue("empty_section", F.lit("")))
+        F.when(empty, issue("empty_chapter", F.lit("")))
         .when(F.col("watermark").isNotNull(), issue("watermark_content", F.col("watermark")))
         .when(F.col("metadata").isNotNull(), issue("metadata_content", F.col("metadata")))
-        .when(F.col("invalid").isNotNull(), issue("invalid_content", F.col("invalid")))
+        .when(F.col("invalid").isNotNull(), issue("invalid_chapter_content", F.col("invalid")))
         .when(F.col("duplicated").isNotNull(), issue("duplicated_content", F.col("duplicated")))
     )
-    paginated = F.when(~empty & has_page_suffix("title"), issue("paginated_title", F.col("title")))
-    found = [content, paginated]
+    found = [content, F.when(~empty & has_page_suffix("title"), issue("paginated_title", F.col("title")))]
     if heading:
         other = F.regexp_extract("title", heading, 1).try_cast("int")
         noisy = F.col("watermark").isNotNull() | F.col("metadata").isNotNull()
-        found.append(F.when(~empty & ~noisy & (other != F.col("number")), issue("heading_mismatch", F.col("title"))))
-    rows = judged.select("batch", "number", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("issue"))
-    rows = rows.select("batch", "number", "issue.code", "issue.message")
-    repeated = repeated_keys(sections, "number", ["batch", "pos"]).select("batch", "number", F.lit("repeated_number").alias("code"), F.lit("").alias("message"))
-    missing = gaps(sections, ("batch",)).select("batch", "number", F.lit("missing_in_batch").alias("code"), F.lit("").alias("message"))
-    return rows.unionByName(repeated).unionByName(missing)
+        found.append(F.when(~empty & ~noisy & (other != F.col("number")), issue("header_mismatch", F.col("title"))))
+    issues = F.filter(F.array(*found), lambda x: x.isNotNull()).alias("issues")
+    return rows.select("batch", "pos", "number", issues, content.isNull().alias("valid"))
+
+
+def _coded(rows: DataFrame, code: str, batch: str | Column = "batch", number: str | Column = "number", message: Column | None = None) -> DataFrame:
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    return rows.select(
+        column(batch).alias("batch"), column(number).alias("number"), F.lit(code).alias("code"), (F.lit("") if message is None else message).alias("message")
+    )
+
+
+def _issues(of: DataFrame) -> DataFrame:
+    return of.select("batch", "number", F.explode("issues").alias("i")).select("batch", "number", "i.code", "i.message")
+
+
+def verify(sections: DataFrame, heading: str | None = None) -> DataFrame:
+    """Issue rows ``batch, number, code, message`` of sections ``batch, pos, number, title, body``: their own, repeated numbers, and gaps."""
+    repeated = _coded(repeated_keys(sections, "number", ["batch", "pos"]), "duplicate_chapter")
+    missing = _coded(gaps(sections, ("batch",)), "missing_chapter_in_batch")
+    return _issues(judged(sections, heading)).unionByName(repeated).unionByName(missing)
+
+
+def verify_files(
+    files: DataFrame,
+    sections: DataFrame,
+    heading: str | None = None,
+    asked: DataFrame | None = None,
+    low: int | None = None,
+    high: int | None = None,
+    failures: DataFrame | None = None,
+    fix_stale: bool = True,
+) -> DataFrame:
+    """Issue rows ``batch, number, code, message`` of batch files, their sections, and a manifest of failures.
+
+    ``files`` has ``batch, batch_start, batch_end`` (null where the name is no
+    batch's), ``asked`` the ``batch`` of files that have to be there,
+    ``failures`` ``number, reason, details``.  Without ``asked`` the files that
+    meet ``low`` to ``high`` are checked.  Failures outside the range that was
+    asked for (or else found) are left alone; those of sections that are sound
+    by now are stale: dropped, or told with ``fix_stale=False``.
+    """
+    spark = files.sparkSession
+    named = F.col("batch_start").isNotNull()
+    if asked is not None:
+        files = files.join(asked.select("batch").distinct(), "batch", "left_semi")
+    else:
+        files = files.where(~named | ((F.lit(low).isNull() | (F.col("batch_end") >= low)) & (F.lit(high).isNull() | (F.col("batch_start") <= high))))
+    inside = sections.join(files.select("batch"), "batch", "left_semi")
+    unread = files.join(sections.select("batch"), "batch", "left_anti")
+    bounds = [F.col("number") >= low] * (low is not None) + [F.col("number") <= high] * (high is not None)
+    for bound in bounds:
+        inside = inside.where(bound)
+    judged_rows = materialize(judged(inside, heading))
+    none, nobody = F.lit(None).cast("string"), F.lit(None).cast("int")
+    number = F.col("number").cast("int")
+    gap = gaps(judged_rows, ("batch",)).join(files.where(named), "batch").where("number between batch_start and batch_end")
+    found = [
+        _issues(judged_rows),
+        _coded(repeated_keys(judged_rows, "number", ["batch", "pos"]), "duplicate_chapter"),
+        _coded(gap, "missing_chapter_in_batch"),
+        _coded(files.where(~named), "invalid_batch_filename", number=nobody),
+        _coded(unread, "unparseable_file", number=nobody),
+        _coded(files.agg(F.count(F.lit(1)).alias("n")).where("n = 0" if asked is None else "false"), "no_origin_files", none, nobody),
+    ]
+    if asked is not None:
+        found.append(_coded(asked.select("batch").distinct().join(files, "batch", "left_anti"), "missing_file", number=nobody))
+    if low is not None and high is not None:
+        wanted = spark.range(low, high + 1).select(F.col("id").cast("int").alias("number"))
+        found.append(_coded(wanted.join(judged_rows.select(number.alias("number")), "number", "left_anti"), "missing_chapter_in_range", none))
+    if failures is not None:
+        checked = judged_rows.agg(F.min("number").alias("first"), F.max("number").alias("last"))
+        first, last = (low, high) if bounds else checked.first()
+        known = failures
+        for bound in [F.col("number") >= first] * (first is not None) + [F.col("number") <= last] * (last is not None):
+            known = known.where(bound)
+        sound = judged_rows.where("valid").select("number").distinct()
+        message = F.trim(F.concat_ws(" ", F.coalesce("reason", F.lit("unknown")), F.coalesce("details", F.lit(""))))
+        found.append(_coded(known.join(sound, "number", "left_anti"), "failure_manifest_entry", none, message=message))
+        if not fix_stale:
+            found.append(_coded(known.join(sound, "number", "left_semi"), "stale_manifest", none, message=message))
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def ordered_report(issues: DataFrame) -> DataFrame:
-    """Issues sorted by number (nulls last), code and message."""
-    return issues.orderBy(F.asc_nulls_last("number"), "code", "message", "batch")
+    """Issues sorted by number (nulls last), code and message; written out first, as sorting reads its input twice."""
+    return materialize(issues).orderBy(F.asc_nulls_last("number"), "code", "message", "batch")

@@ -15,22 +15,63 @@ PLACEHOLDER = "本章内容与主线剧情无关。"
 PARAGRAPH = 120
 
 
-def repair_reasons(translated: Column | str, source: Column | str, han: str = "\\u4e00-\\u9fff") -> Column:
-    """Codes of what is wrong with a part, in fixed order; an empty array if nothing is."""
-    out = F.col(translated) if isinstance(translated, str) else translated
-    raw = F.col(source) if isinstance(source, str) else source
-    paragraphs = F.filter(F.transform(F.split(out, r"\n+"), F.trim), lambda p: F.length(p) >= PARAGRAPH)
+# What stands for a masked term, the heading of a part, and words left in another language's sounds.
+TOKEN = r"(?:ZXQ|QZX)\d{1,6}QXZ"
+HEADING = r"(?mdU)^(Chương\s+\d+(?::\s+.*)?)$"
+ROMANIZED = (
+    "thiển trương viên",
+    "thập ma",
+    "thiểu điểm",
+    "chẩm hội",
+    "na khả thị",
+    "thiên chân vạn xác",
+    "thuấn gian(?: giải khai)?",
+    "trừu trứ lương khí",
+    "kinh đào hãi lãng",
+    "đích phu trượng",
+    "thuyết hoàn điều chuyển",
+    "khán liễu nhãn",
+    "cật sung liễu",
+    "đương tâm liễu",
+    "thính danh tự",
+    "đảo hấp nhất khẩu lương khí",
+    "giá chủng",
+    "bất thị thiện",
+    "vi hà hội như vậy",
+    "bình nhiễu",
+    "phủ tắc đáng bất trụ",
+    "vạn niên tuế nguyệt",
+)
+
+
+def repair_reasons(
+    part: Column | str, changed: Column | None = None, blocked: Column | None = None, han: str = "\\u3400-\\u4dbf\\u4e00-\\u9fff", romanized: tuple[str, ...] = ROMANIZED
+) -> Column:
+    """Codes of what is wrong with a translated part (null if it is missing), in fixed order; an empty array if nothing is.
+
+    ``changed`` says whether its source has changed since, ``blocked`` how many
+    terms it holds that it must not.  An empty part has ``empty-part`` twice,
+    for the file and for the text.
+    """
+    text = F.col(part) if isinstance(part, str) else part
+    yes = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
+    some = lambda name, n: F.when(n > 0, F.concat(F.lit(f"{name}:"), n.cast("string")))
+    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: F.length(p) >= PARAGRAPH)
+    again = F.size(paragraphs) - F.size(F.array_distinct(paragraphs))
+    left = F.size(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit("(?iu)" + "|".join(romanized)), F.lit(0)), lambda x: F.lower(strip(x)))))
+    headings = F.regexp_count(text, F.lit(HEADING))
     checks = [
-        F.when(strip(out) == "", "empty-part"),
-        F.when((F.length(raw) >= 200) & (F.length(out) * 4 < F.length(raw)), "too-short"),
-        F.when(F.regexp_count(out, F.lit(f"[{han}]")) > 0, "residual-script"),
-        F.when(out.rlike(r"ZXQ\d*QXZ"), "unresolved-token"),
-        F.when(out.rlike("(?i)```|<think>|</think>"), "model-markup"),
-        F.when(F.size(paragraphs) > F.size(F.array_distinct(paragraphs)), "repeated-paragraph"),
-        F.when(out.rlike(r"(?m)^\s*#{1,6} "), "markdown"),
-        F.when(out.contains("…") | out.contains("�"), "bad-character"),
+        F.when(text == "", "empty-part"),
+        F.when(yes(changed), "stale-part"),
+        F.when(strip(text) == "", "empty-part"),
+        F.when(text.rlike(TOKEN), "placeholder-token"),
+        some("blocked-glossary-targets", F.lit(0) if blocked is None else F.coalesce(blocked, F.lit(0))),
+        some("romanized-artifacts", left),
+        some("han-residue", F.regexp_count(text, F.lit(f"[{han}]"))),
+        F.when(headings > 1, F.concat(F.lit("duplicate-headers:"), headings.cast("string"))),
+        F.when(again >= 3, F.concat(F.lit("duplicate-paragraphs:"), again.cast("string"))),
     ]
-    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+    return F.when(text.isNull(), F.array(F.lit("missing-part"))).otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
 
 def without_noise(texts: DataFrame, text: str = "text", watermarks: tuple[str, ...] = WATERMARKS, metadata: tuple[str, ...] = METADATA_LINES) -> DataFrame:

@@ -19,9 +19,9 @@ sections AS (SELECT doc_id // 10 AS batch, doc_id % 10 AS pos, doc_id AS number,
   CASE WHEN position(chr(10) IN text) > 0 THEN substring(text, position(chr(10) IN text) + 1) ELSE text END AS body FROM documents)"""
 
 
-def document_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_sections(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
     cut = F.locate("\n", F.col("text"))
-    return table(spark, sf_dir, "documents").select(
+    return (table(spark, sf_dir, "documents") if docs is None else docs).select(
         F.expr("doc_id div 10").alias("batch"),
         (F.col("doc_id") % 10).alias("pos"),
         F.col("doc_id").alias("number"),
@@ -88,13 +88,51 @@ _INVALID_SQL = (
 VERIFY_SQL = f"""WITH {SECTIONS_SQL}, {_DUP_SQL},
 n AS (SELECT s.batch, s.number, {_sql_norm("s.title")} AS title, {_sql_norm("s.body")} AS body, {_REASON_SQL} AS dup FROM sections s JOIN stats USING (number)),
 j AS (SELECT batch, number, title, body, dup, {_WATERMARK_SQL} AS wm, {_META_SQL} AS md, {_INVALID_SQL} AS inv FROM n),
-content AS (SELECT batch, number, CASE WHEN body = '' THEN 'empty_section' WHEN wm IS NOT NULL THEN 'watermark_content' WHEN md IS NOT NULL THEN 'metadata_content'
-    WHEN inv IS NOT NULL THEN 'invalid_content' WHEN dup IS NOT NULL THEN 'duplicated_content' END AS code,
+content AS (SELECT batch, number, CASE WHEN body = '' THEN 'empty_chapter' WHEN wm IS NOT NULL THEN 'watermark_content' WHEN md IS NOT NULL THEN 'metadata_content'
+    WHEN inv IS NOT NULL THEN 'invalid_chapter_content' WHEN dup IS NOT NULL THEN 'duplicated_content' END AS code,
     CASE WHEN body = '' THEN '' ELSE coalesce(wm, md, inv, dup) END AS message FROM j)
 SELECT * FROM content WHERE code IS NOT NULL
 UNION ALL SELECT batch, number, 'paginated_title', title FROM j WHERE body <> '' AND regexp_matches(title, {_q(tx.PAGE_SUFFIX)})"""
 
 
+#: Documents by tens as files: every seventh has another name, the numbers of a batch skip those of documents in French.
+FILES_SQL = f"""WITH {SECTIONS_SQL.replace("FROM documents)", "FROM documents WHERE lang <> 'fr' AND doc_id % 50 >= 10)")}, {_DUP_SQL},
+files AS (SELECT DISTINCT doc_id // 10 AS batch, CASE WHEN doc_id // 10 % 7 <> 3 THEN doc_id // 10 * 10 END AS batch_start, CASE WHEN doc_id // 10 % 7 <> 3 THEN doc_id // 10 * 10 + 8 END AS batch_end FROM documents),
+asked AS (SELECT DISTINCT doc_id // 10 AS batch FROM documents UNION SELECT max(doc_id) // 10 + 5 FROM documents),
+n AS (SELECT s.batch, s.number, {_sql_norm("s.title")} AS title, {_sql_norm("s.body")} AS body, {_REASON_SQL} AS dup FROM sections s JOIN stats USING (number)),
+j AS (SELECT batch, number, title, body, dup, {_WATERMARK_SQL} AS wm, {_META_SQL} AS md, {_INVALID_SQL} AS inv FROM n),
+content AS (SELECT batch, number, CASE WHEN body = '' THEN 'empty_chapter' WHEN wm IS NOT NULL THEN 'watermark_content' WHEN md IS NOT NULL THEN 'metadata_content'
+    WHEN inv IS NOT NULL THEN 'invalid_chapter_content' WHEN dup IS NOT NULL THEN 'duplicated_content' END AS code,
+    CASE WHEN body = '' THEN '' ELSE coalesce(wm, md, inv, dup) END AS message FROM j),
+ends AS (SELECT batch, min(number) AS a, max(number) AS b FROM sections GROUP BY batch),
+whole AS (SELECT unnest(range(0, (SELECT max(doc_id) FROM documents))) AS number),
+bad AS (SELECT doc_id AS number, 'q' || quality AS reason FROM labels)
+SELECT * FROM content WHERE code IS NOT NULL
+UNION ALL SELECT batch, number, 'paginated_title', title FROM j WHERE body <> '' AND regexp_matches(title, {_q(tx.PAGE_SUFFIX)})
+UNION ALL SELECT batch, number, 'header_mismatch', title FROM j WHERE body <> '' AND wm IS NULL AND md IS NULL AND try_cast(nullif(regexp_extract(title, '([0-9]{{1,6}})', 1), '') AS INT) <> number
+UNION ALL SELECT files.batch, w.number, 'missing_chapter_in_batch', '' FROM files JOIN ends USING (batch) JOIN whole w ON w.number BETWEEN a AND b AND w.number BETWEEN batch_start AND batch_end WHERE w.number NOT IN (SELECT number FROM sections)
+UNION ALL SELECT batch, NULL, 'invalid_batch_filename', '' FROM files WHERE batch_start IS NULL
+UNION ALL SELECT batch, NULL, 'unparseable_file', '' FROM files WHERE batch NOT IN (SELECT batch FROM sections)
+UNION ALL SELECT batch, NULL, 'missing_file', '' FROM asked WHERE batch NOT IN (SELECT batch FROM files)
+UNION ALL SELECT NULL, number, 'missing_chapter_in_range', '' FROM whole WHERE number NOT IN (SELECT number FROM sections)
+UNION ALL SELECT NULL, number, CASE WHEN number IN (SELECT number FROM content WHERE code IS NULL) THEN 'stale_manifest' ELSE 'failure_manifest_entry' END, reason FROM bad WHERE number BETWEEN 0 AND (SELECT max(doc_id) FROM documents) - 1"""
+
+
+@query("verify_files", FILES_SQL)
+def verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: files, sections and a manifest of failures, with all codes."""
+    docs = table(spark, sf_dir, "documents")
+    batch, named = F.expr("doc_id div 10"), F.expr("doc_id div 10 % 7 <> 3")
+    all_batches = docs.select(batch.alias("batch"), F.when(named, batch * 10).alias("batch_start"), F.when(named, batch * 10 + 8).alias("batch_end")).distinct()
+    last = docs.agg(F.max("doc_id")).first()[0] or 0
+    asked = all_batches.select("batch").union(spark.range(1).select(F.lit(last // 10 + 5).cast("long").alias("batch")))
+    sections_of = document_sections(spark, sf_dir, docs.where("lang <> 'fr' and doc_id % 50 >= 10"))
+    failures = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("number"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("reason"), F.lit("").alias("details"))
+    # The last number is left out of the range, so range and table differ.
+    found = quality.verify_files(all_batches, sections_of, "([0-9]{1,6})", asked, 0, last - 1, failures, fix_stale=False)
+    return quality.ordered_report(found)
+
+
 @query("verify_report", VERIFY_SQL)
 def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3 with P1-P4, A1, A2: issues of all documents as sections."""
@@ -202,25 +240,38 @@ def script_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "r.n_chars", "r.n_runs", F.size("r.distinct_runs").alias("n_distinct"))
 
 
-_REASONS = """list_filter([CASE WHEN trim(out) = '' THEN 'empty-part' END,
- CASE WHEN length(text) >= 200 AND length(out) * 4 < length(text) THEN 'too-short' END,
- CASE WHEN regexp_matches(out, '[一-鿿]') THEN 'residual-script' END, CASE WHEN regexp_matches(out, 'ZXQ\\d*QXZ') THEN 'unresolved-token' END,
- CASE WHEN regexp_matches(lower(out), '```|<think>|</think>') THEN 'model-markup' END,
- CASE WHEN len(ps) > len(list_distinct(ps)) THEN 'repeated-paragraph' END,
- CASE WHEN regexp_matches(out, '(?m)^\\s*#{1,6} ') THEN 'markdown' END,
- CASE WHEN contains(out, '…') OR contains(out, '�') THEN 'bad-character' END], lambda x: x IS NOT NULL)""".replace("\\\\", "\\")
+_REASONS = r"""list_filter([CASE WHEN out = '' THEN 'empty-part' END, CASE WHEN changed THEN 'stale-part' END, CASE WHEN regexp_matches(out, '^\s*$') THEN 'empty-part' END,
+ CASE WHEN regexp_matches(out, '(?:ZXQ|QZX)[0-9]{1,6}QXZ') THEN 'placeholder-token' END, CASE WHEN blocked > 0 THEN 'blocked-glossary-targets:' || blocked END,
+ CASE WHEN regexp_matches(lower(out), 'thập ma|giá chủng') THEN 'romanized-artifacts:' || len(list_distinct(regexp_extract_all(lower(out), 'thập ma|giá chủng'))) END,
+ CASE WHEN length(regexp_replace(out, '[^一-鿿]', '', 'g')) > 0 THEN 'han-residue:' || length(regexp_replace(out, '[^一-鿿]', '', 'g')) END,
+ CASE WHEN len(regexp_extract_all(out, '(?m)^Chương\s+[0-9]+(?::\s+.*)?$')) > 1 THEN 'duplicate-headers:' || len(regexp_extract_all(out, '(?m)^Chương\s+[0-9]+(?::\s+.*)?$')) END,
+ CASE WHEN len(ps) - len(list_distinct(ps)) >= 3 THEN 'duplicate-paragraphs:' || (len(ps) - len(list_distinct(ps))) END], lambda x: x IS NOT NULL)"""
+_PARTS = r"""SELECT doc_id, doc_id % 8 = 1 AS changed, doc_id % 3 AS blocked, CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN chr(10) || ' ' WHEN 3 THEN text || ' ZXQ' || doc_id || 'QXZ'
+ WHEN 4 THEN 'Thập ma, giá chủng? ' || text || ' THẬP MA' WHEN 5 THEN text || '上京' WHEN 6 THEN 'Chương 1' || chr(10) || text || chr(10) || 'Chương 2: x' WHEN 7 THEN repeat(text || chr(10) || chr(10), 5) ELSE text END AS out FROM documents"""
 
 
 @query(
     "repair_reasons",
-    f"""WITH o AS (SELECT doc_id, text, substring(text, 1, (length(text) // (doc_id % 7 + 1))::BIGINT) AS out FROM documents),
-p AS (SELECT *, list_filter(list_transform(regexp_split_to_array(out, '\\n+'), lambda x: trim(x)), lambda x: length(x) >= 120) AS ps FROM o)
-SELECT doc_id, array_to_string({_REASONS}, ',') AS reasons FROM p WHERE len({_REASONS}) > 0""",
+    f"""WITH o AS ({_PARTS}), p AS (SELECT *, list_filter(list_transform(string_split(out, chr(10) || chr(10)), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: length(x) >= 120) AS ps FROM o),
+r AS (SELECT doc_id, CASE WHEN out IS NULL THEN ['missing-part'] ELSE {_REASONS} END AS r FROM p) SELECT doc_id, array_to_string(r, ',') AS reasons FROM r WHERE len(r) > 0""".replace("\\\\", "\\"),
 )
 def repair_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is wrong with parts cut from documents."""
-    rows = table(spark, sf_dir, "documents").withColumn("out", F.expr("substring(text, 1, cast(length(text) div (doc_id % 7 + 1) as int))"))
-    return rows.select("doc_id", repair.repair_reasons("out", "text").alias("r")).where(F.size("r") > 0).select("doc_id", F.array_join("r", ",").alias("reasons"))
+    """What is wrong with parts made from documents, every code among them."""
+    text, kind = F.col("text"), F.col("doc_id") % 10
+    part = (
+        F.when(kind == 0, F.lit(None).cast("string"))
+        .when(kind == 1, "")
+        .when(kind == 2, "\n ")
+        .when(kind == 3, F.concat(text, F.lit(" ZXQ"), F.col("doc_id").cast("string"), F.lit("QXZ")))
+        .when(kind == 4, F.concat(F.lit("Thập ma, giá chủng? "), text, F.lit(" THẬP MA")))
+        .when(kind == 5, F.concat(text, F.lit("上京")))
+        .when(kind == 6, F.concat(F.lit("Chương 1\n"), text, F.lit("\nChương 2: x")))
+        .when(kind == 7, F.repeat(F.concat(text, F.lit("\n\n")), 5))
+        .otherwise(text)
+    )
+    rows = table(spark, sf_dir, "documents").withColumn("out", part)
+    found = rows.select("doc_id", repair.repair_reasons("out", F.col("doc_id") % 8 == 1, F.col("doc_id") % 3).alias("r")).where(F.size("r") > 0)
+    return found.select("doc_id", F.array_join("r", ",").alias("reasons"))
 
 
 @query(

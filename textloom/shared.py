@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a fresh table in the shared folder and read it back.
+
+    This cuts lineage in a way that survives lost executors, and unlike
+    ``checkpoint()`` it is columnar and compressed.
+    """
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
