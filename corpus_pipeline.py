@@ -52,10 +52,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and the digest of the text that they decode to."""
-    model = vocabulary("piece_bpe_32k.model")
-    encoded = sentencepiece_bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), model).drop("text")
-    decoded = sentencepiece_bpe.decode_documents(encoded, model)
-    return decoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = sentencepiece_bpe.encode_and_decode(docs, vocabulary("piece_bpe_32k.model"), keys=("doc_id", "lang", "source"))
+    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -44,10 +44,8 @@ OP1_SQL = "SELECT doc_id, lang, source, n_chars, sha256(text) AS text_sha256 FRO
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = vocabulary("piece_bpe_32k.model")
-    encoded = sentencepiece_bpe.encode_documents(docs, model).select("doc_id", "ids")
-    return sentencepiece_bpe.decode_documents(encoded, model).select(
+    coded = sentencepiece_bpe.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

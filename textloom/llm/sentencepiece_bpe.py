@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-MEMO_ENTRIES = 700_000
+#: Atoms, and pairs of neighbours, that a worker remembers, and the longest atom among them.
+MEMO_ENTRIES, MEMO_PAIRS = 250_000, 400_000
 MEMO_CHARS = 40
 _ATOMS = re.compile(r"▁[^▁\n]*|\n|[^▁\n]+")
 
@@ -113,7 +114,7 @@ class PieceModel:
         key = left << 20 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > MEMO_PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self.merge(self.pieces[left] + self.pieces[right]) == [left, right]
         return known
@@ -135,14 +136,14 @@ class PieceModel:
         while True:
             options -= 1
             if options < 0:
-                failed = failed or bytearray(size + 1)
-                failed[at] = 1
+                failed = failed or bytearray(size // 8 + 1)
+                failed[at >> 3] |= 1 << (at & 7)
                 at, options = trail.pop()
                 out.pop()
                 before = out[-1] if out else -1
                 continue
             piece, length = found[at][options]
-            if failed and failed[at + length]:
+            if failed and failed[at + length >> 3] >> (at + length & 7) & 1:
                 continue
             if before >= 0:
                 fits = pairs.get(before << 20 | piece)
@@ -303,6 +304,26 @@ def _decode_array(model: PieceModel, ids: pa.Array) -> pa.Array:
     return pa.array([model.decode(flat[a - first : b - first]) for a, b in zip(offsets, offsets[1:], strict=False)], pa.string())
 
 
+def _coded_batches(path: str, chunk: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = piece_model(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk):
+                *rest, texts = batch.slice(at, chunk).columns
+                ids = _encode_array(model, texts)
+                yield pa.RecordBatch.from_arrays([*rest, ids, _decode_array(model, ids)], names=[*batch.schema.names[:-1], "ids", "decoded"])
+
+    return run
+
+
+def encode_and_decode(docs: DataFrame, model: str, text: str = "text", keys: tuple[str, ...] = ("doc_id",), chunk: int = 200) -> DataFrame:
+    """``keys``, ``ids`` and the text that these decode to (``decoded``), in one pass: one model for each task."""
+    source = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`").cast("string").alias("__value"))
+    fields = [source.schema[i] for i in range(len(keys))]
+    fields += [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
+    return source.mapInArrow(_coded_batches(model, chunk), T.StructType(fields))
+
+
 def _apply(docs: DataFrame, column: str, cast: str, out: T.StructField, convert, path: str, chunk: int) -> DataFrame:
     rest = [c for c in docs.columns if c not in (out.name,)]
     source = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{column}`").cast(cast).alias("__value"))
