@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.polish import packed
 from textloom.operators.replay import Limits
 from textloom.shared import shared_dir
 from textloom.streaming import usage as streaming
@@ -54,13 +56,12 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_bursts",
-    "WITH w AS (SELECT epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) // 1000000 AS window_start, count(*) AS n_events, count(DISTINCT user_id) AS n_members FROM events WHERE event_type = 'error' GROUP BY 1) SELECT window_start, n_events FROM w WHERE n_events >= 3 AND n_members >= 3",
+    "WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us FROM events WHERE event_type = 'error'), w AS (SELECT event_id, count(*) OVER o AS n_events, len(list_distinct(list(user_id) OVER o)) AS n_members FROM e WINDOW o AS (ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW)) SELECT event_id, n_events::INT AS n_events, n_members::INT AS n_members FROM w WHERE n_events >= 3 AND n_members >= 3",
 )
 def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 as a stream: hours with errors of several keys."""
+    """T5 as a stream: errors that end an hour with errors of several keys."""
     errors = event_stream(spark, sf_dir).where("event_type = 'error'")
-    done = run_to_end(streaming.bursts(errors, "at", "user_id", 3600, 3600, 3, 3), "complete")
-    return done.select(F.unix_seconds("window_start").alias("window_start"), "n_events")
+    return run_to_end(streaming.bursts(errors, "at", "user_id", "event_id", 3600, 3, 3), "complete")
 
 
 @query("stream_new_jobs", "SELECT DISTINCT props FROM events")
@@ -104,19 +105,54 @@ def reversed_words(texts: list[str]) -> list[str]:
 
 
 def provided(rows: DataFrame, provider: Provider, text: str, out: str) -> DataFrame:
-    """Adds ``out``: what a provider makes of a text, asked once for each batch."""
+    """Adds ``out``: what a provider makes of a text, asked once for each batch; null texts are not asked for."""
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pdf.assign(**{out: provider(pdf[text].fillna("").tolist())})
+            asked = pdf[text].notna()
+            made = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
+            if asked.any():
+                made[asked] = provider(pdf.loc[asked, text].tolist())
+            yield pdf.assign(**{out: made})
 
     return rows.mapInPandas(run, schema)
 
 
-@query("translate_stub", "SELECT doc_id, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS translated FROM documents WHERE doc_id % 2 = 1")
+def translated(rows: DataFrame, keys: list[str], text: str, provider: Provider, repairs: list[tuple[Callable[[Column], Column], Provider]], most: int = 800) -> DataFrame:
+    """``keys, translated``: texts cut into chunks of whole lines, each made by a provider and, while something is wrong with it, by those after it.
+
+    ``repairs`` are (what is wrong, provider) in their order; a repair sees only
+    the chunks that are wrong by its own test.  A text without lines is empty.
+    """
+    chunks = rows.select(*keys, F.posexplode_outer(packed(F.split(F.coalesce(text, F.lit("")), "\n"), most)).alias("pos", "chunk"))
+    made = provided(chunks, provider, "chunk", "made")
+    for wrong, repair in repairs:
+        asked = made.withColumn("asked", F.when(wrong(F.col("made")), F.col("made")))
+        made = provided(asked, repair, "asked", "again").withColumn("made", F.coalesce("again", "made")).select(*keys, "pos", "made")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "made"))), lambda c: c["made"]), "\n")
+    return made.groupBy(*keys).agg(whole.alias("translated"))
+
+
+@query("translate_stub", "SELECT doc_id, array_to_string(list_reverse(string_split(text, ' ')), ' ') AS translated FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def translate_stub(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only parts that are not done yet go to the provider."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = docs.where("doc_id % 2 = 0").select("doc_id")
+    done = table(spark, sf_dir, "labels").select("doc_id")
     return provided(docs.join(done, "doc_id", "left_anti"), reversed_words, "text", "translated").select("doc_id", "translated")
+
+
+@query(
+    "translate_cascade",
+    r"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS ls FROM documents),
+m AS (SELECT doc_id, list_transform(ls, lambda x: array_to_string(list_reverse(string_split(x, ' ')), ' ')) AS ms FROM l),
+r AS (SELECT doc_id, list_transform(ms, lambda x: CASE WHEN regexp_matches(x, '[#*$%&]') THEN regexp_replace(x, '[#*$%&]+', '', 'g') ELSE x END) AS ms FROM m)
+SELECT doc_id, array_to_string(list_transform(ms, lambda x: CASE WHEN regexp_matches(x, '[0-9]{8}') THEN regexp_replace(x, '[0-9]', '0', 'g') ELSE x END), chr(10)) AS translated FROM r""",
+)
+def translate_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents line by line through a provider and two repairs."""
+    clean = lambda texts: [re.sub(r"[#*$%&]+", "", t) for t in texts]
+    zero = lambda texts: [re.sub("[0-9]", "0", t) for t in texts]
+    repairs = [(lambda c: c.rlike("[#*$%&]"), clean), (lambda c: c.rlike("[0-9]{8}"), zero)]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return translated(docs, ["doc_id"], "text", reversed_words, repairs, most=0)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from textloom.functions.text import let
 from textloom.operators.replay import Limits, Windows
 
 
@@ -33,11 +34,24 @@ def new_jobs(jobs: DataFrame, key: str, at: str, late: str = "1 hour") -> DataFr
     return jobs.withWatermark(at, late).dropDuplicatesWithinWatermark([key])
 
 
-def bursts(events: DataFrame, at: str, member: str, seconds: int, slide: int, least: int, least_members: int, late: str = "1 minute") -> DataFrame:
-    """Windows with enough events of enough different members."""
-    window = F.window(at, f"{seconds} seconds", f"{slide} seconds")
-    counted = events.withWatermark(at, late).groupBy(window.alias("w")).agg(F.count(F.lit(1)).alias("n_events"), F.approx_count_distinct(member, 0.01).alias("n_members"))
-    return counted.where((F.col("n_events") >= least) & (F.col("n_members") >= least_members)).select(F.col("w.start").alias("window_start"), "n_events", "n_members")
+def bursts(events: DataFrame, at: str, member: str, ident: str, seconds: int, least: int, least_members: int, late: str = "1 minute") -> DataFrame:
+    """Events that end a burst: enough events of enough different members in the ``seconds`` up to each.
+
+    Windows of twice that length start every ``seconds``, so the second half of
+    one holds each event with all that can count for it; what a window holds is
+    kept as its state, and both counts are exact.
+    """
+    micros = seconds * 1_000_000
+    window = F.window(at, f"{2 * seconds} seconds", f"{seconds} seconds")
+    event = F.struct(F.unix_micros(F.col(at)).alias("us"), F.col(member).alias("member"), F.col(ident).alias("ident"))
+    held = events.withWatermark(at, late).groupBy(window.alias("w")).agg(F.collect_list(event).alias("es"))
+    ends = F.filter("es", lambda e: e["us"] >= F.unix_micros(F.col("w.start")) + micros)
+    counted = lambda e: let(
+        F.filter("es", lambda x: x["us"].between(e["us"] - micros, e["us"])),
+        lambda xs: F.struct(e["ident"].alias("ident"), F.size(xs).alias("n_events"), F.size(F.array_distinct(F.transform(xs, lambda x: x["member"]))).alias("n_members")),
+    )
+    found = held.select(F.explode(F.transform(ends, counted)).alias("b")).select(F.col("b.ident").alias(ident), "b.n_events", "b.n_members")
+    return found.where((F.col("n_events") >= least) & (F.col("n_members") >= least_members))
 
 
 def admission(events: DataFrame, keys: list[str], limits: Limits, at: str, ident: str, tokens: str, late: str = "2 minutes") -> DataFrame:
