@@ -76,6 +76,13 @@ def admitted_by_rate(events: DataFrame, keys: Sequence[str], at: str, per_second
     return events.withColumn("slot", slot).withColumn("place", place).withColumn("admitted", F.col("place") <= per_second)
 
 
+def ramped(events: DataFrame, keys: Sequence[str], at: str, seconds: float, per_second: int, tie: str) -> DataFrame:
+    """Events with ``admitted``: in the first ``seconds`` after a key's first event at most ``per_second`` in each second, then all."""
+    started = F.min(at).over(Window.partitionBy(*keys))
+    slots = admitted_by_rate(events.withColumn("__until", started + seconds), keys, at, per_second, tie)
+    return slots.withColumn("admitted", (F.col(at) >= F.col("__until")) | F.col("admitted")).drop("__until", "slot", "place")
+
+
 def throughput(jobs: DataFrame, at: str, file: str, seconds: int, keys: Sequence[str] = ()) -> DataFrame:
     """Jobs and different files of each tumbling window, and both per minute."""
     start = (F.floor(F.col(at) / seconds) * seconds).cast("long")
@@ -124,3 +131,58 @@ def newest_state(lines: DataFrame, keys: Sequence[str], order: str, state: Colum
     """The state of the newest line that tells one."""
     told = lines.withColumn("state", state).where("state is not null")
     return told.groupBy(*keys).agg(F.max_by("state", order).alias("state"), F.max(order).alias("seen_at"))
+
+
+def held_state(lines: DataFrame, keys: Sequence[str], order: str, state: Column, failed: Column, now: Column, hold: float, idle: str = "idle") -> DataFrame:
+    """The state of each key: ``error`` for ``hold`` after its last failure, else what its newest telling line says, else ``idle``."""
+    told = lines.withColumn("__state", state).withColumn("__failed", F.when(failed, F.col(order)))
+    newest = F.max_by(F.when(F.col("__state").isNotNull(), F.col("__state")), F.when(F.col("__state").isNotNull(), F.col(order)))
+    found = told.groupBy(*keys).agg(newest.alias("__newest"), F.max("__failed").alias("__last"))
+    return found.select(*keys, F.when(now - F.col("__last") <= hold, "error").otherwise(F.coalesce("__newest", F.lit(idle))).alias("state"))
+
+
+# How much a child's state says about its worker.
+CHILD_STATES = {
+    "error": 4,
+    "out-of-quota": 3,
+    "waiting-quota": 3,
+    "waiting-429": 2,
+    "glossary": 2,
+    "repair": 2,
+    "translate": 1,
+    "busy": 1,
+}
+
+
+def worker_states(children: DataFrame, worker: str, state: str, countdown: str, order: str, weights: dict[str, int] | None = None) -> DataFrame:
+    """``worker, state, countdown``: the weightiest state of its children, the first in order among equals; of those that wait so, the longest countdown.
+
+    Workers none of whose children has a known state have none.
+    """
+    weight = F.coalesce(*[F.when(F.col(state) == s, F.lit(n)) for s, n in (weights or CHILD_STATES).items()])
+    told = children.withColumn("__w", weight).where("__w is not null")
+    best = told.groupBy(worker).agg(F.max_by(state, F.struct("__w", -F.col(order))).alias("__best"))
+    waits = told.groupBy(worker, state).agg(F.max(F.coalesce(countdown, F.lit(0.0))).alias("__longest"))
+    joined = best.join(waits, [best[worker].eqNullSafe(waits[worker]), best["__best"] == waits[state]])
+    return joined.select(best[worker], F.col("__best").alias("state"), F.when(F.col("__best").startswith("waiting-"), F.col("__longest")).alias("countdown"))
+
+
+#: A key of the usage store: prefix, scope, name of the secret, model, and metric.
+USAGE_KEY = r"^([^:]+):([^:]+):([^:]+):([^:]+):((?:api|llm|quota)(?::[a-z0-9]+)+)$"
+
+
+def usage_key(key: Column | str) -> Column:
+    """``struct(prefix, scope, token, model, metric)`` of a key of the usage store; null if it is none."""
+    key = F.col(key) if isinstance(key, str) else key
+    parts = [F.regexp_extract(key, USAGE_KEY, i + 1).alias(name) for i, name in enumerate(("prefix", "scope", "token", "model", "metric"))]
+    return F.when(key.rlike(USAGE_KEY), F.struct(*parts))
+
+
+def preferred_counts(counts: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    """``token, model, metric, n`` summed over scopes: of the ``metrics`` that a scope, token and model have, the first."""
+    base = ["scope", "token", "model"]
+    rank = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("metric"))
+    place = F.row_number().over(Window.partitionBy(*base).orderBy("__rank"))
+    summed = counts.where(F.col("metric").isin(*metrics)).groupBy(*base, "metric").agg(F.sum("n").alias("n")).withColumn("__rank", rank)
+    first = summed.withColumn("__place", place).where("__place = 1")
+    return first.groupBy("token", "model").agg(F.sum("n").alias("n"))

@@ -170,6 +170,63 @@ def worker_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.newest_state(quota_events(spark, sf_dir), ["user_id"], "us", state)
 
 
+_HOLD = 3_600 * SECOND
+
+
+@query(
+    "held_state",
+    f"WITH {_EV}, s AS (SELECT user_id, max_by(CASE event_type WHEN 'click' THEN 'busy' WHEN 'purchase' THEN 'idle' END, us) FILTER (event_type IN ('click', 'purchase')) AS newest, max(us) FILTER (event_type = 'error') AS failed FROM ev GROUP BY user_id) SELECT user_id, CASE WHEN (SELECT max(us) FROM ev) - failed <= {_HOLD * 24} THEN 'error' ELSE coalesce(newest, 'idle') END AS state FROM s",
+)
+def held_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of workers, errors held for a day."""
+    events = quota_events(spark, sf_dir)
+    now = F.lit(events.agg(F.max("us")).first()[0])
+    state = F.when(F.col("event_type") == "click", "busy").when(F.col("event_type") == "purchase", "idle")
+    return usage.held_state(events, ["user_id"], "us", state, F.col("event_type") == "error", now, _HOLD * 24)
+
+
+@query(
+    "worker_child_states",
+    f"""WITH {_EV}, w(state, weight) AS (VALUES ('error', 4), ('out-of-quota', 3), ('waiting-quota', 3), ('waiting-429', 2), ('glossary', 2), ('repair', 2), ('translate', 1), ('busy', 1)),
+c AS (SELECT user_id, event_id, tokens, ['busy', 'translate', 'repair', 'waiting-429', 'waiting-quota', 'gone', 'glossary'][event_id % 7 + 1] AS state FROM ev WHERE user_id % 3 > 0 OR event_id % 7 < 2),
+b AS (SELECT user_id, arg_max(state, weight * 1000000000 - event_id) AS best FROM c JOIN w USING (state) GROUP BY user_id)
+SELECT b.user_id, best AS state, CASE WHEN best LIKE 'waiting-%' THEN max(c.tokens)::DOUBLE END AS countdown FROM b JOIN c ON b.user_id = c.user_id AND c.state = best GROUP BY b.user_id, best""",
+)
+def worker_child_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A worker's state from those of its children."""
+    names = F.array(*[F.lit(x) for x in ("busy", "translate", "repair", "waiting-429", "waiting-quota", "gone", "glossary")])
+    children = quota_events(spark, sf_dir).where("user_id % 3 > 0 or event_id % 7 < 2")
+    children = children.select("user_id", "event_id", F.get(names, (F.col("event_id") % 7).cast("int")).alias("child"), F.col("tokens").cast("double").alias("left"))
+    return usage.worker_states(children, "user_id", "child", "left", "event_id")
+
+
+@query(
+    "startup_ramp",
+    f"WITH {_EV}, d AS (SELECT event_id, user_id, us / 86400000000.0 AS day FROM ev), r AS (SELECT *, min(day) OVER (PARTITION BY user_id) + 10 AS until, row_number() OVER (PARTITION BY user_id, floor(day) ORDER BY day, event_id) AS k FROM d) SELECT event_id, day >= until OR k <= 1 AS admitted FROM r",
+)
+def startup_ramp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The start of each key at a slower rate, days for seconds."""
+    events = quota_events(spark, sf_dir).select("event_id", "user_id", (F.col("us") / 86_400_000_000.0).alias("day"))
+    return usage.ramped(events, ["user_id"], "day", 10, 1, "event_id").select("event_id", "admitted")
+
+
+@query(
+    "usage_key_space",
+    f"""WITH {_EV}, k AS (SELECT user_id::VARCHAR AS token, event_type AS model, event_id % 2 AS scope, CASE WHEN event_id % 5 = 0 THEN 'api:calls' ELSE 'llm:reqs' END AS metric FROM ev WHERE event_id % 4 > 0 AND (event_type <> 'view' OR event_id % 5 = 0)),
+b AS (SELECT token, model, scope, metric, count(*) AS n FROM k GROUP BY ALL), f AS (SELECT *, row_number() OVER (PARTITION BY token, model, scope ORDER BY CASE metric WHEN 'llm:reqs' THEN 0 ELSE 1 END) AS r FROM b)
+SELECT token, model, sum(n)::BIGINT AS n FROM f WHERE r = 1 GROUP BY token, model""",
+)
+def usage_key_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the usage store read into fields; calls count where there are no requests."""
+    events = quota_events(spark, sf_dir).where("event_type <> 'view' or event_id % 5 = 0")
+    metric = F.when(F.col("event_id") % 5 == 0, "api:calls").otherwise("llm:reqs")
+    scope = F.concat(F.lit("n"), (F.col("event_id") % 2).cast("string"))
+    whole = F.concat_ws(":", F.lit("q"), scope, F.col("user_id").cast("string"), F.col("event_type"), metric)
+    keys = events.select(F.when(F.col("event_id") % 4 == 0, F.lit("q:other")).otherwise(whole).alias("key"))
+    counts = keys.select(usage.usage_key("key").alias("k"), F.lit(1).alias("n")).where("k is not null").select("k.*", "n")
+    return usage.preferred_counts(counts, ["llm:reqs", "api:calls"]).select("token", "model", "n")
+
+
 @query("retention_topn", "SELECT o_custkey, d AS day, k <= 4 AS kept FROM (SELECT o_custkey, d, row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC) AS k FROM (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders))")
 def retention_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The four newest days of each log stay."""
