@@ -189,7 +189,7 @@ def held_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     "worker_child_states",
     f"""WITH {_EV}, w(state, weight) AS (VALUES ('error', 4), ('out-of-quota', 3), ('waiting-quota', 3), ('waiting-429', 2), ('glossary', 2), ('repair', 2), ('translate', 1), ('busy', 1)),
 c AS (SELECT user_id, event_id, tokens, ['busy', 'translate', 'repair', 'waiting-429', 'waiting-quota', 'gone', 'glossary'][event_id % 7 + 1] AS state FROM ev WHERE user_id % 3 > 0 OR event_id % 7 < 2),
-b AS (SELECT user_id, arg_max(state, weight * 1000000000 - event_id) AS best FROM c JOIN w USING (state) GROUP BY user_id)
+b AS (SELECT user_id, arg_max(state, weight::BIGINT * 1000000000 - event_id) AS best FROM c JOIN w USING (state) GROUP BY user_id)
 SELECT b.user_id, best AS state, CASE WHEN best LIKE 'waiting-%' THEN max(c.tokens)::DOUBLE END AS countdown FROM b JOIN c ON b.user_id = c.user_id AND c.state = best GROUP BY b.user_id, best""",
 )
 def worker_child_states(spark: SparkSession, sf_dir: str) -> DataFrame:
