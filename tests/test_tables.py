@@ -83,11 +83,14 @@ def test_majority_prefers_the_first_seen(spark):
 def test_terms_in_texts(spark):
     texts = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "the category"), (3, None), (4, "")], "d int, t string")
     words = spark.createDataFrame([(1, "cat sat"), (2, "the"), (3, "cat"), (4, "dog")], "k int, w string")
-    got = terms.contained_terms(texts, words, "t", "w", ["d"], ["k"])
-    assert pairs(got, "d", "k") == [(1, 1), (1, 2), (1, 3), (2, 2)]
+    got = terms.contained_strings(texts, words, "t", "w", ["d"], ["k"])
+    assert pairs(got, "d", "k") == [(1, 1), (1, 2), (1, 3), (2, 2), (2, 3)]
 
 
-def test_strings_in_texts(spark):
+@pytest.mark.parametrize("most", [terms.MOST_TERMS, 0])
+def test_strings_in_texts(spark, monkeypatch, most):
+    """Few terms run over the texts, many are joined to them: the same rows."""
+    monkeypatch.setattr(terms, "MOST_TERMS", most)
     texts = [(1, "the category of mats"), (2, "他在北京大学学习，😀很好"), (2, "a.b"), (None, "the cat"), (4, None), (5, "")]
     words = [(1, "cat"), (2, "egory of ma"), (3, "北京大学"), (4, "京大学学习，😀很"), (5, ".b"), (6, "dog"), (7, "e  cat"), (1, "cat"), (8, ""), (9, None), (10, "category of mats and")]
     got = terms.contained_strings(spark.createDataFrame(texts, "d int, t string"), spark.createDataFrame(words, "k int, w string"), "t", "w", ["d"], ["k"])

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .relational import majority
 
-#: Characters of the runs that substrings are looked for by.
+#: Characters of the runs that substrings are looked for by, and the terms (and their characters) that may travel with the tasks instead.
 GRAM = 6
+MOST_TERMS, MOST_CHARS = 50_000, 2_000_000
 
 
 def longest_first(terms: DataFrame, keys: Sequence[str] = ()) -> Column:
@@ -45,26 +49,6 @@ def words_of(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(F.col(text) if isinstance(text, str) else text), r"(?U)[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def contained_terms(texts: DataFrame, terms: DataFrame, text: str, term: str, keys: Sequence[str], term_keys: Sequence[str]) -> DataFrame:
-    """Which terms stand in which texts, as an equi-join: each term is looked for by its rarest word.
-
-    The word a term is filed under is the one that fewest texts hold, so common
-    words bring no candidates; candidates are then tested for the whole term.
-    Terms without a word cannot be found.
-    """
-    named = terms.select(*term_keys, F.col(term).alias("term"), F.array_distinct(words_of(term)).alias("words")).where(F.size("words") > 0)
-    held = texts.select(*keys, F.explode(F.array_distinct(words_of(text))).alias("word"))
-    asked = named.select(F.explode("words").alias("word")).distinct()
-    frequency = held.join(asked, "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    filed = named.select(*term_keys, "term", F.explode("words").alias("word")).join(frequency, "word")
-    complete = named.select(*term_keys, F.size("words").alias("n_words"))
-    rarest = filed.groupBy(*term_keys, "term").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count(F.lit(1)).alias("found"))
-    rarest = rarest.join(complete, list(term_keys)).where("found = n_words").drop("found", "n_words")
-    candidates = held.join(rarest, "word").select(*keys, *term_keys, "term").distinct()
-    whole = candidates.join(texts.select(*keys, F.col(text).alias("whole")), list(keys))
-    return whole.where(F.contains("whole", "term")).select(*keys, *term_keys)
-
-
 def _grams(text: Column | str, size: int) -> Column:
     """All runs of ``size`` characters of a text, repeats included; the empty string for 0."""
     text = F.col(text) if isinstance(text, str) else text
@@ -73,15 +57,46 @@ def _grams(text: Column | str, size: int) -> Column:
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-def contained_strings(texts: DataFrame, terms: DataFrame, text: str, term: str, keys: Sequence[str], term_keys: Sequence[str]) -> DataFrame:
-    """Which terms are substrings of which texts, as an equi-join: each term is looked for by its rarest run of GRAM characters.
+def _found_terms(terms: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The different terms that each text (last column) holds, a row for each."""
 
-    A text that holds a term holds all its runs, so no match is lost; candidates
-    are then tested for the whole term.  A term shorter than a run is looked for
-    by itself.  Repeated rows on either side give repeated matches.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = ahocorasick.Automaton()
+        for t in filter(None, terms):
+            matcher.add_word(t, t)
+        matcher.make_automaton()
+        always = [""] if "" in terms else []
+        for batch in batches:
+            rows, found = [], []
+            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                here = [*always, *({t for _, t in matcher.iter(text)} if len(matcher) else ())]
+                rows += [i] * len(here)
+                found += here
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([*[c.take(take) for c in batch.columns[:-1]], pa.array(found, pa.string())], names=[*batch.schema.names[:-1], "__term"])
+
+    return run
+
+
+def contained_strings(texts: DataFrame, terms: DataFrame, text: str, term: str, keys: Sequence[str], term_keys: Sequence[str]) -> DataFrame:
+    """Which terms are substrings of which texts.
+
+    Up to MOST_TERMS different terms of MOST_CHARS characters are sent to the
+    tasks, which run over each text once (Aho-Corasick).  More are found by an
+    equi-join: each term is looked for by its rarest run of GRAM characters.  A
+    text that holds a term holds all its runs, so no match is lost; candidates
+    are then tested for the whole term, and a term shorter than a run is looked
+    for by itself.  Repeated rows on either side give repeated matches.
     """
     named = terms.select(*term_keys, F.col(term).alias("__term")).where("__term is not null")
-    each = named.select("__term").distinct().withColumn("__size", F.least(F.length("__term"), F.lit(GRAM)))
+    distinct = named.select("__term").distinct()
+    n, chars = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("__term")), F.lit(0))).first()
+    if n <= MOST_TERMS and chars <= MOST_CHARS:
+        few = [r[0] for r in distinct.collect()]
+        source = texts.select(*keys, F.col(text).cast("string").alias("__whole")).where("__whole is not null")
+        schema = T.StructType([*source.schema.fields[: len(keys)], T.StructField("__term", T.StringType())])
+        return source.mapInArrow(_found_terms(few), schema).join(named, "__term").select(*keys, *term_keys)
+    each = distinct.withColumn("__size", F.least(F.length("__term"), F.lit(GRAM)))
     sizes = sorted(r[0] for r in each.select("__size").distinct().collect()) or [GRAM]
     asked = each.select("__term", F.explode(F.coalesce(*[F.when(F.col("__size") == n, _grams("__term", n)) for n in sizes])).alias("__gram")).distinct()
     held = texts.select(*keys, F.explode(F.concat(*[_grams(text, n) for n in sizes])).alias("__gram"))
