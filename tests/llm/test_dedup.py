@@ -124,6 +124,31 @@ def test_links_are_those_of_all_pairs(spark):
     assert got == {i: (links[i], part[i], part[i] == i) for i in part}
 
 
+def test_links_of_doubles_and_of_all_lengths(spark):
+    big, small = [1e300, 2e300, 0.0], [1e-60, 2e-60, 1e-90]
+    vectors = [(1, big), (2, [v / 3 for v in big]), (3, small), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0]), (6, [2.0, 0.1]), (7, [0.0, 1.0]), (8, [7.0]), (9, [3.0]), (10, [-3.0])]
+    rows = spark.createDataFrame([(i, v, 0, 0) for i, v in vectors], "vec_id long, embedding array<double>, cell int, rep int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.embedding_groups(rows, block=1).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (1, 8), 9: (1, 8), 10: (0, 10)}
+
+
+def test_tight_cells_have_few_guests():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 32))
+    x = np.repeat(centres, 50, 0) + 0.02 * rng.normal(size=(2000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    cells = embedding_join.Cells(x[::50], float(np.sqrt(0.1)))
+    d = cells.distances(x)
+    home = cells.home(d)
+    for q in range(40):
+        cells.low[q], cells.high[q], cells.extent[q] = d[home == q].min(0), d[home == q].max(0), d[home == q, q].max()
+    row, cell = cells.guests(d, home)
+    near = np.argwhere(np.triu(x @ x.T >= 0.95, 1))
+    met = set(zip(row.tolist(), cell.tolist()))
+    assert all(home[a] == home[b] or (a, home[b]) in met or (b, home[a]) in met for a, b in near)
+    assert len(row) < 2000  # of 39,000 with every cell in reach
+
+
 def test_embeddings_of_an_empty_table(spark):
     assert embedding_join.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
@@ -161,7 +186,7 @@ def test_near_groups(spark, monkeypatch, leaders, edits, block):
     texts |= {n: None, n + 1: "", n + 2: "one two", n + 3: "one  two", n + 4: " \n"}
     rows = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], "doc_id long, text string, component string").repartition(3)
     got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(rows).collect()}
-    assert got == brute_near(texts, minhash.common_shingles(rows))
+    assert got == brute_near(texts, minhash.document_weights(rows))
 
 
 @pytest.mark.parametrize("similarity, edit", [(0.8, 17), (0.7, 28)])

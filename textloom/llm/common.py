@@ -2,42 +2,45 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.shared import checkpointed, materialize, shared_dir
+
+__all__ = ["WORD_PATTERN", "connected_components", "drop_path", "lean", "materialize", "shared_dir", "slices"]
+
 #: Words are maximal runs of characters other than ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+def slices(batch: pa.RecordBatch, texts: tuple[str, ...], size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of whole rows, each with about ``size`` bytes in its text columns (or with one row)."""
+    length = lambda c: pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sum(map(length, texts)))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
-    A cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (single-machine tests) a temporary folder is made and registered.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
 
+Batches = Iterator[pa.RecordBatch]
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared folder and read it back.
 
-    This cuts lineage in a way that survives lost executors, and unlike
-    ``checkpoint()`` it is columnar and compressed.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """A ``mapInArrow`` function that gives Arrow's freed memory back at its end, as Spark uses workers again."""
+
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return wrapped
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -47,12 +50,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _smallest(edges: DataFrame, keep_own: bool) -> DataFrame:
     """``(u, m)``: the smallest neighbour of u (or u itself, if smaller and kept).
 

@@ -1,24 +1,31 @@
 """Near-duplicate documents: improved consistent weighted sampling over TF-IDF shingles.
 
 A document is the weighted set of its five-word shingles: the weight is the
-shingle's count in the text times a damped inverse document frequency,
+shingle's count in the text times its damped inverse document frequency,
 
-    idf = (ln(1 + N / df) / ln(1 + 1 / COMMON)) ** IDF_POWER, and 1 if df < COMMON * N.
+    idf = (ln(1 + N / df) / ln(1 + N / floor)) ** IDF_POWER, at most 1.
 
-Only shingles in at least COMMON of all documents weigh less than 1, and there
-can be no more than (mean shingles) / COMMON of those, so their frequencies
-are a table of bounded size.  They are found exactly: mergeable counters
-(Misra-Gries) in one pass give a bounded candidate set that must contain them,
-a second pass counts the candidates in all documents.
+Document frequencies of all shingles are counted in all documents, in a
+count-min sketch of fixed size (SKETCH_ROWS x SKETCH_CELLS counters), which is
+what travels with the tasks; a table of all frequencies would not fit any.  The
+sketch never counts too little, and too much by about ``floor``, the mean load
+of a counter (or 1); a shingle no more frequent than that weighs 1.  idf is
+rounded to 64ths, so that noise in the sketch does not make weights of its own.
+
+The root is there because groups of copies are what is looked for: in a group
+of thousands the shared shingles are frequent and each edit's are unique, and
+by plain idf a few edited words would outweigh a page of shared text.
 
 Each document gets ``BANDS * ROWS`` samples whose collision probability is the
 weighted Jaccard similarity; documents that agree in all samples of a band are
 candidates.  Equal word sequences are collapsed first.  In a bucket every
-member is verified against a few members chosen by hash; after components of
-those links are known, only pairs from different components are left, and every one
-of them is tested in blocks, on bounds that no link can fail and then on the
-texts.  Verification is the weighted Jaccard similarity of the whole texts.
-Groups are the components of verified links.
+member is verified against a few members chosen by hash.  After components of
+those links are known, only pairs from different components are left: members
+outside a bucket's largest component are compared with all others of other
+components, in blocks, on bounds that no link can fail and then on the texts.
+So a crowded bucket with few outsiders costs its members times those, and no
+pair is left out.  Verification is the weighted Jaccard similarity of the
+whole texts.  Groups are the components of verified links.
 
 Defined results: null and empty texts, and texts without a word, are groups of
 their own; a text of fewer than five words is one shingle of all its words;
@@ -37,16 +44,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize
+from .common import connected_components, lean, materialize, slices
 
 WIDTH = 5
 BANDS, ROWS = 16, 4
 SIMILARITY = 0.8
-#: Share of all documents from which on a shingle is common, and the damping of its idf.
-COMMON = 0.02
+#: Counters of the document frequencies, how a merge of them is spread, and the damping of idf.
+SKETCH_ROWS, SKETCH_CELLS, SKETCH_PART, SKETCH_SALTS = 2, 1 << 19, 1 << 15, 64
 IDF_POWER = 0.25
 BLOCK = 1024
 #: Cells that a text's weight is summed in, to bound the weight that two texts share from above.
@@ -146,21 +154,28 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return shingle_sets(*word_hashes(raw, np.array([len(raw)])))[:2]
 
 
+def sketch_cells(h: np.ndarray, row: int) -> np.ndarray:
+    """The counter of each shingle in a row of the sketch."""
+    return (h >> _U(45 - 19 * row)).astype(np.int64) & (SKETCH_CELLS - 1)
+
+
 class Weights:
-    """Weights of shingles: counts times the damped idf of the common ones."""
+    """Weights of shingles: counts times damped idf, from a sketch of document frequencies; counts alone without one."""
 
-    def __init__(self, common: dict[int, int] | None = None, documents: int = 0):
-        keys = sorted(common or {})
-        self.keys = np.array(keys, _U)
-        df = np.array([(common or {})[k] for k in keys], float)
-        self.idf = np.append((np.log1p(documents / np.maximum(df, 1)) / np.log1p(1 / COMMON)) ** IDF_POWER, 1.0)
+    def __init__(self, sketch: np.ndarray | None = None, documents: int = 0):
+        self.idf = None
+        if sketch is not None and documents:
+            floor = max(1.0, float(sketch[0].sum()) / SKETCH_CELLS)
+            idf = (np.log1p(documents / np.maximum(sketch, floor)) / np.log1p(documents / floor)) ** IDF_POWER
+            self.idf = (np.round(idf * 64) / 64).astype(np.float32)
 
     def __call__(self, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
+        if self.idf is None:
             return counts.astype(float)
-        at = np.searchsorted(self.keys, h)
-        at[at == len(self.keys)] = 0
-        return counts * self.idf[np.where(self.keys[at] == h, at, len(self.keys))]
+        rarest = self.idf[0][sketch_cells(h, 0)]
+        for row in range(1, SKETCH_ROWS):
+            rarest = np.maximum(rarest, self.idf[row][sketch_cells(h, row)])
+        return counts * rarest.astype(float)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -227,15 +242,10 @@ class Sampler:
 def _words(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Parts of the batches of about ``size`` bytes of text, with the hashes of their words and the words of each row."""
     for batch in batches:
-        column = pc.fill_null(batch.column("text"), "").cast(pa.large_binary())
-        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
-        at = 0
-        while at < batch.num_rows:
-            done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
-            raw = np.frombuffer(b"".join(column.slice(at, to - at).to_pylist()), np.uint8)
-            yield batch.slice(at, to - at), *word_hashes(raw, ends[at:to] - done)
-            at = to
+        for part in slices(batch, ("text",), size):
+            column = pc.fill_null(part.column("text"), "").cast(pa.large_binary())
+            ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+            yield part, *word_hashes(np.frombuffer(b"".join(column.to_pylist()), np.uint8), ends)
 
 
 def _digests(words: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
@@ -244,104 +254,81 @@ def _digests(words: np.ndarray, sizes: np.ndarray) -> list[bytes | None]:
     return [xxhash.xxh3_128_digest(words[b - n : b].tobytes()) if n else None for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
-def _merge_counts(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merged Misra-Gries counters: at most ``size``, none too low by more than (all counted) / size."""
-    both, inverse = np.unique(np.concatenate([keys, more]), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([counts, n])).astype(np.int64)
-    if len(both) > size:
-        total = total - np.partition(total, len(both) - size - 1)[len(both) - size - 1]
-        both, total = both[total > 0], total[total > 0]
-    return both, total
-
-
-def _frequent(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, held, n_held = np.empty(0, _U), np.empty(0, np.int64), [], 0
-
-        def fold() -> None:
-            nonlocal keys, counts, held, n_held
-            if held:
-                more, n = np.unique(np.concatenate(held), return_counts=True)
-                keys, counts = _merge_counts(keys, counts, more, n, size)
-                held, n_held = [], 0
-
-        for _, words, sizes in _words(batches):
-            h, _, _ = shingle_sets(words, sizes)
-            held.append(h)
-            n_held += len(h)
-            if n_held > 500_000:
-                fold()
-        fold()
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
-
-    return run
-
+def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's sketch in parts, and its number of texts with a word as part -1."""
+    counts, documents = np.zeros((SKETCH_ROWS, SKETCH_CELLS), np.uint32), 0
+    for _, words, sizes in _words(batches):
+        h, _, _ = shingle_sets(words, sizes)
+        documents += int((sizes > 0).sum())
+        for row in range(SKETCH_ROWS):
+            counts[row] += np.bincount(sketch_cells(h, row), minlength=SKETCH_CELLS).astype(np.uint32)
+    if documents:
+        parts = [np.array([documents], np.int64), *counts.astype(np.int64).reshape(-1, SKETCH_PART)]
+        yield _parts(np.arange(len(parts)) - 1, parts, TaskContext.get().partitionId() % SKETCH_SALTS)
 
-def _recount(keys: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(len(keys), np.int64)
-        for _, words, sizes in _words(batches):
-            h, _, _ = shingle_sets(words, sizes)
-            at = np.searchsorted(keys, h)
-            at[at == len(keys)] = 0
-            counts += np.bincount(at[keys[at] == h], minlength=len(keys))
-        yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "n"])
 
-    return run
+def _parts(numbers: np.ndarray, parts: list[np.ndarray], salt: int) -> pa.RecordBatch:
+    columns = [pa.array(np.asarray(numbers, np.int32)), pa.array(np.full(len(parts), salt, np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["part", "salt", "counts"])
 
 
-def _volume(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows, and a bound on their shingles: white space characters and one."""
+def _sum_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of equal parts of rows sorted by part and salt; one sum is held at a time."""
+    here, held = None, None
     for batch in batches:
-        n = sum(1 + sum(map(t.count, " \n\t\r\v\f")) for t in batch.column("text").to_pylist() if t)
-        yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([n])], names=["docs", "n"])
+        for part, salt, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            values = np.frombuffer(counts, np.int64)
+            if here == (part, salt):
+                held = held + values
+                continue
+            if here is not None:
+                yield _parts(np.array([here[0]]), [held], here[1])
+            here, held = (part, salt), values
+    if here is not None:
+        yield _parts(np.array([here[0]]), [held], here[1])
 
 
-def common_shingles(docs: DataFrame) -> Weights:
-    """Exact document frequencies of the shingles in at least COMMON of all rows.
+def document_weights(docs: DataFrame) -> Weights:
+    """Weights from the document frequencies of all shingles in all rows.
 
-    The counters of one pass are at most ``size`` for each task.  A shingle in
-    COMMON * N rows keeps a summed count of COMMON * N / 2 or more, and at most
-    ``size`` shingles can have that, which bounds what is collected.
+    Tasks' sketches are summed in two steps, the first spread by salt; what is
+    collected is one sketch (8 MB), whatever the number of documents.
     """
-    text = docs.select("text")
-    total = text.mapInArrow(_volume, "docs long, n long").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")).first()
-    if not total["docs"]:
+    schema = "part int, salt int, counts binary"
+    sums = docs.select("text").mapInArrow(lean(_count_shingles), schema)
+    for salted in (True, False):
+        sums = sums if salted else sums.withColumn("salt", F.lit(0))
+        dealt = sums.repartition(*(["part", "salt"] if salted else ["part"]))
+        sums = dealt.sortWithinPartitions("part", "salt").mapInArrow(_sum_parts, schema)
+    found = {r["part"]: np.frombuffer(r["counts"], np.int64) for r in sums.collect()}
+    if not found:
         return Weights()
-    size = max(1000, int(np.ceil(2 * total["n"] / (COMMON * total["docs"]))))
-    counted = text.mapInArrow(_frequent(size), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    least = max(1, int(COMMON * total["docs"] / 2))
-    keys = np.sort(np.array([r["h"] for r in counted.where(F.col("n") >= least).select("h").collect()], np.int64).view(_U))
-    if not len(keys):
-        return Weights(None, total["docs"])
-    exact = text.mapInArrow(_recount(keys), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    found = exact.where(F.col("n") >= COMMON * total["docs"]).collect()
-    return Weights({r["h"] % (1 << 64): r["n"] for r in found}, total["docs"])
+    return Weights(np.concatenate([found[k] for k in range(len(found) - 1)]).reshape(SKETCH_ROWS, SKETCH_CELLS), int(found[-1][0]))
 
 
 def _sign(weights: Weights) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """doc_id, digest of the word sequence, and band keys."""
+    """doc_id, rid, digest of the word sequence, and band keys."""
 
-    def signed(sampler: Sampler, ids: pa.Array, words: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
+    def signed(sampler: Sampler, batch: pa.RecordBatch, words: np.ndarray, sizes: np.ndarray) -> pa.RecordBatch:
         h, counts, starts = shingle_sets(words, sizes)
         some = np.flatnonzero(np.diff(np.append(starts, len(h))) > 0)
-        bands = np.zeros((len(ids), BANDS), np.int64)
+        bands = np.zeros((len(sizes), BANDS), np.int64)
         if len(some):
             values = sampler(h, np.log(weights(h, counts)), starts[some])
             keys = np.zeros((len(some), BANDS), _U)
             for r in range(ROWS):
                 keys = _mix(keys * _U(31) + values[:, r::ROWS])
             bands[some] = keys.view(np.int64)
-        offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * BANDS)
+        offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * BANDS)
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(_digests(words, sizes), pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))],
-            names=["doc_id", "digest", "bands"],
+            [batch.column("doc_id"), batch.column("rid"), pa.array(_digests(words, sizes), pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel()))],
+            names=["doc_id", "rid", "digest", "bands"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler()
         for batch, words, sizes in _words(batches):
-            yield signed(sampler, batch.column("doc_id"), words, sizes)
+            yield signed(sampler, batch, words, sizes)
 
     return run
 
@@ -349,20 +336,25 @@ def _sign(weights: Weights) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 def _verify(weights: Weights, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        held = 0
 
         def known(digest: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+            nonlocal held
             if digest not in cache:
-                if len(cache) > 300:
+                if held > HELD_SHINGLES // 8:
                     cache.clear()
+                    held = 0
                 h, n = shingles([text])
                 cache[digest] = (h, weights(h, n))
+                held += len(h)
             return cache[digest]
 
         for batch in batches:
-            a, b, ta, tb = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
-            keep = [weighted_jaccard(known(x, s), known(y, t)) >= similarity for x, y, s, t in zip(a, b, ta, tb, strict=True)]
-            chosen = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(chosen.columns, names=["src", "dst"])
+            for part in slices(batch, ("text_a", "text_b"), CHUNK_BYTES):
+                columns = [part.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b")]
+                keep = [weighted_jaccard(known(x, s), known(y, t)) >= similarity for x, y, s, t in zip(*columns, strict=True)]
+                chosen = part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(chosen.columns, names=["src", "dst"])
 
     return run
 
@@ -373,7 +365,7 @@ def most_shared(cells: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 
 def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table]:
-    """Links between different components in a block pair of a bucket.
+    """Links between different components in a block pair of a bucket: its members (side 0) and those outside its largest component (side 1).
 
     Every pair is tested on its whole texts, in the first band that it shares,
     unless bounds from above on its similarity (the ratio of total weights, and
@@ -384,11 +376,14 @@ def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        band, i, j = (table.column(c)[0].as_py() for c in ("band", "i", "j"))
-        block = table.column("block").to_numpy()
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        band = table.column("band")[0].as_py()
+        side, main = table.column("side").to_numpy(), table.column("main").to_numpy(zero_copy_only=False)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         digest, text = table.column("digest"), table.column("text")
+        order = np.argsort(np.array(digest.to_pylist(), object), kind="stable")
         n = table.num_rows
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
         bands = table.column("bands").chunk(0).flatten().to_numpy().reshape(n, BANDS)
         group = np.unique(np.array(table.column("component").to_pylist(), object), return_inverse=True)[1]
         if (group == group[0]).all():
@@ -421,8 +416,9 @@ def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table
         found_a, found_b = [], []
         least = similarity * (1 - SLACK)
         for at in left.tolist():
-            rest = right[right > at] if i == j else right
-            rest = rest[group[rest] != group[at]]
+            rest = right[group[right] != group[at]]
+            if not main[at]:  # the pair comes up the other way round as well
+                rest = rest[place[rest] > place[at]]
             rest = rest[np.minimum(total[rest], total[at]) >= least * np.maximum(total[rest], total[at])]
             rest = rest[~(bands[rest][:, :band] == bands[at][None, :band]).any(1)]
             if not len(rest):
@@ -443,8 +439,9 @@ def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text", weights: Weights | None = None) -> DataFrame:
     """``doc_id``, ``class_id`` and ``kept`` of every row."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    weights = weights or common_shingles(rows)
-    signed = materialize(rows.mapInArrow(_sign(weights), "doc_id long, digest binary, bands array<long>"))
+    rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
+    weights = weights or document_weights(rows)
+    signed = materialize(rows.mapInArrow(lean(_sign(weights)), "doc_id long, rid long, digest binary, bands array<long>"))
     with_words = signed.where(F.col("digest").isNotNull())
     one = materialize(with_words.select("digest", "bands").dropDuplicates(["digest"]))
     each = one.select("digest", F.posexplode("bands").alias("band", "value"))
@@ -455,33 +452,33 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
     stars = materialize(led.select(F.least("leader", "digest").alias("a"), F.greatest("leader", "digest").alias("b")).distinct())
 
     ids = stars.select(F.col("a").alias("digest")).union(stars.select(F.col("b").alias("digest"))).distinct()
-    named = materialize(ids.join(with_words.groupBy("digest").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 62)))).alias("some")), "digest"))
+    named = materialize(ids.join(with_words.groupBy("digest").agg(F.min("rid").alias("rid")), "digest"))
     candidates = _with_text(rows, named)
 
     def verify(pairs: DataFrame) -> DataFrame:
         full = pairs.join(candidates.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
         full = full.join(candidates.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
-        return full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(weights, similarity), "src binary, dst binary")
+        return full.select("a", "b", "text_a", "text_b").mapInArrow(lean(_verify(weights, similarity)), "src binary, dst binary")
 
     first = materialize(verify(stars))
     parts = materialize(connected_components(first))
     member = one.join(ids, "digest", "left_semi").join(parts, one["digest"] == parts["node"], "left")
     member = materialize(member.select("digest", "bands", F.coalesce("component", "digest").alias("component")))
     inside = member.select("digest", "component", F.posexplode("bands").alias("band", "value")).join(buckets.select("band", "value"), ["band", "value"])
-    mixed = (
-        inside.groupBy("band", "value")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
-        .where("low <> high and n > 2")
-    )
-    mixed = materialize(mixed.select("band", "value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-    placed = member.select("digest", F.posexplode("bands").alias("band", "value")).join(mixed, ["band", "value"])
-    dealt = (
-        placed.join(materialize(member.join(candidates, "digest")), "digest")
-        .withColumn("block", F.pmod(F.xxhash64("digest"), "blocks").cast("int"))
-        .withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("i", F.least("block", "k"))
-        .withColumn("j", F.greatest("block", "k"))
+    sizes = inside.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max(F.struct("n", "component")).alias("largest")
+    mixed = sizes.groupBy("band", "value").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), largest).where("parts > 1 and n > 2")
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    mixed = mixed.select(
+        "band", "value", F.col("largest.component").alias("most"), blocks(F.col("n")).alias("lefts"), blocks(F.col("n") - F.col("largest.n")).alias("rights")
     )
+    placed = member.select("digest", "component", F.posexplode("bands").alias("band", "value")).join(materialize(mixed), ["band", "value"])
+    placed = materialize(placed.withColumn("main", F.col("component") == F.col("most")).drop("component", "most"))
+    mine = lambda blocks: F.pmod(F.xxhash64("digest"), blocks).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    left = placed.select("digest", "main", "band", "value", mine("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"))
+    right = placed.where("not main").select("digest", "main", "band", "value", every("lefts").alias("i"), mine("rights").alias("j"), F.lit(1).alias("side"))
+    dealt = left.union(right).join(materialize(member.join(candidates, "digest")), "digest")
     second = materialize(dealt.groupBy("band", "value", "i", "j").applyInArrow(_cross(weights, similarity), "src binary, dst binary"))
     labels = parts
     if not second.isEmpty():  # the second round joins whole components
@@ -505,11 +502,11 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _with_text(rows: DataFrame, named: DataFrame) -> DataFrame:
-    """``digest, text`` of the digests in ``named(digest, some)``, one text each, written out.
+    """``digest, text`` of the digests in ``named(digest, rid)``, one text each, written out.
 
-    Texts are joined once, by the id of one document of each digest.
+    Texts are joined once, by the hash of one row of each digest; the digest is
+    taken again, so that rows whose hashes collide do no harm.
     """
-    known = rows.withColumn("some", F.coalesce("doc_id", F.lit(-(1 << 62))))
-    texts = known.join(named.select("some").distinct(), "some", "left_semi").select("text")
-    found = texts.mapInArrow(_digest_batches, "digest binary, text string")
+    texts = rows.join(named.select("rid").distinct(), "rid", "left_semi").select("text")
+    found = texts.mapInArrow(lean(_digest_batches), "digest binary, text string")
     return materialize(found.join(named.select("digest"), "digest", "left_semi").dropDuplicates(["digest"]))
