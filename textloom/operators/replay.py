@@ -1,21 +1,23 @@
 """Sequential admission per key, where each decision changes the next one's windows.
 
-These cannot be window frames.  A key's events are replayed in one task in
-order of time, so ``keys`` should be as fine as the limits are (key and model);
-state is the events of the longest window only.
+These cannot be window frames.  Spark deals events out by key and sorts them by
+key and time; a task then streams through its keys, batch by batch, and holds
+no more than the usage of one key that still counts.  A key's events are
+replayed in one task, so ``keys`` should be as fine as the limits are (key and
+model).  Events without a time are left out; a null number of tokens is 1.
 """
 
 from __future__ import annotations
 
-import bisect
 from collections import deque
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 MINUTE, DAY = 60.0, 86_400.0
 
@@ -99,27 +101,51 @@ def grant_times(now: float, limits: Limits, history: Sequence[tuple[float, int]]
     return out
 
 
+Step = Callable[[float, int], tuple]
+
+
+def replayed(events: DataFrame, keys: Sequence[str], order: str, ident: str, tokens: str | None, start: Callable[[], Step], results: Sequence[T.StructField]) -> DataFrame:
+    """``keys, ident`` and what a key's step function, begun by ``start``, gives for each of its events in order."""
+    number = F.lit(1) if tokens is None else F.greatest(F.coalesce(F.col(tokens).cast("long"), F.lit(0)), F.lit(1))
+    narrow = events.where(F.col(order).isNotNull()).select(*keys, ident, F.col(order).cast("double").alias("__t"), number.cast("long").alias("__n"))
+    schema = T.StructType([*narrow.schema.fields[: len(keys) + 1], *results])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, step = None, None
+        for batch in batches:
+            told = []
+            columns = [c.to_pylist() for c in batch.columns]
+            for key, t, n in zip(zip(*columns[: len(keys)], strict=True), *columns[-2:], strict=True):
+                if step is None or key != here:
+                    here, step = key, start()
+                told.append(step(t, n))
+            values = zip(*told, strict=True) if told else [()] * len(results)
+            arrays = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(values, results, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *arrays], names=schema.names)
+
+    return narrow.repartition(*keys).sortWithinPartitions(*keys, "__t", ident).mapInArrow(run, schema)
+
+
 def fifo_eta(requests: DataFrame, keys: Sequence[str], limits: Limits, order: str = "ts", ident: str = "id", tokens: str = "tokens") -> DataFrame:
     """``keys, id, granted_at, waits``: every request queued at its time, granted first in first out."""
-    fields = [requests.schema[k] for k in keys] + [requests.schema[ident], T.StructField("granted_at", T.DoubleType()), T.StructField("waits", T.DoubleType())]
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([order, ident], kind="stable")
-        windows, at, granted = Windows(limits), 0.0, []
-        for t, n in zip(pdf[order].astype(float), pdf[tokens].fillna(0).astype(int), strict=True):
-            at, n = max(at, t), max(1, n)
-            windows.expire(at, closed=True)
+    def start() -> Step:
+        windows, now = Windows(limits), 0.0
+
+        def step(t: float, n: int) -> tuple[float, float]:
+            nonlocal now
+            now = max(now, t)
+            windows.expire(now, closed=True)
             while blocked := windows.blocked(1, n):
-                at = max(at + 0.001, *(x for _, x in blocked))
-                windows.expire(at, closed=True)
-            windows.take(at, 1, n)
-            granted.append(at)
-        out = pdf[[*keys, ident]].copy()
-        out["granted_at"] = granted
-        out["waits"] = out["granted_at"] - pdf[order].astype(float)
-        return out
+                now = max(now + 0.001, *(x for _, x in blocked))
+                windows.expire(now, closed=True)
+            windows.take(now, 1, n)
+            return now, now - t
 
-    return requests.groupBy(*keys).applyInPandas(run, T.StructType(fields))
+        return step
+
+    results = [T.StructField("granted_at", T.DoubleType()), T.StructField("waits", T.DoubleType())]
+    return replayed(requests, keys, order, ident, tokens, start, results)
 
 
 def admission(events: DataFrame, keys: Sequence[str], limits: Limits, order: str = "ts", ident: str = "id", tokens: str = "tokens") -> DataFrame:
@@ -127,50 +153,41 @@ def admission(events: DataFrame, keys: Sequence[str], limits: Limits, order: str
 
     Waits are 0.25 s at least (1 s if the day is used up) and have 0.05 s of slack.
     """
-    fields = [
-        *(events.schema[k] for k in keys),
-        events.schema[ident],
-        T.StructField("admitted", T.BooleanType()),
-        T.StructField("wait", T.DoubleType()),
-        T.StructField("reasons", T.StringType()),
-    ]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([order, ident], kind="stable")
-        windows, rows = Windows(limits), []
-        for t, n in zip(pdf[order].astype(float), pdf[tokens].fillna(0).astype(int), strict=True):
-            n = max(1, n)
+
+    def start() -> Step:
+        windows = Windows(limits)
+
+        def step(t: float, n: int) -> tuple[bool, float, str]:
             windows.expire(t, closed=False)
             blocked = windows.blocked(1, n)
             if not blocked:
                 windows.take(t, 1, n)
-                rows.append((True, 0.0, ""))
-                continue
+                return True, 0.0, ""
             wait = max(max(1.0 if name == "rpd" else 0.25, free - t + 0.05) for name, free in blocked)
-            rows.append((False, round(wait, 6), ",".join(name for name, _ in blocked)))
-        out = pdf[[*keys, ident]].copy()
-        out[["admitted", "wait", "reasons"]] = pd.DataFrame(rows, index=out.index, columns=["admitted", "wait", "reasons"])
-        return out
+            return False, round(wait, 6), ",".join(name for name, _ in blocked)
+
+        return step
 
-    return events.groupBy(*keys).applyInPandas(run, T.StructType(fields))
+    results = [T.StructField("admitted", T.BooleanType()), T.StructField("wait", T.DoubleType()), T.StructField("reasons", T.StringType())]
+    return replayed(events, keys, order, ident, tokens, start, results)
 
 
 def throttled(events: DataFrame, keys: Sequence[str], seconds: float, order: str = "ts", ident: str = "id") -> DataFrame:
     """``keys, id, picked``: an event is picked if the last picked one is ``seconds`` or more ago."""
-    fields = [events.schema[k] for k in keys] + [events.schema[ident], T.StructField("picked", T.BooleanType())]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([order, ident], kind="stable")
-        times, picked = pdf[order].astype(float).tolist(), [False] * len(pdf)
-        at = 0
-        while at < len(times):
-            picked[at] = True
-            at = bisect.bisect_left(times, times[at] + seconds, at + 1)
-        out = pdf[[*keys, ident]].copy()
-        out["picked"] = picked
-        return out
 
-    return events.groupBy(*keys).applyInPandas(run, T.StructType(fields))
+    def start() -> Step:
+        free = float("-inf")
+
+        def step(t: float, _: int) -> tuple[bool]:
+            nonlocal free
+            picked = t >= free
+            if picked:
+                free = t + seconds
+            return (picked,)
+
+        return step
+
+    return replayed(events, keys, order, ident, None, start, [T.StructField("picked", T.BooleanType())])
 
 
 def blacklist(results: DataFrame, proxy: str, at: str, timed_out: str, strikes: int, seconds: float) -> DataFrame:
