@@ -51,16 +51,27 @@ def fallback_metric(counts: DataFrame, keys: Sequence[str], metric: str, order:
 
 
 def bursts(events: DataFrame, at: str, member: str, seconds: int, least: int, least_members: int, block: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Events that end a window with enough events of enough different members.
+    """Events that end a window with enough events of enough different members; times are whole numbers.
 
     Time is cut into blocks of ``block`` (``seconds`` at least), which are
     counted apart; an event near the end of a block is also seen by the next.
+    A member counts from each of its events until the window has left it or its
+    next event takes over, so different members are a running sum of comings
+    and goings, and no set is built for any row.
     """
     own = F.floor(F.col(at) / block)
     seen = events.withColumn("block", F.explode(F.array_distinct(F.array(own, F.floor((F.col(at) + seconds) / block)))))
-    window = Window.partitionBy(*keys, "block").orderBy(at).rangeBetween(-seconds, 0)
-    counted = seen.withColumn("n_events", F.count(F.lit(1)).over(window)).withColumn("n_members", F.size(F.collect_set(member).over(window)))
-    return counted.where((F.col("block") == own) & (F.col("n_events") >= least) & (F.col("n_members") >= least_members)).drop("block")
+    counted = seen.withColumn("n_events", F.count(F.lit(1)).over(Window.partitionBy(*keys, "block").orderBy(at).rangeBetween(-seconds, 0)))
+    after = F.lead(at).over(Window.partitionBy(*keys, "block", member).orderBy(at))
+    counted = counted.withColumn("__end", F.when(after - F.col(at) <= seconds, after).otherwise(F.col(at) + seconds + 1))
+    here = F.col(member).isNotNull().cast("int")
+    moves = F.array(
+        F.struct(F.col(at).alias("t"), here.alias("sign"), F.lit(True).alias("event")), F.struct(F.col("__end").alias("t"), (-here).alias("sign"), F.lit(False).alias("event"))
+    )
+    moving = counted.withColumn("__move", F.explode(moves)).withColumn("__t", F.col("__move.t"))
+    running = F.sum("__move.sign").over(Window.partitionBy(*keys, "block").orderBy("__t").rangeBetween(Window.unboundedPreceding, 0))
+    told = moving.withColumn("n_members", running.cast("int")).where((F.col("block") == own) & F.col("__move.event"))
+    return told.where((F.col("n_events") >= least) & (F.col("n_members") >= least_members)).drop("block", "__end", "__move", "__t")
 
 
 def escalation(hits: DataFrame, keys: Sequence[str], at: str, first: float = 8.0, most: float = 180.0) -> DataFrame:
@@ -96,10 +107,19 @@ def remaining_seconds(remaining: Column, per_minute: Column) -> Column:
     return F.when(per_minute > 0, F.ceil(remaining * 60.0 / per_minute).cast("long"))
 
 
-def cooldown_until(events: DataFrame, keys: Sequence[str], at: str, wait: str, most: float) -> DataFrame:
-    """The latest end of any cool-down so far; waits are capped."""
-    window = Window.partitionBy(*keys).orderBy(at).rangeBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("until", F.max(F.col(at) + F.least(F.col(wait), F.lit(most))).over(window))
+def cooldown_until(events: DataFrame, keys: Sequence[str], at: str, wait: str, most: float, block: float) -> DataFrame:
+    """The latest end of any cool-down so far; waits are capped.
+
+    Time is cut into blocks that are sorted apart; each begins with the latest
+    end of those before it, so that a key with very many events is many tasks.
+    """
+    ends = events.withColumn("until", F.col(at) + F.least(F.col(wait), F.lit(most))).withColumn("__block", F.floor(F.col(at) / block))
+    inside = F.max("until").over(Window.partitionBy(*keys, "__block").orderBy(at).rangeBetween(Window.unboundedPreceding, 0))
+    latest = ends.groupBy(*keys, "__block").agg(F.max("until").alias("__until"))
+    before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = latest.withColumn("__carried", F.max("__until").over(before)).drop("__until")
+    known = ends.withColumn("until", inside).join(carried, [*keys, "__block"], "left")
+    return known.withColumn("until", F.greatest("until", "__carried")).drop("__block", "__carried")
 
 
 def due_jobs(delayed: DataFrame, ready_at: str, now: Column, most: int, tie: str) -> DataFrame:

@@ -192,7 +192,13 @@ def merge_consecutive_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.merge_consecutive(turns, ("conv_id",), "role")
 
 
-@query("split_audio_sections")
+@query(
+    "split_audio_sections",
+    r"""WITH t AS (SELECT conv_id, replace(regexp_replace(string_agg('Chapter ' || turn || chr(10) || coalesce(text, ''), repeat(chr(10), 3) ORDER BY turn), '^\s+|\s+$', '', 'g') || chr(10), chr(10), ' ') AS text FROM conversations GROUP BY conv_id),
+b AS (SELECT conv_id, list_filter(string_split(regexp_replace(text, '(Chapter\s+[0-9]+)', chr(1) || '\1', 'g'), chr(1)), lambda x, i: i > 1 OR x <> '') AS bs FROM t),
+u AS (SELECT conv_id, unnest(bs) AS block, unnest(range(len(bs))) AS pos FROM b)
+SELECT conv_id, pos::INT AS pos, try_cast(regexp_extract(block, 'Chapter\s+([0-9]+)', 1) AS INT) AS number, length(block)::INT AS n_chars FROM u""",
+)
 def split_audio_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections by a heading anywhere in the text."""
     texts = conversation_texts(spark, sf_dir).select("conv_id", F.translate("text", "\n", " ").alias("text"))
@@ -350,7 +356,13 @@ def ordered_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", tx.ordered_replace("text", pairs).alias("text"))
 
 
-@query("scrub_lines")
+@query(
+    "scrub_lines",
+    r"""WITH l AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '[#*$%&]{2,}', '', 'g')) AS ls FROM documents),
+b AS (SELECT doc_id, list_transform(list_transform(ls, lambda x: regexp_replace(x, '(\S) +([.,;:!?])', '\1\2', 'g')), lambda x: regexp_replace(x, '(\S) +([.,;:!?])', '\1\2', 'g')) AS ls FROM l),
+c AS (SELECT doc_id, list_transform(ls, lambda x: regexp_replace(regexp_replace(x, ' {2,}', ' ', 'g'), '^\s+|\s+$', '', 'g')) AS ls FROM b)
+SELECT doc_id, array_to_string(list_filter(ls, lambda x: x <> ''), chr(10)) AS text FROM c""",
+)
 def scrub_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """residue scrubbed line by line."""
     rules = [(r"[#*$%&]{2,}", ""), (r"(?<=\S) +(?=[.,;:!?])", ""), (r" {2,}", " ")]
@@ -567,7 +579,10 @@ def process_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.process_rows(table(spark, sf_dir, "events").select("event_id", command.alias("command"))).select("event_id", "role", "key_index", "model")
 
 
-@query("srt_text_lines")
+@query(
+    "srt_text_lines",
+    "WITH t AS (SELECT conv_id, trim(replace(text, chr(10), ' ')) AS line, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations) SELECT conv_id, (4 * k - 2)::INT AS pos, line FROM t WHERE line <> ''",
+)
 def srt_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of captions made from conversations."""
     turns = table(spark, sf_dir, "conversations")

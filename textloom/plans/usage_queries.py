@@ -103,7 +103,13 @@ def rate_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.admitted_by_rate(events, ["event_type"], "t", 2, "event_id").select("event_id", "admitted")
 
 
-@query("throttled_picks")
+@query(
+    "throttled_picks",
+    f"""WITH RECURSIVE {_EV}, e AS (SELECT user_id, event_id AS id, us, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS k FROM ev),
+n AS (SELECT a.user_id, a.k, min(b.k) AS next FROM e a JOIN e b ON a.user_id = b.user_id AND b.us >= a.us + 600000000 GROUP BY a.user_id, a.k),
+p AS (SELECT user_id, 1::BIGINT AS k FROM e GROUP BY user_id UNION ALL SELECT p.user_id, n.next FROM p JOIN n ON p.user_id = n.user_id AND p.k = n.k)
+SELECT e.user_id, id, p.k IS NOT NULL AS picked FROM e LEFT JOIN p ON e.user_id = p.user_id AND e.k = p.k""",
+)
 def throttled_picks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Picks at least ten minutes apart for each key."""
     events = quota_events(spark, sf_dir).select("user_id", F.col("event_id").alias("id"), (F.col("us") / SECOND).alias("ts"))
@@ -131,7 +137,7 @@ def status_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cooldown_until(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest end of any cool-down so far."""
     events = quota_events(spark, sf_dir).withColumn("wait", F.col("tokens") * 60 * SECOND)
-    done = usage.cooldown_until(events, ["event_type"], "us", "wait", 1800 * SECOND)
+    done = usage.cooldown_until(events, ["event_type"], "us", "wait", 1800 * SECOND, 86_400 * SECOND)
     return done.select("event_id", F.col("until").cast("long").alias("until"))
 
 
