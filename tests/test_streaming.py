@@ -1,3 +1,4 @@
+from textloom.streaming import state
 from textloom.operators import replay
 from textloom.plans import catalog, stream_queries, usage_queries
 from textloom.plans.usage_queries import LIMITS
@@ -13,3 +14,16 @@ def test_second_run_of_the_stub_does_nothing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     asked = stream_queries.provided(docs.join(docs.select("doc_id"), "doc_id", "left_anti"), stream_queries.reversed_words, "text", "out")
     assert asked.count() == 0
+
+
+def test_state_of_batches(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, n long, at int")
+    read = lambda: sorted(map(tuple, state.load_state(spark, folder).collect()), key=str)
+    assert state.load_state(spark, folder) is None
+    state.save_state(rows(("a", 1, 1), ("b", 2, 2), (None, 3, 1)), ["k"], "at", folder, 0)
+    for _ in range(2):  # a batch that is run again
+        state.save_state(rows(("a", 9, 5), ("b", 8, 1), ("a", 7, 4)), ["k"], "at", folder, 1)
+        assert read() == sorted([("a", 9, 5), ("b", 2, 2), (None, 3, 1)], key=str)
+    state.save_state(rows(), ["k"], "at", folder, 2)
+    assert len(read()) == 3 and len(list((tmp_path / "state").iterdir())) == 2

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from textloom.functions.polish import packed
 from textloom.operators.replay import Limits
 from textloom.shared import shared_dir
+from textloom.streaming import state
 from textloom.streaming import usage as streaming
 
 from .registry import query, table
@@ -95,6 +96,15 @@ def staged_watch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.groupBy("event_type").agg(F.sum("count").alias("n"))
 
 
+@query("watch_state", "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
+def watch_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: what was last seen of every key, kept as a table."""
+    folder = shared_folder(spark)
+    seen = event_stream(spark, sf_dir).select("user_id", "event_id", "event_type", "value")
+    state.keep_state(seen, ["user_id"], "event_id", f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
+    return state.load_state(spark, f"{folder}/state")
+
+
 #: A provider turns texts into texts; a real one would call a model.
 Provider = Callable[[list[str]], list[str]]
 
