@@ -74,18 +74,18 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sentencepiece_bpe.encode_documents(docs.limit(0), path).count() == 0
 
 
-@pytest.fixture(scope="module")
-def counter():
-    return token_counts.PieceCounter(queries.vocabulary("byte_bpe_50k.json"))
-
-
-def test_counts_are_those_of_the_library(counter):
+@pytest.mark.parametrize("head", [0, 5, token_counts.HEAD])
+def test_counts_are_those_of_the_library(spark, head):
+    """Whatever travels with the tasks and whatever is joined, the counts are the same."""
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    path = queries.vocabulary("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
     rng = random.Random(4)
-    texts = TEXTS + ["".join(rng.choice("ab 'ts12.\n\t é日!") for _ in range(rng.randrange(80))) for _ in range(400)]
-    assert counter.count(texts) == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    texts = TEXTS + ["".join(rng.choice("ab 'ts12.\n\t é日!") for _ in range(rng.randrange(80))) for _ in range(400)] + ["one two one two"] * 3
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, piece string").repartition(3)
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, path, head=head).collect()}
+    assert [got[i] for i in range(len(texts))] == [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
 def test_count_query(spark, sf_dir):
@@ -98,14 +98,6 @@ def test_count_query(spark, sf_dir):
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 512)
 
 
-def test_a_full_memory_changes_nothing(counter, monkeypatch):
-    texts = ["one two three four", "five six seven", "one nine ten"] * 3
-    want = counter.count(texts)
-    monkeypatch.setattr(token_counts, "MEMO_ENTRIES", 4)
-    counter.memo.clear()
-    assert [n for t in texts for n in counter.count([t])] == want
-
-
 def test_counts_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, 5), (1, None, 5), (None, "", 6)], "doc_id long, text string, n_tokens int")
     got = token_counts.token_counts(docs, queries.vocabulary("byte_bpe_50k.json"))
