@@ -5,8 +5,9 @@ most r = sqrt(2 - 2c).  Equal vectors are one class first.  Pivots cut the
 classes into cells (nearest pivot).  A vector x of cell p is also a guest of a
 later cell q unless q is out of reach for every partner it could have there:
 
-* triangle inequality with a partner y of q: d(x, q) <= d(x, p) + 2r, and
-  d(x, q) <= r + the largest distance of a vector of q from its pivot;
+* triangle inequality with a partner y of q: d(x, q) <= d(x, p) + 2r;
+* the same with any pivot s: d(x, s) lies within r of the interval of
+  distances that the vectors of q have from s (REFERENCES pivots are tried);
 * the plane halfway between p and q separates the cells, and x must be within
   r of it: d(x, q)^2 - d(x, p)^2 <= 2 r d(p, q).
 
@@ -17,14 +18,20 @@ the pairs, so its output is linear in its rows.
 
 The join is exact whatever the pivots are; they only decide how much is
 compared.  Vectors that spread evenly over many dimensions have their
-neighbours in reach of every cell, and then this is a blocked comparison of
-all vectors.
-
-Defined results: a null, empty, zero or non-finite vector, one with null
-components, or one of another length than the table's most frequent one links
-with nothing; so does a row without vec_id, whose component is null.  Rows
-that repeat a vec_id are vectors of their own.  An empty table gives an empty
-result.  Other columns are not read.
+neighbours in reach of every cell, as no test by distances can tell them
+apart; then this is a blocked comparison of all vectors, in which a vector
+goes to about half of all cells.  ``block`` therefore is as large as a task's
+memory allows: a quarter as many cells is a quarter as many copies.
+
+Components are double precision, or single where the column is.  Vectors of
+another length than the table's most frequent one are compared with those of
+their own length, block by block, without pivots.
+
+Defined results: a null, empty, zero or non-finite vector, or one with null
+components, links with nothing; so does a row without vec_id, whose component
+is null; vectors of different lengths do not link.  Rows that repeat a vec_id
+are vectors of their own.  An empty table gives an empty result.  Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -38,8 +45,11 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, materialize
 
-#: Most pivots; they are collected and travel with the tasks (4 MB at 64 dimensions).
-MAX_PIVOTS = 4096
+#: Most pivots, and those of them that cells keep intervals for; they and the intervals
+#: travel with the tasks (2 MB at 64 dimensions, and 4 MB).
+MAX_PIVOTS, REFERENCES = 4096, 64
+#: Rows worked on at once.
+ROWS_AT_ONCE = 1000
 _SLACK = 1e-9
 
 
@@ -52,11 +62,13 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 class Cells:
-    """Pivots, and the reach of every cell."""
+    """Pivots, and for every cell the intervals of its vectors' distances from the reference pivots."""
 
     def __init__(self, pivots: np.ndarray, radius: float):
         self.pivots, self.radius = pivots, radius
-        self.apart = np.sqrt(np.maximum(0.0, 2 - 2 * pivots @ pivots.T))
+        self.n_references = min(REFERENCES, len(pivots))
+        self.low = np.zeros((len(pivots), self.n_references))
+        self.high = np.full((len(pivots), self.n_references), 2.0)
         self.extent = np.full(len(pivots), 2.0)
 
     def distances(self, x: np.ndarray) -> np.ndarray:
@@ -65,28 +77,52 @@ class Cells:
     def home(self, d: np.ndarray) -> np.ndarray:
         return d.argmin(1)
 
-    def guests(self, d: np.ndarray, home: np.ndarray) -> np.ndarray:
-        """(rows, cells): whether a row is a guest of a cell after its own."""
+    def guests(self, d: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows, and the cells after their own that each is a guest of."""
         own = d[np.arange(len(d)), home][:, None]
         r = self.radius + _SLACK
-        near = (d <= own + 2 * r) & (d <= self.extent[None] + r)
-        near &= d**2 - own**2 <= 2 * r * self.apart[home] + _SLACK
-        return near & (np.arange(len(self.pivots))[None] > home[:, None])
+        apart = np.sqrt(np.maximum(0.0, 2 - 2 * self.pivots[home] @ self.pivots.T))
+        near = (d <= own + 2 * r) & (d <= self.extent[None] + r) & (d**2 - own**2 <= 2 * r * apart + _SLACK)
+        row, cell = np.nonzero(near & (np.arange(len(self.pivots))[None] > home[:, None]))
+        for s in range(self.n_references):
+            at = d[row, s]
+            keep = (at >= self.low[cell, s] - r) & (at <= self.high[cell, s] + r)
+            row, cell = row[keep], cell[keep]
+        return row, cell
 
 
-def _tally(cells: Cells, guests: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
+def _measure(cells: Cells) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each cell's home rows, its extent, and the intervals of distances from the references."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros(len(cells.pivots), np.int64)
-        extent = np.zeros(len(cells.pivots))
-        for batch in batches:
+        p, m = len(cells.pivots), cells.n_references
+        count, extent, low, high = np.zeros(p, np.int64), np.zeros(p), np.full((p, m), 2.0), np.zeros((p, m))
+        for batch in _parts(batches):
             d = cells.distances(_matrix(batch.column("embedding")))
             home = cells.home(d)
-            if guests:
-                count += cells.guests(d, home).sum(0)
-            else:
-                count += np.bincount(home, minlength=len(count))
-                np.maximum.at(extent, home, d[np.arange(len(d)), home])
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count), dtype=np.int32)), pa.array(count), pa.array(extent)], names=["cell", "n", "extent"])
+            count += np.bincount(home, minlength=p)
+            np.maximum.at(extent, home, d[np.arange(len(d)), home])
+            np.minimum.at(low, home, d[:, :m])
+            np.maximum.at(high, home, d[:, :m])
+        arrays = [pa.array(np.arange(p, dtype=np.int32)), pa.array(count), pa.array(extent), pa.array(list(low)), pa.array(list(high))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["cell", "n", "extent", "low", "high"])
+
+    return run
+
+
+def _count_guests(cells: Cells) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(len(cells.pivots), np.int64)
+        for batch in _parts(batches):
+            d = cells.distances(_matrix(batch.column("embedding")))
+            count += np.bincount(cells.guests(d, cells.home(d))[1], minlength=len(count))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(count), dtype=np.int32)), pa.array(count)], names=["cell", "n"])
 
     return run
 
@@ -97,54 +133,60 @@ def _block_of(ids: np.ndarray, blocks: np.ndarray) -> np.ndarray:
 
 
 def _deal(cells: Cells, home_blocks: np.ndarray, guest_blocks: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows of every block pair that a class takes part in.
+    """Rows of every block pair that a class takes part in, with its side: 0 or 1.
 
     Task (cell, i, j) with j < blocks of home rows compares home blocks i <= j;
     others compare guest block j - blocks with home block i.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                d = cells.distances(_matrix(batch.column("embedding")))
-                ids = batch.column("rep").to_numpy()
-                home = cells.home(d)
-                row, cell, i, j, side = [], [], [], [], []
-
-                def add(rows: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray, s: int) -> None:
-                    row.append(rows), cell.append(q), i.append(a), j.append(b), side.append(np.full(len(rows), s))
-
-                mine = _block_of(ids, home_blocks[home])
-                for k in range(int(home_blocks[home].max(initial=0))):
-                    rows = np.flatnonzero(home_blocks[home] > k)
-                    low, high = np.minimum(mine[rows], k), np.maximum(mine[rows], k)
-                    add(rows, home[rows], low, high, 0)
-                for k in range(int(guest_blocks[home].max(initial=0))):
-                    rows = np.flatnonzero(guest_blocks[home] > k)
-                    add(rows, home[rows], mine[rows], home_blocks[home[rows]] + k, 0)
-                rows, q = np.nonzero(cells.guests(d, home))
-                theirs = _block_of(ids[rows], guest_blocks[q])
-                for k in range(int(home_blocks[q].max(initial=0))):
-                    some = np.flatnonzero(home_blocks[q] > k)
-                    add(rows[some], q[some], np.full(len(some), k), home_blocks[q[some]] + theirs[some], 1)
-                take = pa.array(np.concatenate(row))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(cell).astype(np.int32)),
-                        pa.array(np.concatenate(i).astype(np.int32)),
-                        pa.array(np.concatenate(j).astype(np.int32)),
-                        pa.array(np.concatenate(side).astype(np.int32)),
-                        batch.column("rep").take(take),
-                        batch.column("size").take(take),
-                        batch.column("embedding").take(take),
-                    ],
-                    names=["cell", "i", "j", "side", "rep", "size", "embedding"],
-                )
+        for batch in _parts(batches):
+            d = cells.distances(_matrix(batch.column("embedding")))
+            ids = batch.column("rep").to_numpy()
+            home = cells.home(d)
+            row, cell, i, j, side = [], [], [], [], []
+
+            def add(rows: np.ndarray, q: np.ndarray, a: np.ndarray, b: np.ndarray, s: np.ndarray) -> None:
+                row.append(rows), cell.append(q), i.append(a), j.append(b), side.append(s)
+
+            mine = _block_of(ids, home_blocks[home])
+            for k in range(int(home_blocks[home].max(initial=0))):
+                rows = np.flatnonzero(home_blocks[home] > k)
+                low, high = np.minimum(mine[rows], k), np.maximum(mine[rows], k)
+                add(rows, home[rows], low, high, (mine[rows] == high).astype(np.int64))
+            for k in range(int(guest_blocks[home].max(initial=0))):
+                rows = np.flatnonzero(guest_blocks[home] > k)
+                add(rows, home[rows], mine[rows], home_blocks[home[rows]] + k, np.zeros(len(rows), np.int64))
+            rows, q = cells.guests(d, home)
+            theirs = _block_of(ids[rows], np.maximum(guest_blocks[q], 1))
+            for k in range(int(home_blocks[q].max(initial=0))):
+                some = np.flatnonzero(home_blocks[q] > k)
+                add(rows[some], q[some], np.full(len(some), k), home_blocks[q[some]] + theirs[some], np.ones(len(some), np.int64))
+            take = pa.array(np.concatenate(row))
+            numbers = [pa.array(np.concatenate(c).astype(np.int32)) for c in (cell, i, j, side)]
+            yield pa.RecordBatch.from_arrays(
+                [*numbers, *[batch.column(c).take(take) for c in ("rep", "size", "embedding")]], names=["cell", "i", "j", "side", "rep", "size", "embedding"]
+            )
 
     return run
 
 
+def _deal_plain(classes: DataFrame, lengths: DataFrame, block: int) -> DataFrame:
+    """Block pairs of the vectors of each of the given lengths; the cell is the length, negative."""
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    placed = classes.withColumn("d", F.size("embedding")).join(lengths.select("d", blocks.alias("blocks")), "d")
+    placed = placed.withColumn("mine", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.select(
+        (-F.col("d")).alias("cell"),
+        F.least("mine", "k").alias("i"),
+        F.greatest("mine", "k").alias("j"),
+        (F.col("mine") == F.greatest("mine", "k")).cast("int").alias("side"),
+        "rep",
+        "size",
+        "embedding",
+    )
+
+
 def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest node reachable from each of n nodes over the edges (a, b)."""
     label = np.arange(n)
@@ -159,25 +201,21 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(cosine: float, home_blocks: np.ndarray) -> Callable[[pa.Table], pa.Table]:
+def _compare(cosine: float) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        cell, i, j = (table.column(c)[0].as_py() for c in ("cell", "i", "j"))
+        i, j = (table.column(c)[0].as_py() for c in ("i", "j"))
         x = _matrix(table.column("embedding").chunk(0))
         ids, size = table.column("rep").to_numpy(), table.column("size").to_numpy().astype(np.int64)
-        within = j < home_blocks[cell]
-        if within:  # home rows against home rows: of one block, or of two
-            block = _block_of(ids, np.full(len(ids), home_blocks[cell]))
-            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        else:
-            side = table.column("side").to_numpy()
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        side = table.column("side").to_numpy()
+        within = i == j  # one home block with itself, all of it side 1
+        left, right = (np.arange(len(ids)),) * 2 if within else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         links = np.zeros(len(ids), np.int64)
         label = np.arange(len(ids))
         for at in range(0, len(left), 512):
             part = left[at : at + 512]
             hit = x[part] @ x[right].T >= cosine
-            if within and i == j:
+            if within:
                 hit &= part[:, None] < right[None]
             a, b = np.nonzero(hit)
             if len(a):
@@ -192,42 +230,44 @@ def _compare(cosine: float, home_blocks: np.ndarray) -> Callable[[pa.Table], pa.
 
 
 def embedding_groups(
-    vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id", embedding: str = "embedding", block: int = 4096
+    vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id", embedding: str = "embedding", block: int = 8192
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` of every row."""
-    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).cast("array<float>").alias("embedding"))
-    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")).cast("float")))
+    single = vectors.schema[embedding].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).cast(kind).alias("embedding"))
+    finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v).cast("double") != F.lit(float("inf"))))
     sound = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
-    lengths = rows.where(sound).groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    classes = rows.where(sound).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = materialize(classes.select("rep", "size", "embedding"))
+    lengths = classes.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     usual = lengths.orderBy(F.desc("n"), "d").first()
     if usual is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    sound = sound & (F.size("embedding") == usual["d"])
-    classes = rows.where(sound).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"))
-    classes = materialize(classes.select("rep", "size", "embedding"))
-    n = classes.count()
-    n_pivots = max(1, min(MAX_PIVOTS, n // block))
-    chosen = classes.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).select("embedding").toArrow()  # at most MAX_PIVOTS rows
+    others = lengths.where(F.col("d") != usual["d"])
+    plain = _deal_plain(classes.where(F.size("embedding") != usual["d"]), others, block)
+    main = classes.where(F.size("embedding") == usual["d"])
+    n_pivots = max(1, min(MAX_PIVOTS, usual["n"] // block))
+    chosen = main.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).select("embedding").toArrow()  # at most MAX_PIVOTS rows
     cells = Cells(_matrix(chosen.column("embedding").combine_chunks()), float(np.sqrt(2 - 2 * cosine)))
-    tally = "cell int, n long, extent double"
-
-    def counts(guests: bool) -> tuple[np.ndarray, np.ndarray]:
-        summed = classes.select("embedding").mapInArrow(_tally(cells, guests), tally).groupBy("cell").agg(F.sum("n").alias("n"), F.max("extent").alias("extent"))
-        found = {r["cell"]: r for r in summed.collect()}  # one row per pivot
-        get = lambda c: np.array([found[k][c] for k in range(n_pivots)])
-        return get("n"), get("extent")
-
-    n_home, extent = counts(False)
-    cells.extent = extent
-    n_guest, _ = counts(True)
-    home_blocks, guest_blocks = -(-n_home // block), -(-n_guest // block)
-    dealt = classes.mapInArrow(
-        _deal(cells, np.maximum(home_blocks, 1), guest_blocks), "cell int, i int, j int, side int, rep long, size long, embedding array<float>"
-    )
-    found = dealt.groupBy("cell", "i", "j").applyInArrow(_compare(cosine, np.maximum(home_blocks, 1)), "rep long, links long, other long")
-    found = materialize(found)
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    parts = connected_components(found.select(F.col("rep").alias("src"), F.col("other").alias("dst")))
+
+    # A row for each pivot and each of its intervals is collected: MAX_PIVOTS times REFERENCES at most.
+    measured = materialize(main.select("embedding").mapInArrow(_measure(cells), "cell int, n long, extent double, low array<double>, high array<double>"))
+    found = {r["cell"]: r for r in measured.groupBy("cell").agg(F.sum("n").alias("n"), F.max("extent").alias("extent")).collect()}
+    ends = measured.select("cell", F.posexplode(F.arrays_zip("low", "high")).alias("s", "e")).groupBy("cell", "s").agg(F.min("e.low"), F.max("e.high"))
+    for cell, s, low, high in ends.collect():
+        cells.low[cell, s], cells.high[cell, s] = low, high
+    get = lambda c: np.array([found[k][c] for k in range(n_pivots)])
+    n_home, cells.extent = get("n"), get("extent")
+    counted = main.select("embedding").mapInArrow(_count_guests(cells), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    guests = {r["cell"]: r["n"] for r in counted.collect()}
+    n_guest = np.array([guests[k] for k in range(n_pivots)])
+    home_blocks, guest_blocks = np.maximum(-(-n_home // block), 1), -(-n_guest // block)
+    dealt = main.mapInArrow(_deal(cells, home_blocks, guest_blocks), f"cell int, i int, j int, side int, rep long, size long, embedding {kind}")
+    compared = dealt.union(plain).groupBy("cell", "i", "j").applyInArrow(_compare(cosine), "rep long, links long, other long")
+    compared = materialize(compared)
+    links = compared.groupBy("rep").agg(F.sum("links").alias("links"))
+    parts = connected_components(compared.select(F.col("rep").alias("src"), F.col("other").alias("dst")))
     known = (
         classes.join(links, "rep", "left")
         .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
