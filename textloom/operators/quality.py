@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -70,10 +72,24 @@ def folded(text: str) -> Column:
     return F.coalesce(fold_marks(other), F.lower(text))
 
 
+def _beginning(pattern: str) -> str | None:
+    """The letters that every match of a pattern begins with; null if it may begin otherwise."""
+    found = re.match(r"\w+", pattern)
+    return found[0].lower() if found and "|" not in pattern and pattern[found.end() :][:1] not in ("?", "*", "{") else None
+
+
 def watermark(plain: Column | str, patterns: tuple[str, ...] = WATERMARKS) -> Column:
-    """The first pattern that a folded text holds; null without one.  One pattern for all is tried first."""
+    """The first pattern that a folded text holds; null without one.
+
+    Patterns are tried only on texts that hold what one of them begins with.
+    """
     plain = F.col(plain) if isinstance(plain, str) else plain
-    return F.when(plain.rlike("(?iud)" + "|".join(f"(?:{p})" for p in patterns)), which_of(plain, patterns))
+    begins = [_beginning(p) for p in patterns]
+    if None in begins:
+        possible = plain.rlike("(?iud)" + "|".join(f"(?:{p})" for p in patterns))
+    else:
+        possible = reduce(lambda a, b: a | b, [F.contains(plain, F.lit(x)) for x in dict.fromkeys(begins)])
+    return F.when(possible, which_of(plain, patterns))
 
 
 def metadata_noise(text: Column | str, patterns: tuple[str, ...] = METADATA_LINES, scan: int = METADATA_SCAN) -> Column:
