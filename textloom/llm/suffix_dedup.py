@@ -21,9 +21,10 @@ one anchor.  An anchor lies about every 69 bytes.
    fall between different leading bytes, which equal strings share, so no match
    reaches across a boundary, and neither do the runs of whole leads in which a
    bucket is worked off.
-4. A lead that very many different surroundings share (a line of 64 to 199
-   bytes in every document) is not gathered: its strings are compared by their
-   128-bit digests with partial aggregation.
+4. A lead that more than HOT_ROWS different surroundings share (a line of 64 to
+   199 bytes in every document) would be one bucket, however large.  Its
+   strings are compared by their 128-bit digests with partial aggregation: the
+   same result by another way, so that no lead is gathered whole.
 
 Defined results: a null text counts as empty; texts under LENGTH bytes lose
 nothing; matches never cross texts; rows with equal key and text are copies of
@@ -43,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 
 LENGTH = 200
 LEAD = 64
@@ -318,11 +319,11 @@ def _remove_batches(kept: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator
 
 def repeated_passages(rows: DataFrame) -> DataFrame:
     """``rid, key, lo, end``: byte spans of repeats, from ``rid, key, text`` (binary)."""
-    leads = rows.select("rid", "text").mapInArrow(_lead_batches, "rid long, place int, lead long")
-    # Written out, so that the join reads two plain exchanges, which adaptive execution can split at a hot lead.
+    # Written out, so that anchors are found once here, and that the join reads two plain exchanges, which adaptive execution can split at a hot lead.
+    leads = materialize(rows.select("rid", "text").mapInArrow(lean(_lead_batches), "rid long, place int, lead long"))
     twice = materialize(leads.groupBy("lead").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("lead"))
     places = leads.join(twice, "lead").groupBy("rid").agg(F.collect_list("place").alias("places"))
-    suffixes = materialize(rows.join(places, "rid").select("rid", "key", "text", "places").mapInArrow(_suffix_batches, _SUFFIXES))
+    suffixes = materialize(rows.join(places, "rid").select("rid", "key", "text", "places").mapInArrow(lean(_suffix_batches), _SUFFIXES))
     found = suffixes.where("body is null").select("rid", "key", "lo", "end")
     apart = suffixes.where("body is not null").withColumn("lead", F.expr(f"substring(body, at + 1, {LEAD})"))
     hot = materialize(apart.groupBy(F.xxhash64("lead").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("hot"))
