@@ -15,7 +15,8 @@ of its own (all zero); very long texts are read whole; repeated rows get equal
 scores; an empty table gives an empty result; without a label of each kind the
 model is the constant prior (0.5 without any); labels that are null or belong
 to no document are ignored, and a document labelled several times counts once
-for each different label; other columns are not read.
+for each different label; of rows that share a doc_id the smallest text is
+learnt from; other columns are not read.
 """
 
 from __future__ import annotations
@@ -249,7 +250,7 @@ def fit_quality(
     some = materialize(wanted.orderBy(F.xxhash64(F.lit(seed), "__key"), "__key", "__label").limit(max_rows))
     source = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
     # The sample has at most max_rows rows of two numbers, hence the broadcast.
-    chosen = source.join(F.broadcast(some), "__key").select("__key", "__label", "__text")
+    chosen = source.join(F.broadcast(some), "__key").groupBy("__key", "__label").agg(F.min("__text").alias("__text"))
     schema = T.StructType([*chosen.schema.fields[:2], T.StructField("features", T.ArrayType(T.DoubleType()))])
     rows = chosen.mapInArrow(_feature_batches, schema).toArrow().sort_by([("__key", "ascending"), ("__label", "ascending")])
     x = np.array(rows.column("features").to_pylist(), float).reshape(rows.num_rows, len(FEATURES))
