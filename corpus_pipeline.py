@@ -4,9 +4,15 @@
 Parquet in the shared folder and read again, so a lost executor costs one stage
 at most and no stage is computed twice.
 
-Rows that repeat both doc_id and text are one document: they stay or go
-together.  Documents that share a doc_id stay if one of them does.  Null and
-empty texts are rejected by the quality rules.
+Defined results: rows that repeat both doc_id and text are one document: they
+stay or go together.  Documents that share a doc_id stay if one of them does;
+rows without a doc_id, if they are the smallest of their group or alone in it.
+Null and empty texts are rejected by the quality rules.  Very long texts are
+read whole by every stage.  Of equally good documents of a group the smallest
+doc_id stays; ties of the mixture fall by doc_id, or by text without one.  An
+empty table gives an empty result with the columns of the last stage.  All
+stages but the last give every column back, other ones than those of
+``documents`` as they came, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,24 +36,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces every span of personal data in the text by its kind."""
-    rest = tuple(c for c in docs.columns if c != "text")
-    cleaned = pii.find_personal_data(docs, keys=rest, redacted=True)
-    measured = {"n_chars": F.length("redacted").cast("long")} if "n_chars" in rest else {}
-    return cleaned.withColumns(measured).withColumnRenamed("redacted", "text").select(*docs.columns)
+    """Replaces every span of personal data in the text by its kind; the other columns stay, n_chars following the text."""
+    names = docs.columns
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text = f"c{names.index('text')}"
+    rest = tuple(c for c in plain.columns if c != text)
+    cleaned = pii.find_personal_data(plain, text=text, keys=rest, field=pii.fit_field(pii.labelled_table(spark)), redacted=True)
+    values = {c: F.col(c) for c in rest} | {text: F.col("redacted")}
+    if "n_chars" in names:
+        size = f"c{names.index('n_chars')}"
+        values[size] = F.length("redacted").cast(docs.schema["n_chars"].dataType)
+    return cleaned.select(*[values[c].alias(c) for c in plain.columns]).toDF(*names)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixes the sources to their target weights: some documents go, some come twice."""
-    mixed = mixing.mix(
+    return mixing.mixed_rows(
         docs, budget=F.expr("all_tokens * 3 div 4"), weights=MIX_WEIGHTS, domain=domain_of_source(), defaults=MIX_DEFAULTS, max_epochs=2, seed=MIX_SEED
     )
-    return mixing.repeat_copies(mixed).select(*docs.columns)
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

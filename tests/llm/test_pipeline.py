@@ -37,7 +37,7 @@ def test_quality(stages):
 
 def test_near_duplicates(stages):
     before, after, _, frame = stages["near duplicates"]
-    weights = minhash.common_shingles(frame.select("doc_id", "text"))
+    weights = minhash.document_weights(frame.select("doc_id", "text"))
     sets = {}
     for r in before:
         h, n = minhash.shingles(r["text"].split())
@@ -82,3 +82,37 @@ def test_tokens(stages):
 def test_run(spark, sf_dir, stages):
     got = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted((r["doc_id"], tuple(r["ids"])) for r in got) == sorted((r["doc_id"], tuple(r["ids"])) for r in stages["tokens"][1])
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, kept_id int, copy string, spans string, domain int, copies int, n_tokens int, __tokens int"
+
+
+def odd_documents(spark):
+    """Nulls in every column, empty, very long and repeated texts, ties, and columns named like those that the stages add."""
+    word = lambda n, seed: " ".join(f"w{(i * 7919 + seed) % 997}" for i in range(n))
+    rows = [(None, None, None, None, None), (1, "", "en", "src1", 0), (2, word(20_000, 1), "en", None, 9), (3, word(80, 5), None, "src7", 1)]
+    rows += [(3, word(80, 5), None, "src7", 1)] * 2 + [(None, word(90, 6) + " a@b.example.com", "de", "src2", None), (5, word(80, 5), "fr", "x", 2)]
+    rows += [(6, "short text", "en", "src1", 3)] + [(10 + i, word(120, 100 + i) + " +1 202 555 0100", "en", f"src{i}", 4) for i in range(12)]
+    return spark.createDataFrame([(*r, 1, "c", "s", 2, 3, 4, 5) for r in rows], ODD)
+
+
+def test_stages_give_columns_back_unchanged(spark, sf_dir):
+    docs = odd_documents(spark)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        before = {(r["doc_id"], r["lang"], r["source"]) for r in docs.collect()}
+        docs = materialize(stage(spark, docs, sf_dir))
+        rows = docs.collect()
+        assert docs.columns == [c.split()[0] for c in ODD.split(", ")]
+        assert all(tuple(r)[5:] == (1, "c", "s", 2, 3, 4, 5) for r in rows)
+        assert rows and {(r["doc_id"], r["lang"], r["source"]) for r in rows} <= before
+    assert not any("555" in r["text"] or "@" in r["text"] for r in rows)
+    assert sum(r["doc_id"] == 3 for r in rows) in (0, 3, 6) and not any(r["doc_id"] in (1, 5, 6) for r in rows)
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert last.count() == len(rows)
+
+
+def test_stages_of_an_empty_table(spark, sf_dir):
+    docs = odd_documents(spark).limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = materialize(stage(spark, docs, sf_dir))
+        assert docs.count() == 0

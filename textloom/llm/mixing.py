@@ -12,9 +12,10 @@ are exact integers (decimals), so the result does not depend on summation order.
 
 Defined results: null domain, language or source is the leaf value
 ``unknown``; a null or empty text has no tokens; rows that share a doc_id in a
-leaf are taken or left together; a leaf without tokens gets nothing; an empty
-table gives an empty result; a column of the input that is named like an added
-column is replaced by it.
+leaf are taken or left together, and rows without one those that share a text;
+a leaf without tokens gets nothing; an empty table gives an empty result; a
+column of the input that is named like an added column is replaced by it, but
+``mixed_rows`` gives all columns back as they are.
 """
 
 from __future__ import annotations
@@ -33,6 +34,11 @@ def word_tokens(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def ident_of(key: str = "doc_id", text: str = "text") -> Column:
+    """What tells rows of a leaf apart: the key, or the text of a row without one."""
+    return F.coalesce(F.col(f"`{key}`").cast("string"), F.concat(F.lit("~"), F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))))
+
+
 def _weight(level: str, weights: dict[str, int], default: int) -> Column:
     column = F.lit(default)
     for name, weight in weights.items():
@@ -105,19 +111,22 @@ def mix(
     max_epochs: int = 1,
     seed: int = 0,
     key: str = "doc_id",
+    text: str = "text",
+    ident: Column | None = None,
     order_digits: int = 3,
 ) -> DataFrame:
     """The rows of ``docs`` that the mixture takes, with ``copies`` (1 or more), ``n_tokens`` and ``domain``.
 
     ``order_digits`` hexadecimal digits of the hash name the buckets: with 3,
-    a leaf's ordered part is about 1/4096 of it.
+    a leaf's ordered part is about 1/4096 of it.  ``ident`` tells rows apart
+    (``ident_of`` key and text unless given).
     """
     known = lambda c: F.coalesce(c.cast("string"), F.lit("unknown"))
     label = {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
-    measured = tokens if tokens is not None else word_tokens()
+    measured = tokens if tokens is not None else word_tokens(text)
     named = {f"__{level}": known(label[level]) for level in LEVELS} | {"__n": measured}
     rows = docs.withColumns(named).drop("copies", "n_tokens", "domain")
-    ident = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    ident = ident if ident is not None else ident_of(key, text)
     narrow = materialize(rows.select(*[F.col(f"__{x}").alias(x) for x in LEVELS], ident.alias("id"), F.col("__n").alias("n")))
 
     totals = narrow.groupBy(*LEVELS).agg(F.sum("n").alias("tokens"))
@@ -178,4 +187,13 @@ def mix(
 
 def repeat_copies(mixed: DataFrame) -> DataFrame:
     """Each row as often as its ``copies`` say."""
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("__copy")
+
+
+def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+    """The rows that a mixture takes, as often as it takes them, all their columns unchanged, whatever their names."""
+    names = docs.columns
+    plain = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    known = [F.col(f"__c{names.index(c)}").alias(c) for c in ("doc_id", "text", "lang", "source")]
+    mixed = mix(plain.select("*", *known), **options)
+    return repeat_copies(mixed).select(*plain.columns).toDF(*names)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embedding_join, minhash, mixing, pii, quality_gam, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, token_counts
-from .common import shared_dir
+from .common import materialize, shared_dir
 
 
 def vocabulary(name: str) -> str:
@@ -144,9 +144,13 @@ def domain_of_source() -> Column:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = table(spark, sf_dir, "documents")
+    # Texts are read once: measured, and their tie-break taken.
+    docs = materialize(docs.select("doc_id", "lang", "source", mixing.word_tokens().alias("__tokens"), mixing.ident_of("doc_id", "text").alias("__ident")))
     mixed = mixing.mix(
         docs,
+        tokens=F.col("__tokens"),
+        ident=F.col("__ident"),
         budget=F.expr("all_tokens * 3 div 4"),
         weights=MIX_WEIGHTS,
         domain=domain_of_source(),
@@ -182,10 +186,10 @@ def mix_sql(docs: str, budget: str, max_epochs: int) -> str:
 
     number = "try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT)"
     return rf"""
-d0 AS (SELECT doc_id, source, coalesce(lang, 'unknown') AS lang, {number} AS num,
+d0 AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '~' || md5(coalesce(text, ''))) AS ident, source, coalesce(lang, 'unknown') AS lang, {number} AS num,
     len(regexp_extract_all(coalesce(text, ''), '[^ 	-
 ]+')) AS n_tokens FROM {docs}),
-d AS (SELECT doc_id, lang, coalesce(source, 'unknown') AS source, n_tokens,
+d AS (SELECT doc_id, lang, coalesce(source, 'unknown') AS source, n_tokens, ident,
     CASE WHEN num IS NULL THEN 'unknown' WHEN num < 5 THEN 'web' WHEN num < 10 THEN 'books' WHEN num < 15 THEN 'news' ELSE 'forum' END AS domain FROM d0),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::HUGEINT AS tokens FROM d GROUP BY ALL),
 whole AS (SELECT least(sum(tokens) * {max_epochs}, {budget})::HUGEINT AS budget FROM (SELECT *, sum(tokens) OVER () AS all_tokens FROM leaves) GROUP BY all_tokens),
@@ -194,8 +198,8 @@ whole AS (SELECT least(sum(tokens) * {max_epochs}, {budget})::HUGEINT AS budget
 {pour("b3", "b2", ["domain", "lang"], "source", case("source"))},
 plan AS (SELECT leaves.*, budget // greatest(tokens, 1) AS epochs, budget % greatest(tokens, 1) AS prefix
   FROM leaves JOIN b3 USING (domain, lang, source) WHERE tokens > 0),
-ordered AS (SELECT d.*, epochs, prefix, md5('{MIX_SEED}:' || epochs || ':' || coalesce(doc_id::VARCHAR, '')) AS h FROM d JOIN plan USING (domain, lang, source)),
-running AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, coalesce(doc_id::VARCHAR, '')
+ordered AS (SELECT d.*, epochs, prefix, md5('{MIX_SEED}:' || epochs || ':' || ident) AS h FROM d JOIN plan USING (domain, lang, source)),
+running AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY h, ident
     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM ordered),
 mixed AS (SELECT doc_id, domain, lang, source, n_tokens, (epochs + CASE WHEN upto <= prefix THEN 1 ELSE 0 END)::INT AS copies FROM running)"""
 
@@ -205,7 +209,8 @@ SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, copies FROM m
 
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    field = pii.fit_field(pii.labelled_table(spark))
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), field=field)
     base = F.filter("spans", lambda s: s["base"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
     text = lambda spans: F.array_join(
@@ -216,6 +221,7 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
         F.sha2(text(base), 256).alias("base_sha256"),
         text(F.col("spans")).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )
 
 
