@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embedding_join, minhash, mixing, pii, quality_gam, quality_rules, sentencepiece_bpe, sharding, suffix_dedup, token_counts
+from . import (
+    conversation_repair,
+    embedding_join,
+    minhash,
+    mixing,
+    nearest_neighbours,
+    pii,
+    quality_gam,
+    quality_rules,
+    sentencepiece_bpe,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    whitening,
+)
 from .common import materialize, shared_dir
 
 
@@ -233,6 +247,45 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with rows dropped (``gone``), emptied, cut, repeated or given the wrong role, by a hash of their place."""
+    space = F.lit(" ")
+    place = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    rows = conversations.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), (F.crc32(place.cast("binary")) % 20).alias("harm")
+    )
+    cut = F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    rows = rows.select("conv_id", "turn", F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"), cut.alias("text"), "harm")
+    copies = F.explode(F.when(F.col("harm") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", "role", "text", (F.col("harm") == 0).alias("gone"), copies.alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_summaries(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
+#: Rows that op13 searches for, and how many it finds.
+NEAREST_QUERIES, NEAREST = "vec_id % 20 = 0", 20
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), queries=F.expr(NEAREST_QUERIES), k=NEAREST)
+
+
+OP13_SQL = f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM (SELECT * FROM v WHERE {NEAREST_QUERIES}) q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS at FROM p)
+SELECT query_id, at::INT AS rank, vec_id, score FROM r WHERE at <= {NEAREST}
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_sentencepiece": op2_sentencepiece,
@@ -244,6 +297,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -251,4 +307,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
     "op5_embedding_groups": OP5_SQL,
     "op7_mixing": OP7_SQL,
+    "op13_nearest_neighbours": OP13_SQL,
 }
