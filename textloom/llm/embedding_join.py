@@ -37,6 +37,7 @@ columns are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,8 @@ from .common import connected_components, materialize
 #: Most pivots, and those of them that cells keep intervals for; they and the intervals
 #: travel with the tasks (2 MB at 64 dimensions, and 4 MB).
 MAX_PIVOTS, REFERENCES = 4096, 64
+#: Pivots of a table that fills no more blocks (fewer, the root of its size, below 64 vectors).
+LEAST_PIVOTS = 8
 #: Rows worked on at once.
 ROWS_AT_ONCE = 1000
 _SLACK = 1e-9
@@ -238,8 +241,9 @@ def embedding_groups(
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(embedding).cast(kind).alias("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v).cast("double") != F.lit(float("inf"))))
     sound = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
-    classes = rows.where(sound).groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("size"))
-    classes = materialize(classes.select("rep", "size", "embedding"))
+    # A class is known by a number of its own, fixed by being written, as different vectors may share a vec_id.
+    classes = rows.where(sound).groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("size"))
+    classes = materialize(classes.select(F.monotonically_increasing_id().alias("rep"), "least", "size", "embedding"))
     lengths = classes.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     usual = lengths.orderBy(F.desc("n"), "d").first()
     if usual is None:
@@ -247,8 +251,8 @@ def embedding_groups(
     others = lengths.where(F.col("d") != usual["d"])
     plain = _deal_plain(classes.where(F.size("embedding") != usual["d"]), others, block)
     main = classes.where(F.size("embedding") == usual["d"])
-    n_pivots = max(1, min(MAX_PIVOTS, usual["n"] // block))
-    chosen = main.orderBy(F.xxhash64("rep"), "rep").limit(n_pivots).select("embedding").toArrow()  # at most MAX_PIVOTS rows
+    n_pivots = min(MAX_PIVOTS, max(usual["n"] // block, min(LEAST_PIVOTS, isqrt(usual["n"]))))
+    chosen = main.orderBy(F.xxhash64("least"), "least", "rep").limit(n_pivots).select("embedding").toArrow()  # at most MAX_PIVOTS rows
     cells = Cells(_matrix(chosen.column("embedding").combine_chunks()), float(np.sqrt(2 - 2 * cosine)))
 
     # A row for each pivot and each of its intervals is collected: MAX_PIVOTS times REFERENCES at most.
@@ -268,10 +272,12 @@ def embedding_groups(
     compared = materialize(compared)
     links = compared.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(compared.select(F.col("rep").alias("src"), F.col("other").alias("dst")))
+    parts = materialize(parts.withColumnRenamed("node", "rep").join(classes.select("rep", "least"), "rep"))
+    smallest = parts.groupBy("component").agg(F.min("least").alias("smallest"))
     known = (
         classes.join(links, "rep", "left")
-        .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("embedding", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        .join(parts.join(smallest, "component").select("rep", "smallest"), "rep", "left")
+        .select("embedding", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("smallest", "least").alias("component_id"))
     )
     known = materialize(known)
     joined = rows.where(sound).join(known, "embedding").select("vec_id", "n_links", "component_id")
