@@ -64,15 +64,39 @@ def passages(seed):
     return docs + [text(12) + line + text(12) for _ in range(15)]
 
 
-@pytest.mark.parametrize("hot", [5000, 3])
-def test_repeats_are_those_of_all_pairs(spark, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot)
-    texts = passages(hot)
+@pytest.mark.parametrize("limit", [5000, 3, 1])
+def test_repeats_are_those_of_all_pairs(spark, monkeypatch, limit):
+    monkeypatch.setattr(suffix_dedup, "BUCKET_LIMIT", limit)
+    texts = passages(limit)
     rows = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, text string, spans string, rid int").repartition(3)
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(rows).collect()}
     assert [got[i] for i in range(len(texts))] == brute_repeats([(t or "").encode() for t in texts])
 
 
+def test_a_line_in_every_document(spark):
+    """One lead with 20,000 different surroundings, some of which are the same again."""
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(150))
+    around = lambda: "".join(rng.choice("xyzuvw ") for _ in range(120))
+    sides = [around() for _ in range(40)]
+    texts = [around() + line + around() for _ in range(20_000)]
+    for k in range(0, 4000, 100):  # the same before the line, or the same behind it
+        texts[k] = (sides[k // 100] + line + around()) if k % 200 else (around() + line + sides[k // 100])
+        texts[k + 1] = (sides[k // 100] + line + around()) if k % 200 else (around() + line + sides[k // 100])
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(rows).collect()}
+    seen = Counter(hash(t[i : i + 200]) for t in texts for i in range(len(t) - 199))
+    want = 0
+    for k, t in enumerate(texts):
+        gone = bytearray(len(t))
+        for i in range(len(t) - 199):
+            if seen[hash(t[i : i + 200])] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        want += sum(gone) > 0
+        assert got[k][1] == sum(gone)
+    assert want >= 80
+
+
 def test_small_runs_of_leads_change_nothing():
     texts = [(t or "").encode() for t in passages(11)]
     at, lo, hi, owner, lead = suffix_dedup.anchors(texts)
@@ -124,6 +148,41 @@ def test_links_are_those_of_all_pairs(spark):
     assert got == {i: (links[i], part[i], part[i] == i) for i in part}
 
 
+def brute_groups(rows):
+    """(vec_id, n_links, component_id) of every row, rows being vectors of their own whatever their ids."""
+    x = np.array([v for _, v in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= 0.95
+    np.fill_diagonal(hit, False)
+    part = groups_of([(int(a), int(b)) for a, b in zip(*np.nonzero(hit)) if a < b], range(len(rows)))
+    least = {}
+    for k, root in part.items():
+        least[root] = min(least.get(root, rows[k][0]), rows[k][0])
+    return sorted((i, int(hit[k].sum()), least[part[k]]) for k, (i, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("block", [16, 8192])
+def test_rows_that_repeat_a_vec_id_are_apart(spark, block):
+    """Different vectors under one id, among them two that are orthogonal and have links of their own."""
+    rng = np.random.default_rng(12)
+    centres = np.eye(6) * 3
+    rows = [(int(rng.integers(0, 40)), (centres[k % 6] + 0.2 * rng.normal(size=6)).astype(np.float32).tolist()) for k in range(120)]
+    rows += [(i, [*map(float, v), 0.0, 0.0, 0.0]) for i, v in ((5, (1, 0, 0)), (5, (0, 1, 0)), (2, (1, 0.01, 0)), (9, (0, 1, 0.01)), (5, (1, 0, 0)))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_join.embedding_groups(frame, block=block).collect())
+    assert got == brute_groups(rows)
+
+
+def test_the_query_has_several_cells(spark, monkeypatch):
+    made = []
+    cells = embedding_join.Cells
+    monkeypatch.setattr(embedding_join, "Cells", lambda pivots, radius: made.append(len(pivots)) or cells(pivots, radius))
+    path = "/root/testdata/sf0.01"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{path}/embeddings.parquet").collect()]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in queries.op5_embedding_groups(spark, path).collect())
+    assert got == brute_groups(rows) and made == [embedding_join.LEAST_PIVOTS]
+
+
 def test_links_of_doubles_and_of_all_lengths(spark):
     big, small = [1e300, 2e300, 0.0], [1e-60, 2e-60, 1e-90]
     vectors = [(1, big), (2, [v / 3 for v in big]), (3, small), (4, [1.0, 0.0, 0.0]), (5, [1.0, 0.0]), (6, [2.0, 0.1]), (7, [0.0, 1.0]), (8, [7.0]), (9, [3.0]), (10, [-3.0])]

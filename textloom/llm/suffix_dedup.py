@@ -21,10 +21,12 @@ one anchor.  An anchor lies about every 69 bytes.
    fall between different leading bytes, which equal strings share, so no match
    reaches across a boundary, and neither do the runs of whole leads in which a
    bucket is worked off.
-4. A lead that more than HOT_ROWS different surroundings share (a line of 64 to
-   199 bytes in every document) would be one bucket, however large.  Its
-   strings are compared by their 128-bit digests with partial aggregation: the
-   same result by another way, so that no lead is gathered whole.
+4. A bucket of more than BUCKET_LIMIT suffixes (the line of 64 to 199 bytes that
+   stands in every document) is split by further bytes.  Of the offsets that its
+   lead serves, the lower half share more bytes behind the anchor and the upper
+   half more before it; each half takes its suffixes with those bytes added to
+   the key, and is split on while its buckets are too large.  At a single offset
+   the key is the whole string, so whatever is left there is equal and repeated.
 
 Defined results: a null text counts as empty; texts under LENGTH bytes lose
 nothing; matches never cross texts; rows with equal key and text are copies of
@@ -50,9 +52,9 @@ LENGTH = 200
 LEAD = 64
 #: Start positions that an anchor may stand for: all whose string holds its leading bytes.
 SPAN = LENGTH - LEAD + 1
-#: Suffixes compared at once, different suffixes of a lead up to which it is compared so,
+#: Suffixes compared at once, suffixes of a key beyond which more bytes are added to it,
 #: and digests that a task remembers.
-BUCKET_ROWS, HOT_ROWS, MEMO_ROWS = 20_000, 5_000, 300_000
+BUCKET_ROWS, BUCKET_LIMIT, MEMO_ROWS = 20_000, 5_000, 300_000
 CHUNK_BYTES = 2_000_000
 
 _U = np.uint64
@@ -217,13 +219,19 @@ def _classes(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_spans(at: np.ndarray, n: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of suffixes with all others of their leads: which have repeats, and the first and last offset before the anchor."""
+def repeated_spans(
+    at: np.ndarray, n: np.ndarray, bodies: list[bytes], first: np.ndarray | int = 0, last: np.ndarray | int = SPAN - 1
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of suffixes with all others of their keys: which have repeats, and the first and last offset before the anchor.
+
+    Only offsets from ``first`` to ``last`` are looked at; suffixes of one key have the same.
+    """
     width = SPAN + 7 & ~7
     after = np.frombuffer(b"".join(b[k : k + LENGTH].ljust(LENGTH, b"\0") for b, k in zip(bodies, at.tolist(), strict=True)), np.uint8).reshape(-1, LENGTH)
     before = np.frombuffer(b"".join(b[:k][::-1].ljust(width, b"\0") for b, k in zip(bodies, at.tolist(), strict=True)), np.uint8).reshape(-1, width)
     offsets = np.arange(SPAN)
     valid = (offsets[None] <= at[:, None]) & (offsets[None] > (at - n)[:, None])
+    valid &= (offsets[None] >= np.reshape(first, (-1, 1))) & (offsets[None] <= np.reshape(last, (-1, 1)))
     row, offset = np.nonzero(valid)
     key = _classes(after, LENGTH - offsets)[row, offset].astype(_U) * _U(len(at) + 1) + _classes(before, offsets)[row, offset].astype(_U)
     key = key * _U(256) + offset.astype(_U)
@@ -243,7 +251,8 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     def flush(table: pa.Table) -> pa.RecordBatch:
         at, n = table.column("at").to_numpy().astype(np.int64), table.column("n").to_numpy().astype(np.int64)
-        rows, low, high = repeated_spans(at, n, table.column("body").to_pylist())
+        first, last = table.column("first").to_numpy(), table.column("last").to_numpy()
+        rows, low, high = repeated_spans(at, n, table.column("body").to_pylist(), first, last)
         anchor = table.column("lo").to_numpy().astype(np.int64) + at
         rid, key = table.column("rid").to_numpy(), table.column("key").to_numpy()
         return pa.RecordBatch.from_arrays(
@@ -270,21 +279,6 @@ def _bucket_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield flush(table)
 
 
-def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The digest of every string that a suffix of a common lead stands for."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
-            n = part.column("n").to_numpy().astype(np.int64)
-            inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            digests = [xxhash.xxh3_128_digest(b[k : k + LENGTH]) for b, m in zip(part.column("body").to_pylist(), n.tolist(), strict=True) for k in range(m)]
-            lo = (np.repeat(part.column("lo").to_numpy(), n) + inner).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), pa.array(np.repeat(part.column("rid").to_numpy(), n)), pa.array(np.repeat(part.column("key").to_numpy(), n)), pa.array(lo)],
-                names=["digest", "rid", "key", "lo"],
-            )
-
-
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The maximal runs that spans cover; spans that touch are one run."""
     out: list[tuple[int, int]] = []
@@ -325,16 +319,27 @@ def repeated_passages(rows: DataFrame) -> DataFrame:
     places = leads.join(twice, "lead").groupBy("rid").agg(F.collect_list("place").alias("places"))
     suffixes = materialize(rows.join(places, "rid").select("rid", "key", "text", "places").mapInArrow(lean(_suffix_batches), _SUFFIXES))
     found = suffixes.where("body is null").select("rid", "key", "lo", "end")
-    apart = suffixes.where("body is not null").withColumn("lead", F.expr(f"substring(body, at + 1, {LEAD})"))
-    hot = materialize(apart.groupBy(F.xxhash64("lead").alias("hot")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select("hot"))
-    if not hot.isEmpty():
-        apart = apart.withColumn("hot", F.xxhash64("lead"))
-        windows = apart.join(hot, "hot", "left_semi").select("rid", "key", "lo", "n", "body").mapInArrow(_window_batches, "digest binary, rid long, key long, lo int")
-        again = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-        windows = windows.join(again, "digest").select("rid", "key", "lo", (F.col("lo") + LENGTH).alias("end"))
-        found = found.union(windows)
-        apart = apart.join(hot, "hot", "left_anti")
-    dealt = apart.select("lead", "rid", "key", "lo", "at", "n", "body").repartitionByRange("lead").sortWithinPartitions("lead")
+    # The key of a suffix: what all its strings with ``first`` to ``last`` bytes before the anchor share, and which these are.
+    shared = F.expr(f"concat(substring(body, at + 1, {LENGTH} - last), substring(body, at - first + 1, first), unhex(format_string('%02x%02x', first, last)))")
+    apart = suffixes.where("body is not null").select("rid", "key", "lo", "at", "n", "body", F.lit(0).alias("first"), F.lit(SPAN - 1).alias("last"))
+    buckets = None
+    while True:
+        keyed = apart.withColumn("lead", shared).withColumn("hash", F.xxhash64("lead"))
+        large = materialize(keyed.groupBy("hash").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > BUCKET_LIMIT).select("hash"))
+        small = keyed.join(large, "hash", "left_anti").drop("hash")
+        buckets = small if buckets is None else buckets.union(small)
+        if large.isEmpty():
+            break
+        over = keyed.join(large, "hash", "left_semi")
+        whole = over.where("first = last")
+        again = whole.groupBy("lead").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("lead")
+        equal = whole.join(again, "lead", "left_semi")
+        found = found.union(equal.select("rid", "key", (F.col("lo") + F.col("at") - F.col("first")).alias("lo"), (F.col("lo") + F.col("at") - F.col("first") + LENGTH).alias("end")))
+        middle = F.expr("(first + last) div 2").cast("int")
+        halves = F.array(F.struct(F.col("first").alias("first"), middle.alias("last")), F.struct((middle + 1).alias("first"), F.col("last").alias("last")))
+        split = over.where("first < last").withColumn("half", F.explode(halves)).select("rid", "key", "lo", "at", "n", "body", "half.first", "half.last")
+        apart = materialize(split.where("at >= first and at - n + 1 <= last"))
+    dealt = buckets.select("lead", "rid", "key", "lo", "at", "n", "first", "last", "body").repartitionByRange("lead").sortWithinPartitions("lead")
     return found.union(dealt.mapInArrow(_bucket_batches, _SPANS))
 
 
