@@ -437,7 +437,10 @@ def _cross(weights: Weights, similarity: float) -> Callable[[pa.Table], pa.Table
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str = "doc_id", text: str = "text", weights: Weights | None = None) -> DataFrame:
-    """``doc_id``, ``class_id`` and ``kept`` of every row."""
+    """``doc_id``, ``class_id``, ``kept`` and ``row_hash`` (of id and text) of every row.
+
+    The smallest id of a class is kept; of a class without ids, the row with the smallest hash.
+    """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("rid", F.xxhash64("doc_id", "text"))
     weights = weights or document_weights(rows)
@@ -488,12 +491,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
         joined = connected_components(ends.select(F.col("a").alias("src"), F.col("b").alias("dst")))
         joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
         labels = known.join(materialize(joined), "component", "left").select(F.col("digest").alias("node"), F.coalesce("whole", "component").alias("component"))
-    classes = with_words.select("doc_id", "digest").join(materialize(labels), F.col("digest") == F.col("node"), "left")
-    classes = classes.select("digest", "doc_id", F.coalesce("component", "digest").alias("component"))
-    least = materialize(classes.groupBy("component").agg(F.min("doc_id").alias("class_id")))
-    grouped = materialize(classes).join(least, "component").select("doc_id", "class_id")
-    alone = signed.where(F.col("digest").isNull()).select("doc_id", F.col("doc_id").alias("class_id"))
-    return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    classes = with_words.select("doc_id", "rid", "digest").join(materialize(labels), F.col("digest") == F.col("node"), "left")
+    classes = classes.select("digest", "doc_id", "rid", F.coalesce("component", "digest").alias("component"))
+    least = materialize(classes.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.min("rid").alias("least")))
+    chosen = F.when(F.col("class_id").isNull(), F.col("rid") == F.col("least")).otherwise(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    grouped = materialize(classes).join(least, "component").select("doc_id", "class_id", chosen.alias("kept"), F.col("rid").alias("row_hash"))
+    alone = signed.where(F.col("digest").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), F.col("rid").alias("row_hash"))
+    return grouped.union(alone)
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
