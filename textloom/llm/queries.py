@@ -37,20 +37,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Target file size and number of arrivals of the sharding query.
-SHARD_TARGET = 128 << 20
-SHARD_ARRIVALS = 3
+#: Target file size of the sharding query; as many arrivals as a tier takes, so that at every scale there is something to merge.
+SHARD_TARGET, SHARD_FANOUT = 128 << 20, 4
 
 
-def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Appends the documents as arrivals, compacting after each, and reads the last version back."""
-    docs = table(spark, sf_dir, "documents")
-    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/shards/{uuid.uuid4().hex}", SHARD_TARGET)
-    for arrival in range(SHARD_ARRIVALS):
-        store.append(docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SHARD_ARRIVALS)) == arrival))
+def filled_store(spark: SparkSession, sf_dir: str) -> tuple[sharding.ShardStore, int]:
+    """A store that the documents arrived in, compacted after each arrival; and how many compactions merged something."""
+    docs, merged = table(spark, sf_dir, "documents"), 0
+    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/shards/{uuid.uuid4().hex}", SHARD_TARGET, SHARD_FANOUT)
+    for arrival in range(SHARD_FANOUT):
+        store.append(docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(SHARD_FANOUT)) == arrival))
         while store.compact() is not None:
-            pass
+            merged += 1
         store.vacuum()
+    return store, merged
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Appends the documents as arrivals, compacting after each, and reads the last version back."""
+    store, _ = filled_store(spark, sf_dir)
     return store.read().select("doc_id", "lang", "source", "n_chars", F.sha2("text", 256).alias("text_sha256"))
 
 
@@ -244,7 +249,7 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
 
 
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,8 +286,8 @@ WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e
   WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 p AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
   FROM (SELECT * FROM v WHERE {NEAREST_QUERIES}) q JOIN v c ON q.rid <> c.rid AND len(q.e) = len(c.e)),
-r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS at FROM p)
-SELECT query_id, at::INT AS rank, vec_id, score FROM r WHERE at <= {NEAREST}
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM p)
+SELECT query_id, place::INT AS rank, vec_id, score FROM r WHERE place <= {NEAREST}
 """
 
 

@@ -137,12 +137,31 @@ class ShardStore:
         known = self.versions()
         return T.StructType.fromJson(self._pointer(known[-1] if version is None else version)["schema"]) if known else None
 
+    def _fits(self, version: int | None, schema: T.StructType) -> T.StructType:
+        """The columns of a version, which have to be those of an arrival; the arrival's own where there is no version."""
+        known = schema if version is None else T.StructType.fromJson(self._pointer(version)["schema"])
+        shape = lambda fields: sorted((f.name, f.dataType.simpleString()) for f in fields)
+        if shape(known) != shape(schema):
+            raise ValueError(f"the store has other columns: {known.simpleString()}")
+        return known
+
     def _publish(self, folder: str, schema: T.StructType, removed: list[str], attempts: int = 5) -> int:
-        """Commits a version with a folder's shards and without the ``removed`` ones."""
+        """Commits a version with a folder's shards and without the ``removed`` ones.
+
+        Each attempt holds the columns against those of the version that it
+        follows, so of two first writers with different columns one fails.
+        """
         added = self._shards(folder)
         for attempt in range(attempts):
             known = self.versions()
-            live = self.manifest()
+            last = known[-1] if known else None
+            try:
+                schema = self._fits(last, schema)
+            except ValueError:
+                self._delete(folder)
+                self._written(folder)
+                raise
+            live = self.manifest(last) if known else self.manifest()
             paths = {r["path"] for r in live.select("path").collect()} if removed else set()
             if not paths.issuperset(removed):
                 raise CommitConflict("a shard to be replaced is gone")
@@ -180,11 +199,9 @@ class ShardStore:
 
     def append(self, rows: DataFrame) -> int:
         """Adds an arrival: each of its partitions with rows becomes a small shard.  Returns the version."""
-        shape = lambda schema: sorted((f.name, f.dataType.simpleString()) for f in schema)
-        known = self.schema()
-        if known is not None and shape(known) != shape(rows.schema):
-            raise ValueError(f"the store has other columns: {known.simpleString()}")
-        return self._publish(self._write(rows), known or rows.schema, [])
+        known = self.versions()
+        self._fits(known[-1] if known else None, rows.schema)  # before anything is written
+        return self._publish(self._write(rows), rows.schema, [])
 
     def plan(self) -> list[list[str]]:
         """Runs of shards to merge: of a tier with ``fanout`` shards or more, up to the target size each."""
@@ -239,6 +256,7 @@ class ShardStore:
         versions then do not list is dead.  What is being written is left alone.
         """
         folders = [n for n, *_ in self._list("data")]
+        drafts = [n for n, _, at in self._list("manifest") if at < time.time() - self.abandoned]
         marks = {n for n, _, at in self._list("writing") if at > time.time() - self.abandoned}
         versions = self.versions()
         live = {r["path"] for v in versions[-keep:] for r in self.manifest(v).select("path").collect()}
@@ -246,6 +264,11 @@ class ShardStore:
             manifest = self._pointer(version)["manifest"]
             self._delete(f"commit/v{version:09d}")
             self._delete(f"manifest/{manifest}")
+        # Manifests that no version points to, of writers that died before their commit.
+        named = {self._pointer(v)["manifest"] for v in versions[-keep:]} if drafts else set()
+        for manifest in drafts:
+            if manifest not in named:
+                self._delete(f"manifest/{manifest}")
         gone = 0
         for folder in folders:
             if folder in marks:
