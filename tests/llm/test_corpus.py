@@ -91,6 +91,36 @@ def test_vacuum_leaves_what_is_being_written(spark, tmp_path):
     assert late.vacuum() == 1 and s.read().count() == 9
 
 
+def test_of_first_writers_with_different_columns_one_fails(spark, tmp_path):
+    """Both have checked an empty store before either commits."""
+    s = store(spark, tmp_path)
+    a, b = spark.createDataFrame([(1, "x")], "id long, t string"), spark.createDataFrame([(2.0,)], "other double")
+    first, second = s._write(a), s._write(b)
+    assert s._publish(first, a.schema, []) == 1
+    with pytest.raises(ValueError):
+        s._publish(second, b.schema, [])
+    assert [tuple(r) for r in s.read().collect()] == [(1, "x")]
+    assert s.versions() == [1] and s._list("writing") == [] and len(s._list("data")) == 1
+
+
+def test_vacuum_finds_manifests_of_writers_that_died(spark, tmp_path):
+    s = store(spark, tmp_path)
+    s.append(spark.range(5))
+    s.manifest().write.parquet(f"{s.root}/manifest/draft")
+    s.vacuum()
+    assert len(s._list("manifest")) == 2  # it may be about to be committed
+    sharding.ShardStore(spark, s.root, abandoned=-1).vacuum()
+    assert len(s._list("manifest")) == 1 and s.read().count() == 5
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_the_query_compacts(spark, scale):
+    path = f"/root/testdata/{scale}"
+    full, merged = queries.filled_store(spark, path)
+    assert merged >= 1 and full.manifest().count() < queries.SHARD_FANOUT
+    assert full.read().count() == spark.read.parquet(f"{path}/documents.parquet").count()
+
+
 def test_every_listed_version_can_be_read(spark, tmp_path):
     s = store(spark, tmp_path)
     for k in range(4):
@@ -449,6 +479,19 @@ def test_the_query_is_its_plain_version(spark, sf_dir):
         assert [r[f"n_{kind}"] for kind in pii.KINDS[:4]] == [sum(k == i for _, k, _ in base) for i in range(4)]
 
 
+def test_a_long_run_of_numbers_pads_no_other_run(monkeypatch):
+    """A table of 100,000 numbers beside short texts: what is decoded at once is bounded by the longest window itself."""
+    sizes, plain = [], pii.viterbi
+    monkeypatch.setattr(pii, "viterbi", lambda field, ids, lengths: sizes.append(ids.shape) or plain(field, ids, lengths))
+    table = " ".join(str(k % 9973) for k in range(100_000))
+    texts = [f"row {k} has tel 020 7946 {1000 + k} in it" for k in range(255)]
+    alone = pii.field_spans(pii.default_field(), texts)
+    sizes.clear()
+    got = pii.field_spans(pii.default_field(), [table, *texts])
+    assert got[1:] == alone and got[0] == pii.field_spans(pii.default_field(), [table])[0]
+    assert all(rows == 1 or rows * columns <= 2 * pii.BATCH_TOKENS for rows, columns in sizes)
+
+
 def test_redaction_and_odd_rows(spark):
     docs = spark.createDataFrame([(1, "x a@b.co y", 1), (2, None, 2), (2, None, 2), (None, "", 3)], "doc_id long, text string, spans int")
     got = {(r["doc_id"], r["redacted"]) for r in pii.find_personal_data(docs, redacted=True).collect()}

@@ -272,6 +272,25 @@ def test_links_between_components_of_one_bucket(spark, similarity, edit):
     assert got == groups_of(edges, range(len(texts)))
 
 
+def test_recall_on_the_documents(spark):
+    """All pairs of sf0.01 that share a shingle, whatever its frequency: those linked at 0.8 are in one class, others are not joined by a pair."""
+    path = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text")
+    weights = minhash.document_weights(docs)
+    sets = {r["doc_id"]: (lambda h, n: (h, weights(h, n)))(*minhash.shingles((r["text"] or "").split())) for r in docs.collect()}
+    holders = {}
+    for i, (h, _) in sets.items():
+        for x in h.tolist():
+            holders.setdefault(x, []).append(i)
+    pairs = {(a, b) for ids in holders.values() for k, a in enumerate(ids) for b in ids[k + 1 :]}
+    links = [(a, b) for a, b in pairs if minhash.weighted_jaccard(sets[a], sets[b]) >= minhash.SIMILARITY]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(docs, weights=weights).collect()}
+    found = sum(got[a] == got[b] for a, b in links)
+    assert len(links) > 50 and found >= 0.99 * len(links), (found, len(links))
+    want = groups_of(links, list(sets))
+    assert all(want[i] == want[got[i]] for i in got)
+
+
 def test_bound_is_never_below_what_is_shared():
     rng = np.random.default_rng(4)
     for _ in range(50):

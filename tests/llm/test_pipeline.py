@@ -111,6 +111,18 @@ def test_stages_give_columns_back_unchanged(spark, sf_dir):
     assert last.count() == len(rows)
 
 
+def test_near_duplicates_without_ids(spark, sf_dir):
+    word = lambda n, seed: " ".join(f"w{(i * 7919 + seed) % 997}" for i in range(n))
+    base, other, third = word(80, 1), word(80, 300), word(80, 600)
+    near = base.replace("w2 ", "w3 ", 1) + " end"
+    rows = [(1, base), (None, base), (None, near), (None, other), (None, third), (None, third), (None, third + " end"), (7, other + " more"), (7, word(90, 50))]
+    docs = spark.createDataFrame([(i, t, "en", "src1", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicate_stage(spark, docs, sf_dir).collect()]
+    assert (1, base) in left and (7, other + " more") in left and (7, word(90, 50)) in left
+    rest = [t for i, t in left if i is None]
+    assert rest in ([third, third], [third + " end"]) and len(left) == 3 + len(rest)
+
+
 def test_stages_of_an_empty_table(spark, sf_dir):
     docs = odd_documents(spark).limit(0)
     for _, stage in corpus_pipeline.STAGES:
