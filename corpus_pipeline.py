@@ -5,8 +5,9 @@ Parquet in the shared folder and read again, so a lost executor costs one stage
 at most and no stage is computed twice.
 
 Defined results: rows that repeat both doc_id and text are one document: they
-stay or go together.  Documents that share a doc_id stay if one of them does;
-rows without a doc_id, if they are the smallest of their group or alone in it.
+stay or go together.  Rows with one doc_id and different texts are documents of
+their own.  A row without a doc_id stays where it is alone; in a group it goes if
+another row has an id, and where none has, the smallest by hash stays.
 Null and empty texts are rejected by the quality rules.  Very long texts are
 read whole by every stage.  Of equally good documents of a group the smallest
 doc_id stays; ties of the mixture fall by doc_id, or by text without one.  An
@@ -36,8 +37,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest doc_id of each group of near duplicates."""
-    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    kept = minhash.near_duplicates(docs.select("doc_id", "text")).where("kept").select("doc_id", "row_hash").distinct()
+    same = (kept["row_hash"] == F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))) & docs["doc_id"].cast("long").eqNullSafe(kept["doc_id"])
+    return docs.join(kept, same, "left_semi")
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
