@@ -68,27 +68,27 @@ def test_goldens(run):
 def test_words(run):
     got = run(
         [
-            ("Tập đoàn tập đoàn Trác Hàng do Lộ Thiên Chương sáng lập.\n\nLộ Vũ Đồng ở khách sạn khách sạn năm sao.\n", 1),
-            ("Anh ấy rất rất vui.\n", 1),
-            ("Anh ấy ngập ngừng... rồi mới nói.\n", 1),
-            ("Anh ấy ngập ngừng… rồi mới nói.\n", 1),
-            ("Thê tử Phương Thiến, Thiên Địa Thương HộiLâm Tư Hân……\n", 1),
-            ("Anh ấy dùng iPhone mỗi ngày.\n", 1),
-            ("Chương 1\n\nNàng~khẽ cười ~ rồi bước tới.\n", 1),
+            ("Ngôi nhà ngôi nhà Bình Minh nằm bên hồ.\n\nHọ dừng ở quán trọ quán trọ đầu làng.\n", 1),
+            ("Trời rất rất lạnh.\n", 1),
+            ("Cậu bé lắc đầu... rồi chạy đi.\n", 1),
+            ("Cậu bé lắc đầu… rồi chạy đi.\n", 1),
+            ("Ba người bạn, Đông Hải PhốHoa Lan……\n", 1),
+            ("Cô ấy mua iPhone mới.\n", 1),
+            ("Chương 1\n\nMèo~kêu khẽ ~ rồi nằm xuống.\n", 1),
         ]
     )
-    assert "Tập đoàn Trác Hàng" in got[0] and "ở khách sạn năm sao" in got[0] and "tập đoàn" not in got[0]
+    assert "Ngôi nhà Bình Minh" in got[0] and "ở quán trọ đầu làng" in got[0] and "ngôi nhà" not in got[0]
     assert "rất rất" in got[1]
-    assert "ngập ngừng... rồi mới nói" in got[2] and "," not in got[2]
-    assert "ngập ngừng rồi mới nói" in got[3] and "…" not in got[3]
-    assert "Thương Hội Lâm" in got[4]
+    assert "lắc đầu... rồi chạy đi" in got[2] and "," not in got[2]
+    assert "lắc đầu rồi chạy đi" in got[3] and "…" not in got[3]
+    assert "Đông Hải Phố Hoa Lan" in got[4]
     assert "iPhone" in got[5]
-    assert "Nàng khẽ cười rồi bước tới." in got[6] and "~" not in got[6]
+    assert "Mèo kêu khẽ rồi nằm xuống." in got[6] and "~" not in got[6]
 
 
 def test_replacements(run):
-    pairs = F.array(F.struct(F.lit("Haizz").alias("src"), F.lit("Hầy").alias("dst")))
-    assert run([("Haizz, đúng là mệt.\n", 1)], replacements=pairs) == ["Chương 1\n\nHầy, đúng là mệt.\n"]
+    pairs = F.array(F.struct(F.lit("Ôi chao").alias("src"), F.lit("Trời ơi").alias("dst")))
+    assert run([("Ôi chao, đẹp quá.\n", 1)], replacements=pairs) == ["Chương 1\n\nTrời ơi, đẹp quá.\n"]
 
 
 def test_forced_title(run):

@@ -14,10 +14,10 @@ from .titles import clean_titles, ended_title, is_title_line, split_title
 
 # Characters that separate, vanish or count as a space, and those that may stay.
 CHARACTERS = (
-    (r"[  ]", "\n"),
-    (r"[­​‌‍﻿]", ""),
-    (r"[       　]", " "),
-    (r"[^\n\r\t \x20-\x7EÀ-ɏḀ-ỿ̀-ͯ]", ""),
+    ("[\u2028\u2029]", "\n"),
+    ("[\u00ad\u200b\u200c\u200d\ufeff]", ""),
+    ("[\u00a0\u202f\u2009\u2007\u2008\u200a\u205f\u3000]", " "),
+    (r"[^\n\r\t \x20-\x7E\u00c0-\u024f\u1e00-\u1eff\u0300-\u036f]", ""),
 )
 # Fixed value: what stands for a paragraph break.
 BREAK = "QZXBRQ"

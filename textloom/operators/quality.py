@@ -279,7 +279,8 @@ def _coded(rows: DataFrame, code: str, batch: str | Column = "batch", number: st
 
 
 def _issues(of: DataFrame) -> DataFrame:
-    return of.select("batch", "number", F.explode("issues").alias("i")).select("batch", "number", "i.code", "i.message")
+    # The outer form: from the inner one Spark infers a filter on the array's size and copies all that computes it below every projection.
+    return of.select("batch", "number", F.explode_outer("issues").alias("i")).where("i is not null").select("batch", "number", "i.code", "i.message")
 
 
 def verify(sections: DataFrame, heading: str | None = None) -> DataFrame:
