@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import ranges, relational, replay, terms, usage
+from textloom.operators import drift, ranges, relational, replay, terms, usage
 from textloom.operators.ranges import BatchRule
 from textloom.operators.replay import Limits
 from textloom.plans import relational_queries
@@ -42,6 +42,87 @@ def test_overlap_join_is_the_plain_one(spark):
     assert pairs(ranges.overlap_join(a, b, ("s", "e"), ("f", "t"), 17), "i", "j") == want
 
 
+def test_one_span_over_everything(spark):
+    """A span over a billion points is dealt to as many bins as the other side has levels, and no pair is lost or doubled."""
+    rng = random.Random(7)
+    spans = [(i, s, s + rng.choice([0, 3, 40, 900])) for i, s in enumerate(rng.sample(range(-500_000_000, 500_000_000), 300))]
+    wide = [(0, -(10**9), 10**9), (1, -5, 5), (2, 0, 0), (3, -(2**60), 2**60), (4, 7, 3), (5, None, 4)]
+    a = spark.createDataFrame(spans + [(900, -3, 2), (901, 0, 0), (902, 4, 6)], "i int, s long, e long")
+    b = spark.createDataFrame(wide, "j int, f long, t long")
+    want = sorted((i, j) for i, s, e in a.collect() for j, f, t in wide if f is not None and f <= t and s <= t and f <= e)
+    assert pairs(ranges.overlap_join(a, b, ("s", "e"), ("f", "t"), 32), "i", "j") == want
+    assert pairs(ranges.overlap_join(b, a, ("f", "t"), ("s", "e"), 32), "i", "j") == want
+    x, y = ranges.binned(a, F.col("s"), F.col("e"), 32), ranges.binned(b, F.col("f"), F.col("t"), 32)
+    assert x.count() == 303 and y.count() == 4  # a row each on their own side
+    dealt = ranges._above(y, ranges._levels(x), "f", 32, True).groupBy("j").count().collect()
+    assert all(r["count"] <= len(ranges._levels(x)) <= 12 for r in dealt)
+
+
+def test_rules_of_all_widths(spark):
+    rules = [(-(10**12), -1, 1), (0, 0, 2), (1, 63, 3), (64, 10**9, 4), (10**9 + 7, 10**9 + 7, 5)]
+    points = [-(10**12) - 1, -(10**12), -1, 0, 1, 40, 63, 64, 10**9, 10**9 + 1, 10**9 + 7, 40, None]
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(points)], "i int, p long")
+    got = ranges.rule_lookup(frame, "p", spark.createDataFrame(rules, "start long, end long, v int"), "v", F.lit(-1))
+    want = [(i, next((v for s, e, v in rules if p is not None and s <= p <= e), -1)) for i, p in enumerate(points)]
+    assert got.columns == ["i", "p", "v"] and pairs(got, "i", "v") == want
+
+
+def lagged_segments(known, bounds):
+    out = []
+    for key, low, high in bounds:
+        ids = sorted(i for k, i in known if k == key and low <= i <= high)
+        if not ids or ids[0] != low or ids[-1] != high:
+            continue
+        last = 0
+        for i in ids:
+            diff = i - known[key, i]
+            if diff != last:
+                out.append((key, known[key, i], diff))
+            last = diff
+    return sorted(out)
+
+
+@pytest.mark.parametrize("fan", [1, 2, 8])
+def test_drift_is_found_by_searching(spark, fan):
+    """Sources with growing drifts, unknown ids, and changes next to each other and to the ends."""
+    rng = random.Random(fan)
+    known, bounds = {}, []
+    for key in range(7):
+        size, number = (1, 2, 9, 300, 300, 1000, 40)[key], 0
+        for i in range(1, size + 1):
+            if key == 6 and 5 < i < 37:
+                continue  # a long gap of unknown ids, the drift changing inside it
+            number = i - (0 if key == 6 and i <= 5 else 4 if key == 6 else sum(i >= c for c in (3, 4, 120, 121, 250, 300)))
+            if i in (1, size) or rng.random() > 0.2:
+                known[key, i] = number
+        bounds.append((key, 1, size))
+    known.pop((5, 1000), None)  # its last id is unknown
+    numbered = spark.createDataFrame([(k, i, n) for (k, i), n in known.items()], "k int, id long, number long")
+    asked = []
+    plain = drift.table_probe(numbered, ["k"])
+    probe = lambda rows: asked.append(rows.count()) or plain(rows)
+    got = drift.drift_segments(spark.createDataFrame(bounds, "k int, low long, high long"), probe, ["k"], fan=fan)
+    assert pairs(got, "k", "start", "diff") == lagged_segments(known, bounds)
+    if fan == 8:
+        assert len(asked) <= 8 and sum(asked) < 0.7 * sum(b for _, _, b in bounds)
+
+
+def test_numbers_become_ids(spark):
+    segments = spark.createDataFrame([("a", 2381, 4), ("a", 2400, 9)], "book string, start long, diff long")
+    numbers = spark.createDataFrame([("a", 2380), ("a", 2381), ("a", 2400), ("b", 5)], "book string, number long")
+    got = drift.numbers_to_ids(numbers, segments, ["book"])
+    assert pairs(got, "book", "number", "id") == [("a", 2380, 2380), ("a", 2381, 2385), ("a", 2400, 2409), ("b", 5, 5)]
+
+
+def test_corrected_ids(one):
+    fix = lambda url, e, a: one(drift.corrected_id(F.col("u"), "chapterid", F.lit(e), F.lit(a)), u=url)
+    assert fix("https://x.example/api?id=7&chapterid=12", 10, 8) == "https://x.example/api?id=7&chapterid=14"
+    assert fix("https://x.example/api?chapterid=12&b=chapterid", 8, 10) == "https://x.example/api?chapterid=10&b=chapterid"
+    assert fix("https://x.example/api?chapterid=12", 8, 8) is None
+    assert fix("https://x.example/api?chapterid=1", 2, 9) is None
+    assert fix("https://x.example/api?other=1", 2, 1) is None and fix("https://x.example/api?chapterid=x", 2, 1) is None
+
+
 @pytest.mark.parametrize("block", [0, 7])
 def test_asof_is_the_plain_one(spark, block):
     rng = random.Random(5)

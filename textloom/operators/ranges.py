@@ -1,4 +1,4 @@
-"""Intervals: overlap joins by buckets, look-ups, as-of joins and aligned schedules."""
+"""Intervals: overlap joins by hierarchical bins, look-ups, as-of joins and aligned schedules."""
 
 from __future__ import annotations
 
@@ -19,26 +19,74 @@ def overlapping(rows: DataFrame, start: str, end: str, low: int | None, high: in
     return rows.where(found)
 
 
-def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], width: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Pairs whose closed intervals meet, as an equi-join on buckets of ``width``.
+#: Bins of a level in one of the next, as a power of two, and what is added to a point so that 0 is inside a bin at every level.
+_FAN_BITS, _SHIFT = 2, 0x1555555555555555
+
+
+def _bin(point: Column, level: Column, bits: int) -> Column:
+    """The bin of ``2 ** (bits + _FAN_BITS * level)`` that holds a point."""
+    return F.call_function("shiftright", F.floor(point).cast("long") + _SHIFT, bits + _FAN_BITS * level)
+
 
-    A pair is kept only in the bucket of the later start, so none comes twice.
-    ``width`` should be about the usual length of an interval.
+def binned(rows: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
+    """Adds ``level`` and ``bin``: the smallest bin that holds the whole closed interval.
+
+    Level 0 has bins of about ``width``, and each further level bins of four of
+    the last.  Intervals that are empty or have a null end are left out.
+    """
+    bits = max(1, round(width)).bit_length() - 1
+    last = (62 - bits + _FAN_BITS - 1) // _FAN_BITS
+    same = lambda k: _bin(start, k, bits) == _bin(end, k, bits)
+    level = F.get(F.filter(F.sequence(F.lit(0), F.lit(last)), same), F.lit(0))
+    return rows.where(start <= end).withColumn("level", level).withColumn("bin", _bin(start, F.col("level"), bits))
+
+
+def _levels(binned_rows: DataFrame) -> list[int]:
+    return sorted(r[0] for r in binned_rows.select("level").distinct().collect())  # 31 at most
+
+
+def _above(binned_rows: DataFrame, levels: list[int], start: str, width: int, own: bool) -> DataFrame:
+    """A row for each bin above an interval's own (or from its own on) at the given levels."""
+    bits = max(1, round(width)).bit_length() - 1
+    higher = (lambda k: k >= F.col("level")) if own else (lambda k: k > F.col("level"))
+    at = F.explode(F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), higher)).alias("__level")
+    rows = binned_rows.select("*", at)
+    return rows.withColumn("bin", _bin(F.col(start), F.col("__level"), bits)).withColumn("level", F.col("__level")).drop("__level")
+
+
+def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], width: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Pairs whose closed intervals meet, as equi-joins on hierarchical bins.
+
+    An interval lies in the smallest bin that holds it.  Bins are nested, so of
+    two intervals that meet one's bin holds the other's: an interval looks into
+    its own bin and those above it, at levels that the other side has at all.  A
+    span over everything is therefore one row on its own side and a handful
+    when it looks, not one for each bucket that it covers.  ``width`` should be
+    about the usual length of a short interval.
     """
     (a, b), (c, d) = left_span, right_span
-    bucket = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.col(e) / width)))
-    x, y = left.where(F.col(a) <= F.col(b)).withColumn("bucket", bucket(a, b)), right.where(F.col(c) <= F.col(d)).withColumn("bucket", bucket(c, d))
-    joined = x.join(y, [*keys, "bucket"])
+    x, y = binned(left, F.col(a), F.col(b), width), binned(right, F.col(c), F.col(d), width)
     meet = (F.col(a) <= F.col(d)) & (F.col(c) <= F.col(b))
-    return joined.where(meet & (F.floor(F.greatest(a, c) / width) == F.col("bucket"))).drop("bucket")
+    up = _above(x, _levels(y), a, width, True).join(y, [*keys, "level", "bin"]).where(meet)
+    down = x.join(_above(y, _levels(x), c, width, False), [*keys, "level", "bin"]).where(meet)
+    return up.drop("level", "bin").unionByName(down.drop("level", "bin"))
+
 
+def rule_lookup(rows: DataFrame, point: str, rules: DataFrame, value: str, default: Column, width: int = 64) -> DataFrame:
+    """The value of the rule (``start, end``, never overlapping) that holds a point, else the default.
 
-def rule_lookup(rows: DataFrame, point: str, rules: DataFrame, value: str, default: Column, width: int = 1000) -> DataFrame:
-    """The value of the rule (``start, end``, never overlapping) that holds a point, else the default."""
-    spans = rules.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.col("end") / width))))
-    spans = spans.select(F.col("bucket"), F.col("start").alias("rule_start"), F.col("end").alias("rule_end"), F.col(value).alias("rule_value"))
-    inside = (F.floor(F.col(point) / width) == F.col("bucket")) & F.col(point).between(F.col("rule_start"), F.col("rule_end"))
-    return rows.join(spans, inside, "left").withColumn(value, F.coalesce("rule_value", default)).drop("bucket", "rule_start", "rule_end", "rule_value")
+    Rules lie in the smallest bin that holds them; a point looks into the bins
+    above it at the levels that rules have, and takes what it finds at most once.
+    """
+    bits = max(1, round(width)).bit_length() - 1
+    spans = binned(rules, F.col("start"), F.col("end"), width)
+    spans = spans.select("level", "bin", F.col("start").alias("rule_start"), F.col("end").alias("rule_end"), F.col(value).alias("rule_value"))
+    out = rows.withColumn("rule_value", F.lit(None).cast(rules.schema[value].dataType))
+    for level in _levels(spans):  # one look-up join for each level, so rows are never multiplied
+        here = spans.where(F.col("level") == level).select("bin", "rule_start", "rule_end", F.col("rule_value").alias("__found"))
+        inside = (_bin(F.col(point), F.lit(level), bits) == F.col("bin")) & F.col(point).between(F.col("rule_start"), F.col("rule_end"))
+        out = out.join(here, inside, "left").withColumn("rule_value", F.coalesce("rule_value", "__found")).drop("bin", "rule_start", "rule_end", "__found")
+    return out.withColumn(value, F.coalesce("rule_value", default)).drop("rule_value")
 
 
 def asof(rows: DataFrame, segments: DataFrame, keys: Sequence[str], at: str, start: str, value: str, block: int = 0) -> DataFrame:
