@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import drift, ranges, relational, replay, terms, usage
+from textloom.operators import drift, licences, ranges, relational, replay, terms, usage
 from textloom.operators.ranges import BatchRule
 from textloom.operators.replay import Limits
 from textloom.plans import relational_queries
@@ -317,3 +317,63 @@ def test_registered_resolver(spark):
 
     got = web.resolve(spark.createDataFrame([(7, "u/", "t")], "k int, url string, html string"), "test-site", ("k",)).collect()
     assert [tuple(r) for r in got] == [(7, 1, "t", "u/x")]
+
+
+# ------------------------------------------------------------ licences
+
+
+def test_positions_of_nested_and_overlapping_terms(spark):
+    texts = spark.createDataFrame([(1, "天天天地人"), (2, "a.b.a.b.a"), (3, r"x\Ey"), (4, None), (5, "")], "d int, t string")
+    words = spark.createDataFrame([("天天",), ("天",), ("天地人",), ("a.b.a",), (r"\E",), ("",), (None,)], "w string")
+    got = licences.occurrences(texts, words, "t", "w", ["d"])
+    assert pairs(got, "d", "term", "start", "end") == [
+        *[(1, "天", k, k + 1) for k in range(3)], (1, "天地人", 2, 5), (1, "天天", 0, 2), (1, "天天", 1, 3),
+        (2, "a.b.a", 0, 5), (2, "a.b.a", 4, 9), (3, r"\E", 1, 3),
+    ]
+
+
+ENTRIES = [
+    ("山", "Núi"), ("山河", "Núi Sông"), ("东海", "Đông Hải"), ("海城", "Hải Thành"), ("城主", "Thành Chủ"), ("东门", "Đông Môn"),
+    ("李安", "Lý An"), ("安平", "An Bình"), ("王李", "Vương Lý"), ("李", "Lý"),
+]
+
+
+@pytest.mark.parametrize(
+    "source, text, anywhere, found",
+    [
+        ("山河", "Núi Sông", True, []),
+        ("山", "Núi Sông", True, [("Núi Sông", 1)]),
+        ("河", "Núi Sông Núi", True, [("Núi", 2), ("Núi Sông", 1)]),
+        ("山河", "Núi và Núi Sông", False, []),  # 山 itself stands in 山河
+        ("东海", "Đông Hải, Hải Thành", True, [("Hải Thành", 1)]),
+        ("王李安平", "Vương Lý An Bình", True, []),
+        ("王李 安平", "Vương Lý An Bình", True, []),  # Lý An lies across two licensed targets
+        ("王李", "Vương Lý An Bình", True, [("An Bình", 1), ("Lý An", 1)]),
+        ("", "Đông Hải", True, []),
+        (None, "Đông Hải", True, []),
+        ("海", "ĐôngHải Đông Hải2", True, []),  # no whole words
+    ],
+)
+def test_licences(spark, source, text, anywhere, found):
+    texts = spark.createDataFrame([(1, source, text), (2, "x", "nothing")], "d int, s string, t string")
+    entries = spark.createDataFrame(ENTRIES, "src string, dst string")
+    got = licences.unlicensed_targets(texts, entries, ["d"], "s", "t", anywhere=anywhere, whole_words=True)
+    assert pairs(got, "target", "n") == found
+
+
+def test_only_places_inside_a_licensed_target_are_explained(spark):
+    """The place inside 天地人 is explained by it, the other one is not."""
+    entries = spark.createDataFrame([("甲乙丙", "天地人"), ("丁", "天地"), ("戊", "人和")], "src string, dst string")
+    texts = spark.createDataFrame([(1, "甲乙丙", "天地人和天地"), (2, "丁", "天地人天地")], "d int, s string, t string")
+    run = lambda anywhere: pairs(licences.unlicensed_targets(texts, entries, ["d"], "s", "t", anywhere=anywhere), "d", "target", "n")
+    assert run(False) == [(1, "人和", 1), (1, "天地", 1), (2, "天地人", 1)]
+    assert run(True) == [(1, "人和", 1), (2, "天地人", 1)]
+
+
+def test_conspicuous_targets(spark):
+    entries = spark.createDataFrame(ENTRIES, "src string, dst string")
+    texts = spark.createDataFrame([(1, "x", "toi Đông Hải roi"), (2, "x", "toi Đông Hải Xanh"), (3, "x", "đi Đông Hải về Đông Hải")], "d int, s string, t string")
+    got = licences.unlicensed_targets(texts, entries, ["d"], "s", "t", whole_words=True, conspicuous=True)
+    assert pairs(got, "d", "target", "n") == [(2, "Đông Hải", 1), (3, "Đông Hải", 2)]
+    listed = licences.unlicensed_targets(texts, entries, ["d"], "s", "t", targets=spark.createDataFrame([("Đông",)], "dst string"), anywhere=False)
+    assert pairs(listed, "d", "target", "n") == [(1, "Đông", 1), (2, "Đông", 1), (3, "Đông", 2)]

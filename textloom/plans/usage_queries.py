@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators import replay, usage
+from textloom.operators import drift, replay, usage
 from textloom.operators.replay import Limits
+from textloom.shared import materialize
 from textloom.sources import web
 
 from .registry import query, table
@@ -312,11 +313,62 @@ def synth_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.numbered_directory(latest, "latest", "https://example.org/%d.html", ("page_id",))
 
 
-@query("json_directory", """SELECT o_orderkey AS id, n::INT AS number, ['a', 'b'][n] AS title, 'u' || o_orderkey || '&chapterid=' || n AS link FROM orders, (VALUES (1), (2)) t(n)""")
+#: Books of 500 events each: events of some users are notices, which use up an id and no number; ids of some others cannot be looked up.
+_BOOKS = """e AS (SELECT event_id // 500 AS book, event_id % 500 + 1 AS id, user_id % 40 = 0 AS notice, user_id % 7 = 3 AS hidden, event_type FROM events),
+n AS (SELECT *, (id - sum(notice::INT) OVER (PARTITION BY book ORDER BY id))::BIGINT AS number FROM e),
+k AS (SELECT book, id, number FROM n WHERE NOT notice AND NOT hidden),
+b AS (SELECT book, min(id) AS lo, max(id) AS hi FROM e GROUP BY book),
+f AS (SELECT book FROM b WHERE (book, lo) IN (SELECT (book, id) FROM k) AND (book, hi) IN (SELECT (book, id) FROM k)),
+l AS (SELECT book, number, id - number AS diff, lag(id - number) OVER (PARTITION BY book ORDER BY id) AS prev FROM k JOIN f USING (book)),
+s AS (SELECT book, number AS start, diff FROM l WHERE diff <> coalesce(prev, 0))"""
+
+
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    rows = table(spark, sf_dir, "events").select(
+        F.expr("event_id div 500").alias("book"), (F.col("event_id") % 500 + 1).alias("id"), (F.col("user_id") % 40 == 0).alias("notice"), (F.col("user_id") % 7 == 3).alias("hidden"), "event_type"
+    )
+    so_far = Window.partitionBy("book").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn("number", F.col("id") - F.sum(F.col("notice").cast("int")).over(so_far))
+
+
+def book_segments(rows: DataFrame) -> DataFrame:
+    bounds = rows.groupBy("book").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    return drift.drift_segments(bounds, drift.table_probe(rows.where("not notice and not hidden"), ["book"]), ["book"])
+
+
+@query("drift_segments", f"WITH {_BOOKS} SELECT book, start, diff FROM s")
+def drift_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where ids drift from numbers, found by looking up ids."""
+    return book_segments(materialize(numbered_events(spark, sf_dir)))
+
+
+@query(
+    "json_directory",
+    f"""WITH {_BOOKS}, t AS (SELECT book, number, '第' || number || '章 ' || event_type AS title FROM n WHERE NOT notice)
+SELECT t.book, number::INT AS number, title, 'https://api.example.org/chapter?id=' || t.book || '&chapterid=' || (number + coalesce(diff, 0)) AS link
+FROM t ASOF LEFT JOIN s ON t.book = s.book AND t.number >= s.start""",
+)
 def json_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directories from JSON payloads."""
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit('{"list":["a","b"]}').alias("payload"), F.concat(F.lit("u"), F.col("o_orderkey").cast("string")).alias("base_url"))
-    return web.json_directory(rows, ("id",))
+    """Directories from JSON payloads, their links by drifted ids."""
+    rows = materialize(numbered_events(spark, sf_dir))
+    title = F.format_string("第%d章 %s", F.col("number"), F.col("event_type"))
+    listed = rows.where("not notice").groupBy("book").agg(F.array_sort(F.collect_list(F.struct("number", title.alias("title")))).alias("ts"))
+    payload = F.to_json(F.struct(F.transform("ts", lambda t: t["title"]).alias("list")))
+    payloads = listed.select("book", payload.alias("payload"), F.concat(F.lit("https://api.example.org/chapter?id="), F.col("book").cast("string")).alias("base_url"))
+    return web.json_directory(payloads, ("book",), segments=book_segments(rows))
+
+
+@query(
+    "corrected_links",
+    "WITH o AS (SELECT o_orderkey, o_orderkey % 9 AS expected, o_custkey % 9 AS actual, o_orderkey % 20 AS id FROM orders), m AS (SELECT *, id + expected - actual AS moved FROM o) SELECT o_orderkey, CASE WHEN expected <> actual AND moved > 0 THEN 'https://api.example.org/chapter?id=5&chapterid=' || moved END AS link FROM m",
+)
+def corrected_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses moved by what the number of their page was off by."""
+    url = F.concat(F.lit("https://api.example.org/chapter?id=5&chapterid="), (F.col("o_orderkey") % 20).cast("string"))
+    link = drift.corrected_id(url, "chapterid", F.col("o_orderkey") % 9, F.col("o_custkey") % 9)
+    return table(spark, sf_dir, "orders").select("o_orderkey", link.alias("link"))
 
 
 @query(

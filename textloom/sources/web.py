@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.text import normalize_whitespace
+from textloom.functions.text import heading_number, normalize_whitespace
+from textloom.operators.drift import numbers_to_ids
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SKIPPED = frozenset(("script", "style", "noscript", "template"))
@@ -133,11 +134,27 @@ def numbered_directory(latest: DataFrame, last: str, pattern: str, keys: tuple[s
     return rows.withColumn("link", F.format_string(pattern, F.col("number")))
 
 
-def json_directory(payloads: DataFrame, keys: tuple[str, ...], payload: str = "payload", base: str = "base_url") -> DataFrame:
-    """Entries of a ``{"list": [title, ...]}`` payload: ``keys, number, title, link``."""
-    parsed = F.from_json(payload, "list array<string>")
-    rows = payloads.select(*keys, F.col(base).alias("base"), F.posexplode(parsed["list"]).alias("pos", "title"))
-    return rows.select(*keys, (F.col("pos") + 1).alias("number"), "title", F.concat("base", F.lit("&chapterid="), (F.col("pos") + 1).cast("string")).alias("link"))
+# How titles give their number, tried in this order.
+NUMBERED_TITLES = (r"(?i)(?:chapter|chuong|ch(?:\.|apter)?)[^\d]{0,8}(\d+)", r"第\s*(\d+)\s*章", r"\b(\d{1,5})\b")
+
+
+def json_directory(
+    payloads: DataFrame, keys: tuple[str, ...], payload: str = "payload", base: str = "base_url", segments: DataFrame | None = None, block: int = 0
+) -> DataFrame:
+    """Entries of a ``{"list": [title, ...]}`` payload: ``keys, number, title, link``.
+
+    A title without a number counts by its place; of repeated numbers the last
+    entry counts.  Where ids drift from numbers, ``segments`` (``keys, start,
+    diff``, see ``operators.drift``) gives the id that goes into the link.
+    """
+    rows = payloads.select(*keys, F.col(base).alias("base"), F.from_json(payload, "list array<string>")["list"].alias("titles"))
+    rows = rows.select(*keys, "base", F.posexplode_outer("titles").alias("pos", "title")).where("pos is not null")
+    title = normalize_whitespace(F.coalesce("title", F.lit("")))
+    number = F.coalesce(heading_number(title, NUMBERED_TITLES), F.col("pos") + 1).alias("number")
+    last = rows.select(*keys, "base", "pos", number, title.alias("title")).groupBy(*keys, "number").agg(F.max_by(F.struct("base", "title"), "pos").alias("e"))
+    entries = last.select(*keys, "number", F.when(F.col("e.title") == "", F.format_string("第%d章", "number")).otherwise(F.col("e.title")).alias("title"), F.col("e.base").alias("base"))
+    placed = numbers_to_ids(entries, segments, keys, block=block) if segments is not None else entries.withColumn("id", F.col("number"))
+    return placed.select(*keys, "number", "title", F.concat("base", F.lit("&chapterid="), F.col("id").cast("string")).alias("link"))
 
 
 @dataclass(frozen=True)
