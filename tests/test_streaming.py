@@ -1,7 +1,13 @@
-from textloom.streaming import state
+import random
+import time
+from datetime import datetime, timedelta
+
+from pyspark.sql import functions as F
+
 from textloom.operators import replay
 from textloom.plans import catalog, stream_queries, usage_queries
 from textloom.plans.usage_queries import LIMITS
+from textloom.streaming import state, stateful
 
 
 def test_admission_as_a_stream_is_that_of_the_batch(spark, sf_dir):
@@ -27,3 +33,59 @@ def test_state_of_batches(spark, tmp_path):
         assert read() == sorted([("a", 9, 5), ("b", 2, 2), (None, 3, 1)], key=str)
     state.save_state(rows(), ["k"], "at", folder, 2)
     assert len(read()) == 3 and len(list((tmp_path / "state").iterdir())) == 2
+
+
+def hourly_files(spark, folder, hours):
+    """A file of 40 calls for each hour, out of order inside it, and last a row that only moves the watermark."""
+    rng = random.Random(2)
+    rows = []
+    for h in range(hours):
+        times = [h * 3600 + rng.randrange(3600) for _ in range(40)]
+        rows += [(h, f"k{rng.randrange(5)}", h * 100 + i, datetime(2024, 1, 1) + timedelta(seconds=t), rng.randrange(30)) for i, t in enumerate(times)]
+    rows.append((hours, None, None, datetime(2024, 1, 4), None))
+    frame = spark.createDataFrame(rows, "h int, key string, id long, at timestamp, tokens long")
+    for h in range(hours + 1):
+        frame.where(f"h = {h}").drop("h").coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.02)  # files are taken in the order of their times
+    return spark.readStream.schema(frame.drop("h").schema).option("maxFilesPerTrigger", 1).parquet(folder), [r[1:] for r in rows[:-1]]
+
+
+def run_with_progress(spark, stream, folder):
+    with stateful.rocksdb_state(spark):
+        running = stream.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out").collect(), [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress if p["stateOperators"]]
+
+
+def test_state_of_bursts_goes_with_the_watermark(spark, tmp_path):
+    stream, rows = hourly_files(spark, str(tmp_path / "in"), 8)
+    found, held = run_with_progress(spark, stateful.bursts(stream, "at", "key", "id", 300, 4, 3, late="10 minutes", blocks=2), str(tmp_path))
+    want = set()
+    for _, ident, at, _ in rows:
+        here = [k for k, _, t, _ in rows if timedelta(0) <= at - t <= timedelta(seconds=300)]
+        if len(here) >= 4 and len(set(here)) >= 3:
+            want.add((ident, len(here), len(set(here))))
+    assert len(want) > 10 and {tuple(r) for r in found} == want
+    assert held[-1] <= 1 and max(held[1:-2]) < 60, held  # never more than what the watermark has not passed, of 320 events
+
+
+def test_state_of_admission_goes_with_the_watermark(spark, tmp_path):
+    stream, rows = hourly_files(spark, str(tmp_path / "in"), 8)
+    limits = replay.Limits(rpm=2, tpm=60, rpd=25)
+    found, held = run_with_progress(spark, stateful.admission(stream, ["key"], limits, "at", "id", "tokens", late="10 minutes"), str(tmp_path))
+    calls = spark.createDataFrame([(k, i, at.timestamp(), n) for k, i, at, n in rows], "key string, id long, ts double, tokens long")
+    batch = {(r["id"], r["admitted"], r["reasons"]) for r in replay.admission(calls, ["key"], limits).collect()}
+    assert {(r["id"], r["admitted"], r["reasons"]) for r in found} == batch and len(batch) == 320
+    assert 0 < sum(not a for _, a, _ in batch) < 320
+    assert held[-1] == 0 and max(held) < 300, held
+
+
+def test_a_day_of_idling_frees_a_key(spark, tmp_path):
+    """What is left of a key's usage after a day is nothing, also without further events of the key."""
+    frame = spark.createDataFrame([("a", 1, datetime(2024, 1, 1, 1), 5), (None, None, datetime(2024, 1, 1, 2), None)], "key string, id long, at timestamp, tokens long")
+    frame.coalesce(1).write.parquet(str(tmp_path / "in"))
+    time.sleep(0.02)
+    frame.where("id is null").withColumn("at", F.expr("at + interval 3 days")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    found, held = run_with_progress(spark, stateful.admission(stream, ["key"], replay.Limits(rpd=1), "at", "id", "tokens"), str(tmp_path))
+    assert [tuple(r) for r in found] == [("a", 1, True, "")] and held[-1] == 0

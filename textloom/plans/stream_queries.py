@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from textloom.functions.polish import packed
 from textloom.operators.replay import Limits
 from textloom.shared import shared_dir
-from textloom.streaming import state
+from textloom.streaming import state, stateful
 from textloom.streaming import usage as streaming
 
 from .registry import query, table
@@ -32,6 +32,16 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.withColumn("at", F.col("ts").cast("timestamp")).withColumn("tokens", F.round("value").cast("long"))
 
 
+def closed_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, and after them a row without ids a month later, which lets the watermark pass them all."""
+    static = table(spark, sf_dir, "events")
+    late = static.agg((F.max("ts") + F.expr("interval 30 days")).alias("ts")).select(*[F.col(c) if c == "ts" else F.lit(None).cast(t).alias(c) for c, t in static.dtypes])
+    folder = f"{shared_folder(spark)}/closing"
+    late.write.parquet(folder)
+    closing = spark.readStream.schema(static.schema).parquet(folder)
+    return event_stream(spark, sf_dir).unionByName(closing.withColumn("at", F.col("ts").cast("timestamp")).withColumn("tokens", F.lit(None).cast("long")))
+
+
 def run_to_end(stream: DataFrame, mode: str) -> DataFrame:
     """Runs a stream over what there is; ``complete`` and ``update`` results replace those of the batch before."""
     spark, folder = stream.sparkSession, shared_folder(stream.sparkSession)
@@ -60,9 +70,10 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     "WITH e AS (SELECT event_id, user_id, epoch_us(ts) AS us FROM events WHERE event_type = 'error'), w AS (SELECT event_id, count(*) OVER o AS n_events, len(list_distinct(list(user_id) OVER o)) AS n_members FROM e WINDOW o AS (ORDER BY us RANGE BETWEEN 3600000000 PRECEDING AND CURRENT ROW)) SELECT event_id, n_events::INT AS n_events, n_members::INT AS n_members FROM w WHERE n_events >= 3 AND n_members >= 3",
 )
 def stream_bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 as a stream: errors that end an hour with errors of several keys."""
-    errors = event_stream(spark, sf_dir).where("event_type = 'error'")
-    return run_to_end(streaming.bursts(errors, "at", "user_id", "event_id", 3600, 3, 3), "complete")
+    """T5 as a stream: errors that end an hour with errors of several keys, told when the watermark has passed their block."""
+    errors = closed_event_stream(spark, sf_dir).where("event_type = 'error' or event_id is null")
+    with stateful.rocksdb_state(spark):
+        return run_to_end(stateful.bursts(errors, "at", "user_id", "event_id", 3600, 3, 3), "append")
 
 
 @query("stream_new_jobs", "SELECT DISTINCT props FROM events")
@@ -76,7 +87,8 @@ def stream_new_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_admission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2, T9 as a stream: admission with the state of each key."""
     limits = Limits(rpm=2, tpm=150, rpd=4)
-    return run_to_end(streaming.admission(event_stream(spark, sf_dir), ["user_id"], limits, "at", "event_id", "tokens"), "append")
+    with stateful.rocksdb_state(spark):
+        return run_to_end(stateful.admission(closed_event_stream(spark, sf_dir), ["user_id"], limits, "at", "event_id", "tokens"), "append")
 
 
 @query("staged_watch", "SELECT event_type, count(*) AS n FROM events WHERE value > 5 GROUP BY ALL")
