@@ -2,6 +2,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import replay
@@ -32,7 +33,56 @@ def test_state_of_batches(spark, tmp_path):
         state.save_state(rows(("a", 9, 5), ("b", 8, 1), ("a", 7, 4)), ["k"], "at", folder, 1)
         assert read() == sorted([("a", 9, 5), ("b", 2, 2), (None, 3, 1)], key=str)
     state.save_state(rows(), ["k"], "at", folder, 2)
-    assert len(read()) == 3 and len(list((tmp_path / "state").iterdir())) == 2
+    assert len(read()) == 3
+    with pytest.raises(ValueError):
+        state.save_state(spark.range(3), ["id"], "id", folder, 3)
+
+
+def files_of(folder, kind=""):
+    return {p: p.stat().st_size for p in folder.rglob("*.parquet") if kind in str(p)}
+
+
+def test_what_a_batch_writes_follows_the_batch(spark, tmp_path):
+    """A large state, then small batches: deltas of their own size, merged bucket by bucket and not all at once."""
+    root = tmp_path / "state"
+    rng = random.Random(3)
+    want = {k: (k, 0, f"value {k * 7919 % 100003}") for k in range(40_000)}
+    frame = lambda r: spark.createDataFrame(r, "k long, at long, v string")
+    state.save_state(frame(list(want.values())), ["k"], "at", str(root), 0)
+    whole = sum(files_of(root).values())
+    written, bases = [], 0
+    for version in range(1, 9):
+        batch = [(rng.randrange(45_000), version, f"new {version}") for _ in range(60)]
+        before = files_of(root)
+        state.save_state(frame(batch), ["k"], "at", str(root), version)
+        if version == 3:  # run again after a failure
+            state.save_state(frame(batch), ["k"], "at", str(root), version)
+        written.append(sum(n for p, n in files_of(root).items() if p not in before))
+        bases += any("-base" in str(p) for p in files_of(root) if p not in before)
+        want |= {k: (k, at, v) for k, at, v in batch}
+    assert max(written) < whole / 10, (written, whole)
+    assert bases == 0
+    got = {r["k"]: tuple(r) for r in state.load_state(spark, str(root)).collect()}
+    assert got == want
+    # A bucket whose deltas have grown to half its base is merged, and what it was read from goes after the next version.
+    for version in (9, 10, 11):
+        batch = [(k, version, f"x {version}") for k in range(25_000)]
+        state.save_state(frame(batch), ["k"], "at", str(root), version)
+        want |= {k: (k, at, v) for k, at, v in batch}
+    assert files_of(root, "-base") and not files_of(root, "v000000003")
+    assert {r["k"]: tuple(r) for r in state.load_state(spark, str(root)).collect()} == want
+    assert {r["k"]: r["at"] for r in state.load_state(spark, str(root), 11).collect()}[1] == 10
+
+
+def test_deltas_of_a_bucket_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "MOST_DELTAS", 3)
+    frame = lambda r: spark.createDataFrame(r, "k long, at long")
+    state.save_state(frame([(k, 0) for k in range(5000)]), ["k"], "at", str(tmp_path / "s"), 0, buckets=1)
+    for version in range(1, 7):
+        state.save_state(frame([(version, version)]), ["k"], "at", str(tmp_path / "s"), version)
+        parts = state._manifest(state._Files(spark, str(tmp_path / "s")))["parts"]
+        assert all(len(p) <= 4 for p in parts.values())
+    assert sorted(r["at"] for r in state.load_state(spark, str(tmp_path / "s")).where("at > 0").collect()) == [1, 2, 3, 4, 5, 6]
 
 
 def hourly_files(spark, folder, hours):
