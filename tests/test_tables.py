@@ -296,13 +296,18 @@ def test_json_directory(spark):
     assert [(r["number"], r["link"]) for r in got] == [(1, "u?b=1&chapterid=1"), (2, "u?b=1&chapterid=2")]
 
 
-def test_last_link_of_a_number_or_its_lowest_part(spark):
-    html = "<a href='/1_2.html'>第1章</a><a href='/1_1.html'>第1章</a><a href='/2.html'>第2章</a>"
-    links = web.page_links(spark.createDataFrame([(1, "https://e.org/", html)], "k int, url string, html string"), ("k",))
-    last = web.directory_entries(links, web.DirectorySite("a", r"第(\d+)章"), ("k",))
-    assert pairs(last, "number", "link") == [(1, "https://e.org/1_1.html"), (2, "https://e.org/2.html")]
-    part = web.directory_entries(links, web.DirectorySite("b", r"第(\d+)章", part=r"_(\d+)\.html"), ("k",))
-    assert pairs(part, "number", "link") == [(1, "https://e.org/1_1.html"), (2, "https://e.org/2.html")]
+def test_rules_of_several_sites_in_one_plan(spark):
+    """The last link of a number, or its lowest part; numbers in texts, or in addresses; sites without rules."""
+    html = "<a href='/1_2.html'>第1章</a><a href='/1_1.html'>第1章</a><a href='/2.html'>第2章</a><a href='/about'>about</a>"
+    rows = [(1, "https://a.example/", html), (2, "https://www.B.example:8080/x", html), (3, "https://c.example/", html), (4, "https://d.example/", html), (5, None, html)]
+    rules = [("a.example", r"第(\d+)章", None, None, None), ("b.example", r"第(\d+)章", "", "", r"_(\d+)\.html"), ("c.example", None, r"/(\d+)_", r"_1\.html$", None)]
+    links = web.page_links(spark.createDataFrame(rows, "k int, url string, html string"), ("k",))
+    got = web.directory_entries(links, spark.createDataFrame(rules, web.SITE_RULES), ("k",))
+    assert pairs(got, "k", "number", "link") == [
+        (1, 1, "https://a.example/1_1.html"), (1, 2, "https://a.example/2.html"),
+        (2, 1, "https://www.B.example:8080/1_1.html"), (2, 2, "https://www.B.example:8080/2.html"),
+        (3, 1, "https://c.example/1_1.html"),
+    ]
 
 
 def test_block_order(one):

@@ -202,14 +202,16 @@ def with_micros(events: DataFrame, ts: str = "ts", name: str = "us") -> DataFram
     return events.withColumn(name, F.expr(f"{whole} + cast(extract(second from {ts}) * 1000000 as bigint)"))
 
 
-_TERM = "array_to_string(list_slice(string_split(text, ' '), 1, 3), ' ')"
-
-
-@query("term_contains_join", f"WITH t AS (SELECT item_id, {_TERM} AS term FROM benchmark) SELECT doc_id, item_id FROM documents JOIN t ON contains(text, term)")
+@query(
+    "term_contains_join",
+    "WITH w AS (SELECT item_id, string_split(text, ' ') AS ws FROM benchmark), p AS (SELECT item_id, ws, unnest(range(1, len(ws) + 1, 3)) AS pos FROM w), t AS (SELECT item_id, pos, array_to_string(ws[pos:pos + 2], ' ') AS term FROM p) SELECT doc_id, item_id, pos FROM documents JOIN t ON contains(text, term)",
+)
 def term_contains_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases that are substrings of documents, found by their rarest run of characters."""
-    phrases = table(spark, sf_dir, "benchmark").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("term"))
-    return terms.contained_strings(table(spark, sf_dir, "documents"), phrases, "text", "term", ["doc_id"], ["item_id"])
+    """The phrases of three words that the benchmark's whole texts fall into, as substrings of documents."""
+    words = table(spark, sf_dir, "benchmark").select("item_id", F.split("text", " ").alias("ws"))
+    phrases = words.select("item_id", "ws", F.explode(F.expr("sequence(1L, cast(size(ws) as bigint), 3L)")).alias("pos"))
+    phrases = phrases.select("item_id", "pos", F.array_join(F.slice("ws", F.col("pos").cast("int"), F.lit(3)), " ").alias("term"))
+    return terms.contained_strings(table(spark, sf_dir, "documents"), phrases, "text", "term", ["doc_id"], ["item_id", "pos"])
 
 
 @query(

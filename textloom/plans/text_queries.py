@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions import polish, titles
 from textloom.functions import text as tx
 from textloom.operators import quality, relational, repair, sections
-from textloom.sources import files
+from textloom.shared import shared_dir
+from textloom.sources import datasource, files
 
 from .registry import query, table
 
@@ -95,18 +98,22 @@ SELECT * FROM content WHERE code IS NOT NULL
 UNION ALL SELECT batch, number, 'paginated_title', title FROM j WHERE body <> '' AND regexp_matches(title, {_q(tx.PAGE_SUFFIX)})"""
 
 
-#: Documents by tens as files: every seventh has another name, the numbers of a batch skip those of documents in French.
-FILES_SQL = f"""WITH {SECTIONS_SQL.replace("FROM documents)", "FROM documents WHERE lang <> 'fr' AND doc_id % 50 >= 10)")}, {_DUP_SQL},
-files AS (SELECT DISTINCT doc_id // 10 AS batch, CASE WHEN doc_id // 10 % 7 <> 3 THEN doc_id // 10 * 10 END AS batch_start, CASE WHEN doc_id // 10 % 7 <> 3 THEN doc_id // 10 * 10 + 8 END AS batch_end FROM documents),
-asked AS (SELECT DISTINCT doc_id // 10 AS batch FROM documents UNION SELECT max(doc_id) // 10 + 5 FROM documents),
+#: Numbers of documents in files: every eighth is skipped, and after every forty documents twenty more, so that batches have gaps and some files no section.
+RENUMBERED = "(doc_id + {div} + 20 * {by_forty})"
+_NUMBER_SQL = RENUMBERED.format(div="doc_id // 7", by_forty="(doc_id // 40)")
+#: Files of ten numbers: every seventh has another name.
+FILES_SQL = f"""WITH {SECTIONS_SQL.replace("doc_id", _NUMBER_SQL)}, {_DUP_SQL},
+top AS (SELECT max({_NUMBER_SQL}) AS last FROM documents),
+files AS (SELECT b AS batch, CASE WHEN b % 7 <> 3 THEN b * 10 END AS batch_start, CASE WHEN b % 7 <> 3 THEN b * 10 + 8 END AS batch_end FROM (SELECT unnest(range(0, last // 10 + 1)) AS b FROM top)),
+asked AS (SELECT batch FROM files UNION SELECT last // 10 + 5 FROM top),
 n AS (SELECT s.batch, s.number, {_sql_norm("s.title")} AS title, {_sql_norm("s.body")} AS body, {_REASON_SQL} AS dup FROM sections s JOIN stats USING (number)),
 j AS (SELECT batch, number, title, body, dup, {_WATERMARK_SQL} AS wm, {_META_SQL} AS md, {_INVALID_SQL} AS inv FROM n),
 content AS (SELECT batch, number, CASE WHEN body = '' THEN 'empty_chapter' WHEN wm IS NOT NULL THEN 'watermark_content' WHEN md IS NOT NULL THEN 'metadata_content'
     WHEN inv IS NOT NULL THEN 'invalid_chapter_content' WHEN dup IS NOT NULL THEN 'duplicated_content' END AS code,
     CASE WHEN body = '' THEN '' ELSE coalesce(wm, md, inv, dup) END AS message FROM j),
 ends AS (SELECT batch, min(number) AS a, max(number) AS b FROM sections GROUP BY batch),
-whole AS (SELECT unnest(range(0, (SELECT max(doc_id) FROM documents))) AS number),
-bad AS (SELECT doc_id AS number, 'q' || quality AS reason FROM labels)
+whole AS (SELECT unnest(range(0, last)) AS number FROM top),
+bad AS (SELECT {_NUMBER_SQL} AS number, 'q' || quality AS reason FROM labels)
 SELECT * FROM content WHERE code IS NOT NULL
 UNION ALL SELECT batch, number, 'paginated_title', title FROM j WHERE body <> '' AND regexp_matches(title, {_q(tx.PAGE_SUFFIX)})
 UNION ALL SELECT batch, number, 'header_mismatch', title FROM j WHERE body <> '' AND wm IS NULL AND md IS NULL AND try_cast(nullif(regexp_extract(title, '([0-9]{{1,6}})', 1), '') AS INT) <> number
@@ -115,19 +122,20 @@ UNION ALL SELECT batch, NULL, 'invalid_batch_filename', '' FROM files WHERE batc
 UNION ALL SELECT batch, NULL, 'unparseable_file', '' FROM files WHERE batch NOT IN (SELECT batch FROM sections)
 UNION ALL SELECT batch, NULL, 'missing_file', '' FROM asked WHERE batch NOT IN (SELECT batch FROM files)
 UNION ALL SELECT NULL, number, 'missing_chapter_in_range', '' FROM whole WHERE number NOT IN (SELECT number FROM sections)
-UNION ALL SELECT NULL, number, CASE WHEN number IN (SELECT number FROM content WHERE code IS NULL) THEN 'stale_manifest' ELSE 'failure_manifest_entry' END, reason FROM bad WHERE number BETWEEN 0 AND (SELECT max(doc_id) FROM documents) - 1"""
+UNION ALL SELECT NULL, number, CASE WHEN number IN (SELECT number FROM content WHERE code IS NULL) THEN 'stale_manifest' ELSE 'failure_manifest_entry' END, reason FROM bad WHERE number BETWEEN 0 AND (SELECT last FROM top) - 1"""
 
 
 @query("verify_files", FILES_SQL)
 def verify_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: files, sections and a manifest of failures, with all codes."""
-    docs = table(spark, sf_dir, "documents")
-    batch, named = F.expr("doc_id div 10"), F.expr("doc_id div 10 % 7 <> 3")
-    all_batches = docs.select(batch.alias("batch"), F.when(named, batch * 10).alias("batch_start"), F.when(named, batch * 10 + 8).alias("batch_end")).distinct()
+    number = F.expr(RENUMBERED.format(div="doc_id div 7", by_forty="(doc_id div 40)"))
+    docs = table(spark, sf_dir, "documents").withColumn("doc_id", number)
     last = docs.agg(F.max("doc_id")).first()[0] or 0
+    batch, named = F.col("id"), F.col("id") % 7 != 3
+    all_batches = spark.range(last // 10 + 1).select(batch.alias("batch"), F.when(named, batch * 10).alias("batch_start"), F.when(named, batch * 10 + 8).alias("batch_end"))
     asked = all_batches.select("batch").union(spark.range(1).select(F.lit(last // 10 + 5).cast("long").alias("batch")))
-    sections_of = document_sections(spark, sf_dir, docs.where("lang <> 'fr' and doc_id % 50 >= 10"))
-    failures = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("number"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("reason"), F.lit("").alias("details"))
+    sections_of = document_sections(spark, sf_dir, docs)
+    failures = table(spark, sf_dir, "labels").select(number.alias("number"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("reason"), F.lit("").alias("details"))
     # The last number is left out of the range, so range and table differ.
     found = quality.verify_files(all_batches, sections_of, "([0-9]{1,6})", asked, 0, last - 1, failures, fix_stale=False)
     return quality.ordered_report(found)
@@ -146,6 +154,22 @@ def line_duplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.select("number", "s.*", quality.duplication_reason(F.col("s")).alias("reason"))
 
 
+@query(
+    "files_source",
+    "SELECT 'chuong_' || (b * 10 + 1) || '-' || (b * 10 + 10) || '.txt' AS file_name, (b * 10 + 1)::INT AS batch_start, (b * 10 + 10)::INT AS batch_end, md5(string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id)) AS text_md5 FROM (SELECT doc_id // 10 AS b, doc_id, text FROM documents) GROUP BY b",
+)
+def files_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by tens written as named files by a data source of the library, and read back by it."""
+    datasource.register(spark)
+    folder = f"{shared_dir(spark)}/files/{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select(F.expr("doc_id div 10").alias("b"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda p: p["text"])
+    files = docs.groupBy("b").agg(F.array_join(parts, "\n").alias("value"))
+    name = F.format_string("chuong_%d-%d.txt", F.col("b") * 10 + 1, F.col("b") * 10 + 10)
+    files.select(name.alias("file_name"), "value").write.format("textloom_files").mode("append").save(folder)
+    return spark.read.format("textloom_files").load(folder).select("file_name", "batch_start", "batch_end", F.md5("value").alias("text_md5"))
+
+
 @query("scan_batches", "SELECT 'chuong_' || (doc_id // 10 * 10 + 1) || '-' || (doc_id // 10 * 10 + 10) || '.txt' AS file_name, doc_id // 10 * 10 + 1 AS batch_start, doc_id // 10 * 10 + 10 AS batch_end, count(*) AS n FROM documents GROUP BY ALL")
 def scan_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches by the number in their file name."""

@@ -292,12 +292,30 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web.page_links(table(spark, sf_dir, "pages"), ("page_id",)).select("page_id", "pos", "href")
 
 
-@query("page_directory")
+#: Sites of the pages: numbers by the address alone, by the title before the address, and only of pages in one of two languages, with parts.
+_RULES = [
+    ("example.com", None, r"/([0-9]+)(?:[/?#.]|$)", None, None),
+    ("example.net", r"([0-9]+)", r"/([0-9]+)(?:[/?#.]|$)", "", ""),
+    ("example.org", None, r"/([0-9]+)(?:[/?#.]|$)", "/(en|de)/", r"[?&]page=([0-9]+)"),
+]
+_RULES_SQL = ", ".join("(" + ", ".join("NULL" if v is None else f"'{v}'" for v in r) + ")" for r in _RULES)
+
+
+@query(
+    "page_directory",
+    rf"""WITH r(site, text_number, address_number, address, part) AS (VALUES {_RULES_SQL}),
+l AS (SELECT page_id AS pos, url AS link, regexp_extract(html, '<title>([^<]*)</title>', 1) AS text, regexp_extract(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)', 1)), '([^.]+\.[^.]+)$', 1) AS site FROM pages),
+m AS (SELECT l.*, coalesce(CASE WHEN text_number <> '' THEN try_cast(nullif(regexp_extract(text, text_number, 1), '') AS INT) END, CASE WHEN address_number <> '' THEN try_cast(nullif(regexp_extract(link, address_number, 1), '') AS INT) END) AS number,
+  CASE WHEN part <> '' THEN try_cast(nullif(regexp_extract(link, part, 1), '') AS INT) END AS part FROM l JOIN r USING (site) WHERE coalesce(address, '') = '' OR regexp_matches(link, address)),
+k AS (SELECT *, row_number() OVER (PARTITION BY site, number ORDER BY part NULLS FIRST, pos DESC) AS place FROM m WHERE number IS NOT NULL)
+SELECT site, number, text AS title, link, part FROM k WHERE place = 1""".replace("\\\\", "\\"),
+)
 def page_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered entries of a directory page, the last link of a number counting."""
-    pages = table(spark, sf_dir, "pages")
-    links = web.page_links(pages, ("page_id",)).withColumn("text", F.concat(F.lit("Chapter "), (F.col("pos") % 4).cast("string"), F.lit(" "), F.col("text")))
-    return web.directory_entries(links, web.DirectorySite("any", r"Chapter (\d+)"), ("page_id",))
+    """A directory of the pages of every site, by the rules of each."""
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    links = table(spark, sf_dir, "pages").select(F.col("page_id").alias("pos"), F.col("url").alias("link"), title.alias("text"), web.site_of("url").alias("host"))
+    entries = web.directory_entries(links, spark.createDataFrame(_RULES, web.SITE_RULES), ("host",), site=F.col("host"))
+    return entries.withColumnRenamed("host", "site")
 
 
 @query("extract_page_text")

@@ -106,25 +106,31 @@ def page_links(pages: DataFrame, keys: tuple[str, ...], url: str = "url", html:
     return source.mapInPandas(run, schema)
 
 
-@dataclass(frozen=True)
-class DirectorySite:
-    """How a site's directory numbers its entries: a pattern on link text, one on the address, and which of equals counts."""
-
-    name: str
-    number: str
-    address: str = ""
-    part: str = ""
-
-
-def directory_entries(links: DataFrame, site: DirectorySite, keys: tuple[str, ...]) -> DataFrame:
-    """Entries ``keys, number, title, link, part``: the last link of a number, or the lowest part where parts are numbered."""
-    number = F.nullif(F.regexp_extract("text", site.number, 1), F.lit("")).try_cast("int")
-    part = F.nullif(F.regexp_extract("link", site.part, 1), F.lit("")).try_cast("int") if site.part else F.lit(None).cast("int")
-    found = links.withColumn("number", number).withColumn("part", part).where("number is not null")
-    if site.address:
-        found = found.where(F.col("link").rlike(site.address))
-    order = [F.asc_nulls_first("part"), F.desc("pos")]
-    place = F.row_number().over(Window.partitionBy(*keys, "number").orderBy(*order))
+#: Rules of sites, a row for each: ``site``; patterns whose first group is the entry's number in the link's text (``text_number``) or,
+#: tried after it, in its address (``address_number``); one that the address has to match; and one for the number of its part.
+SITE_RULES = "site string, text_number string, address_number string, address string, part string"
+
+
+def site_of(url: Column | str) -> Column:
+    """The last two labels of an address's host, in lower case."""
+    host = F.lower(F.regexp_extract(F.col(url) if isinstance(url, str) else url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    return F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+
+
+def directory_entries(links: DataFrame, rules: DataFrame, keys: tuple[str, ...], site: Column | None = None) -> DataFrame:
+    """Entries ``keys, number, title, link, part`` of links ``keys, pos, link, text``, each by the rules of its site.
+
+    Rules are joined by site and their patterns are columns, so links of any
+    number of sites are one plan.  Of links with one number the last counts, or
+    where the site numbers parts the lowest part.  Links of sites without rules,
+    and those without a number, are no entries.
+    """
+    first = lambda text, pattern: F.when(F.col(pattern) != "", F.nullif(F.call_function("regexp_extract", F.col(text), F.col(pattern), F.lit(1)), F.lit(""))).try_cast("int")
+    found = links.withColumn("__site", site_of("link") if site is None else site).join(rules, F.col("__site") == F.col("site"))
+    found = found.where((F.coalesce("address", F.lit("")) == "") | F.rlike("link", F.col("address")))
+    number = F.coalesce(first("text", "text_number"), first("link", "address_number"))
+    found = found.select(*keys, "pos", "text", "link", number.alias("number"), first("link", "part").alias("part")).where("number is not null")
+    place = F.row_number().over(Window.partitionBy(*keys, "number").orderBy(F.asc_nulls_first("part"), F.desc("pos")))
     return found.withColumn("place", place).where("place = 1").select(*keys, "number", F.col("text").alias("title"), "link", "part")
 
 
