@@ -456,12 +456,6 @@ def multi_key_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice").orderBy(F.asc_nulls_last("o_orderpriority"), F.desc_nulls_last("o_totalprice"), "o_orderkey")
 
 
-@query("source_variants", "SELECT c_custkey, translate(c_name, '發國說', '发国说') AS simplified FROM customer")
-def source_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """one script form of names, by a character map."""
-    return table(spark, sf_dir, "customer").select("c_custkey", F.translate("c_name", "發國說", "发国说").alias("simplified"))
-
-
 @query("parse_url_param", "SELECT page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') AS page FROM pages")
 def parse_url_param(spark: SparkSession, sf_dir: str) -> DataFrame:
     """a parameter of an address."""
