@@ -347,7 +347,24 @@ def quota_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 RULES = (BatchRule(1, 20, 5), BatchRule(21, 30, 2), BatchRule(95, 99, 5))
 
 
-@query("batch_schedule")
+def _schedule_sql() -> str:
+    """A walk batch by batch; rules and the gaps between them are segments that count their own batches."""
+    first, last = "(n - 1) // 10 * 10 + 1", "(n - 1) // 10 * 10 + 10"
+    for r in RULES:  # a later rule goes before an earlier one
+        at = f"(n - {r.start}) // {r.size} * {r.size} + {r.start}"
+        first, last = f"CASE WHEN n BETWEEN {r.start} AND {r.end} THEN {at} ELSE {first} END", f"CASE WHEN n BETWEEN {r.start} AND {r.end} THEN least({r.end}, {at} + {r.size - 1}) ELSE {last} END"
+    segments, at = [], 1
+    for r in sorted(RULES, key=lambda r: r.start):
+        segments += [(at, r.start - 1, 10)] * (r.start > at) + [(r.start, r.end, r.size)]
+        at = max(at, r.end + 1)
+    before = " + ".join(f"CASE WHEN a > {lo} THEN (least({hi}, a - 1) - {lo}) // {size} + 1 ELSE 0 END" for lo, hi, size in [*segments, (at, 1 << 40, 10)])
+    return f"""WITH RECURSIVE s AS (SELECT s_suppkey, s_suppkey % 150 + 1 AS low, s_suppkey % 150 + 25 AS high FROM supplier),
+w(s_suppkey, low, high, n) AS (SELECT s_suppkey, low, high, low FROM s UNION ALL SELECT s_suppkey, low, high, ({last}) + 1 FROM w WHERE ({last}) + 1 <= high),
+b AS (SELECT s_suppkey, low, high, ({first}) AS a, ({last}) AS z FROM w)
+SELECT s_suppkey, low, high, a AS "start", z AS "end", {before} + 1 AS episode FROM b"""
+
+
+@query("batch_schedule", _schedule_sql())
 def batch_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batches that each supplier's range meets."""
     low = (F.col("s_suppkey") % 150 + 1).alias("low")
