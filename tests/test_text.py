@@ -91,3 +91,14 @@ def test_masking_leaves_a_target_that_holds_a_token(one):
 def test_strip_is_that_of_unicode(spark, texts):
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.strip("t").alias("s")).collect()
     assert all(r["s"] == r["t"].strip() for r in rows)
+
+
+def test_folding_is_that_of_every_character(spark):
+    """Texts folded by translating them, and those that Python folds, against the plain fold."""
+    from textloom.operators import quality
+
+    texts = ["", None, "ABC def", "Größe ÄÖÜ éè", "ﬁne ½ ㎏", "t̲̲̅̅w̲̲̅̅k", "台灣小說網 ＡＢＣ", "İstanbul ǅ ſ", "한국어", "𝒜𝔅 😀", "ẞß", "​­́", "Ἀθῆναι Ωμέγα Σς"]
+    texts += ["".join(map(chr, range(k, k + 64))) for k in (*range(0x80, 0x2800, 64), *range(0x3000, 0x3400, 64), *range(0xF900, 0xFB80, 64), *range(0xFE00, 0xFFC0, 64))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["f"] for r in rows.select("i", quality.folded("t").alias("f")).collect()}
+    assert got == {i: t if t is None else quality._fold(t) for i, t in enumerate(texts)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -53,23 +53,47 @@ MIN_BLOCK, MIN_ADJACENT_BLOCK, MIN_LINE = 160, 120, 60
 MIN_RUN_CHARS, MIN_RUN_LINES, REPEATED_SHARE = 240, 3, 0.18
 
 
-@F.pandas_udf(T.StringType())
-def fold_marks(text: pd.Series) -> pd.Series:
-    """Compatibility form without combining marks, case folded; Spark has no built-in for it."""
+def _fold(text: str) -> str:
+    """Compatibility form without combining marks, case folded."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).casefold()
+
+
+@lru_cache(maxsize=1)
+def _fold_table() -> tuple[str, str, str]:
+    """Characters that fold to one other or to none, what these fold to, and a class of all that do not.
+
+    Folding goes character by character, so a text without any of the class is
+    folded by translating it.
+    """
+    one, to, none, ranges = [], [], [], []
+    for code in (*range(0xD800), *range(0xE000, 0x10000)):
+        form = _fold(chr(code))
+        if len(form) > 1:
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+        elif not form:
+            none.append(chr(code))
+        elif form != chr(code):
+            one.append(chr(code))
+            to.append(form)
+    several = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+    return "".join(one + none), "".join(to), f"[{several}\\x{{10000}}-\\x{{10ffff}}]"
 
-    def fold(x: str | None) -> str | None:
-        if x is None or x.isascii():
-            return x.casefold() if x else x
-        plain = "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))
-        return plain.casefold()
 
-    return text.map(fold, na_action="ignore")
+@F.pandas_udf(T.StringType())
+def fold_marks(text: pd.Series) -> pd.Series:
+    """The folded form of texts that hold characters which fold to several."""
+    return text.map(_fold, na_action="ignore")
 
 
 def folded(text: str) -> Column:
-    """The folded form of a column; ASCII text is folded by ``lower`` and never leaves the JVM."""
-    other = F.when(F.length(text) != F.octet_length(text), F.col(text))
-    return F.coalesce(fold_marks(other), F.lower(text))
+    """The folded form of a column; only texts with characters that fold to several leave the JVM."""
+    characters, to, several = _fold_table()
+    plain = F.length(text) == F.octet_length(text)
+    rest = F.when(~plain & F.col(text).rlike(several), F.col(text))
+    return F.coalesce(fold_marks(rest), F.when(plain, F.lower(text)).otherwise(F.translate(text, characters, to)))
 
 
 def _beginning(pattern: str) -> str | None:
