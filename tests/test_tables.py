@@ -182,7 +182,7 @@ def test_strings_in_texts(spark, monkeypatch, most):
 def test_contains_query_finds_terms_inside_words(spark, tmp_path):
     spark.createDataFrame([(1, "xalpha beta gammay")], "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(7, "alpha beta gamma delta")], "item_id int, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
-    assert [tuple(r) for r in relational_queries.term_contains_join(spark, str(tmp_path)).collect()] == [(1, 7)]
+    assert [tuple(r) for r in relational_queries.term_contains_join(spark, str(tmp_path)).collect()] == [(1, 7, 1)]
 
 
 def test_ancestors(spark):
