@@ -319,4 +319,4 @@ def test_samples_agree_as_often_as_the_weighted_similarity():
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
