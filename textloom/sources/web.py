@@ -6,15 +6,16 @@ ranking, grouping and filtering of what it finds are DataFrame operations.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textloom.functions.text import heading_number, normalize_whitespace
 from textloom.operators.drift import numbers_to_ids
@@ -89,21 +90,27 @@ def _with_fields(keys: DataFrame, **fields: T.DataType) -> T.StructType:
     return T.StructType([*keys.schema.fields, *(T.StructField(name, kind) for name, kind in fields.items())])
 
 
+def _beside(batch: pa.RecordBatch, n_keys: int, rows: Sequence[int], schema: T.StructType, values: Sequence[Sequence]) -> pa.RecordBatch:
+    """The keys of some of a batch's rows (repeats allowed), and values found for each."""
+    take = pa.array(rows, pa.int64())
+    more = [pa.array(v, to_arrow_type(f.dataType)) for v, f in zip(values, schema.fields[n_keys:], strict=True)]
+    return pa.RecordBatch.from_arrays([*[c.take(take) for c in batch.columns[:n_keys]], *more], names=schema.names)
+
+
 def page_links(pages: DataFrame, keys: tuple[str, ...], url: str = "url", html: str = "html") -> DataFrame:
     """``keys, pos, href, link, text`` of every link; ``link`` is absolute."""
     source = pages.select(*keys, F.col(url).alias("__url"), F.col(html).alias("__html"))
     schema = _with_fields(source.select(*keys), pos=T.IntegerType(), href=T.StringType(), link=T.StringType(), text=T.StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                *key, base, page = row
-                for pos, (href, text) in enumerate(_read(page).links):
-                    rows.append((*key, pos, href, urljoin(base or "", href), " ".join(text.split())))
-            yield pd.DataFrame(rows, columns=schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, pos, href, link, text = [], [], [], [], []
+            for i, (base, page) in enumerate(zip(batch.column("__url").to_pylist(), batch.column("__html").to_pylist(), strict=True)):
+                for k, (there, said) in enumerate(_read(page).links):
+                    owner.append(i), pos.append(k), href.append(there), link.append(urljoin(base or "", there)), text.append(" ".join(said.split()))
+            yield _beside(batch, len(keys), owner, schema, [pos, href, link, text])
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 #: Rules of sites, a row for each: ``site``; patterns whose first group is the entry's number in the link's text (``text_number``) or,
@@ -182,16 +189,16 @@ def page_text(pages: DataFrame, layout: PageLayout, keys: tuple[str, ...], html:
         ranked = sorted(range(len(reader.candidates)), key=lambda k: (names.index(c) if (c := reader.candidates[k][0]) in names else 99, k))
         return ["".join(reader.candidates[k][1]) for k in ranked if reader.candidates[k][0] in names]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                reader = _read(row[-1], tuple(dict.fromkeys(layout.title + layout.content)))
-                titles = [" ".join(t.split()) for t in pick(reader, layout.title)]
-                rows.append((*row[:-1], next((t for t in titles if t), ""), pick(reader, layout.content)))
-            yield pd.DataFrame(rows, columns=schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            title, candidates = [], []
+            for page in batch.column("__html").to_pylist():
+                reader = _read(page, tuple(dict.fromkeys(layout.title + layout.content)))
+                title.append(next((t for t in (" ".join(t.split()) for t in pick(reader, layout.title)) if t), ""))
+                candidates.append(pick(reader, layout.content))
+            yield _beside(batch, len(keys), range(batch.num_rows), schema, [title, candidates])
 
-    parsed = source.mapInPandas(run, schema)
+    parsed = source.mapInArrow(run, schema)
     ranked = F.transform("candidates", lambda c, i: F.struct(F.length(c).alias("n"), (-i).alias("pos"), c.alias("text")))
     chosen = F.array_max(ranked)["text"] if layout.longest else F.get("candidates", F.lit(0))
     clean = F.filter(F.transform(F.split(F.coalesce(chosen, F.lit("")), "\n"), normalize_whitespace), lambda x: x != "")
@@ -282,8 +289,11 @@ def resolve(pages: DataFrame, site: str, keys: tuple[str, ...], url: str = "url"
     source = pages.select(*keys, F.col(url).alias("__url"), F.col(html).alias("__html"))
     schema = _with_fields(source.select(*keys), number=T.IntegerType(), title=T.StringType(), link=T.StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([(*row[:-2], *entry) for row in pdf.itertuples(index=False) for entry in function(row[-1] or "", row[-2] or "")], columns=schema.names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = zip(batch.column("__url").to_pylist(), batch.column("__html").to_pylist(), strict=True)
+            found = [(i, *entry) for i, (base, page) in enumerate(pages) for entry in function(page or "", base or "")]
+            owner, *values = zip(*found, strict=True) if found else [()] * 4
+            yield _beside(batch, len(keys), owner, schema, values)
 
-    return source.mapInPandas(run, schema)
+    return source.mapInArrow(run, schema)
