@@ -14,7 +14,7 @@ from textloom.llm import mixing, pii, pii_sentences, quality_gam, quality_rules,
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     return con
 

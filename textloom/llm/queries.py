@@ -273,6 +273,47 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_summaries(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
 
 
+def _op12_sql() -> str:
+    """The suffix recursion row by row, from the last to the first: of every grammar state the least (cost, audit)."""
+    states, turn = "[1, 2, 3, 4]", "[3, 3, 4, 3][q]"
+    kept = "(CASE WHEN ini = 's' AND q = 1 THEN 2 WHEN ini = 'u' AND q IN (1, 2, 4) THEN 3 WHEN ini = 'a' AND q = 3 THEN 4 END)"
+    pair = lambda cost, letter, of: f"{{'c': v[{of}].c + {cost}, 'a': '{letter}' || v[{of}].a}}"
+    options = f"[{pair(2, 'D', 'q')}, CASE WHEN sound AND {kept} IS NOT NULL THEN {pair('late', 'K', kept)} END, CASE WHEN sound THEN {pair('1 + late', 'R', turn)} END]"
+    inserted = lambda b: f"list_transform({states}, lambda q: list_min([base[q], {{'c': {b}[{turn}].c + 5, 'a': 'I' || {b}[{turn}].a}}]))"
+    return rf"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS t),
+p AS (SELECT *, list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS bytes FROM conversations),
+c AS (SELECT conv_id, coalesce(conv_id::VARCHAR, ' ') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 20 AS harm FROM p, tab),
+d AS (SELECT k, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE harm <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM d),
+f AS (SELECT k, i, turn, role, text, left(role, 1) AS ini, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 1 WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 2
+  WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 3 ELSE 0 END AS fault FROM n),
+w(k, i, v) AS (SELECT k, max(i) + 1, [{{'c': 0, 'a': ''}}, {{'c': 10, 'a': 'II'}}, {{'c': 5, 'a': 'I'}}, {{'c': 0, 'a': ''}}] FROM f GROUP BY k
+  UNION ALL SELECT k, i, {inserted("two")} FROM (SELECT *, {inserted("one")} AS two FROM (SELECT *, {inserted("base")} AS one FROM (
+    SELECT k, i, list_transform({states}, lambda q: list_min(list_filter({options}, lambda x: x IS NOT NULL))) AS base
+    FROM (SELECT w.k, f.i, v, ini, fault IN (0, 3) AS sound, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS late FROM w JOIN f ON f.k = w.k AND f.i = w.i - 1))))),
+r AS (SELECT k, v[1].c AS cost, v[1].a AS audit FROM w WHERE i = 1),
+l AS (SELECT k, unnest(string_split(audit, '')) AS letter, unnest(range(1, length(audit) + 1)) AS pos FROM r WHERE audit <> ''),
+m AS (SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY k ORDER BY pos) AS i FROM l),
+o AS (SELECT m.k, pos, letter, role, ini, text, row_number() OVER (PARTITION BY m.k ORDER BY pos) AS place FROM m LEFT JOIN f ON f.k = m.k AND f.i = m.i AND letter <> 'I' WHERE letter <> 'D'),
+q AS (SELECT *, place - max((place = 1 AND letter = 'K' AND ini = 's')::INT) OVER (PARTITION BY k) AS spoken FROM o),
+h AS (SELECT k, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN spoken % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY pos)) AS sha FROM q GROUP BY k),
+a AS (SELECT k, ini || lead(ini) OVER (PARTITION BY k ORDER BY i) AS pair, lead(ini) OVER (PARTITION BY k ORDER BY i) IS NOT NULL AS follows, fault, turn FROM f),
+g AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+  count(*) FILTER (fault = 3) AS truncated, count(*) FILTER (follows AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM a GROUP BY k)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, k FROM c) LEFT JOIN g USING (k) LEFT JOIN r USING (k) LEFT JOIN h USING (k)
+"""
+
+
+OP12_SQL = _op12_sql()
+
 #: Rows that op13 searches for, and how many it finds.
 NEAREST_QUERIES, NEAREST = "vec_id % 20 = 0", 20
 
@@ -312,5 +353,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": OP3_SQL,
     "op5_embedding_groups": OP5_SQL,
     "op7_mixing": OP7_SQL,
+    "op12_conversation_repair": OP12_SQL,
     "op13_nearest_neighbours": OP13_SQL,
 }
