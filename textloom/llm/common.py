@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.shared import checkpointed, materialize, shared_dir
 
-__all__ = ["WORD_PATTERN", "connected_components", "drop_path", "lean", "materialize", "shared_dir", "slices"]
+__all__ = ["WORD_PATTERN", "connected_components", "drop_path", "give_memory_back", "lean", "lean_group", "materialize", "shared_dir", "slices"]
 
 #: Words are maximal runs of characters other than ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -33,12 +34,34 @@ def slices(batch: pa.RecordBatch, texts: tuple[str, ...], size: int) -> Iterator
 Batches = Iterator[pa.RecordBatch]
 
 
+def give_memory_back() -> None:
+    """Gives what Arrow and the C library hold of freed memory back to the system (where it can be asked to)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """A ``mapInArrow`` function that gives Arrow's freed memory back at its end, as Spark uses workers again."""
+    """A ``mapInArrow`` function that gives freed memory back at its end, as Spark uses workers again."""
 
     def wrapped(batches: Batches) -> Batches:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
+        give_memory_back()
+
+    return wrapped
+
+
+def lean_group(run: Callable[[pa.Table], pa.Table], size: int = 4 << 20) -> Callable[[pa.Table], pa.Table]:
+    """The same for an ``applyInArrow`` function, after groups of so many bytes."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        large = table.nbytes >= size
+        out = run(table)
+        if large:
+            del table
+            give_memory_back()
+        return out
 
     return wrapped
 

@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, lean, materialize, slices
+from .common import connected_components, lean, lean_group, materialize, slices
 
 WIDTH = 5
 BANDS, ROWS = 16, 4
@@ -299,7 +299,7 @@ def document_weights(docs: DataFrame) -> Weights:
     for salted in (True, False):
         sums = sums if salted else sums.withColumn("salt", F.lit(0))
         dealt = sums.repartition(*(["part", "salt"] if salted else ["part"]))
-        sums = dealt.sortWithinPartitions("part", "salt").mapInArrow(_sum_parts, schema)
+        sums = dealt.sortWithinPartitions("part", "salt").mapInArrow(lean(_sum_parts), schema)
     found = {r["part"]: np.frombuffer(r["counts"], np.int64) for r in sums.collect()}
     if not found:
         return Weights()
@@ -482,7 +482,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, key: str =
     left = placed.select("digest", "main", "band", "value", mine("lefts").alias("i"), every("rights").alias("j"), F.lit(0).alias("side"))
     right = placed.where("not main").select("digest", "main", "band", "value", every("lefts").alias("i"), mine("rights").alias("j"), F.lit(1).alias("side"))
     dealt = left.union(right).join(materialize(member.join(candidates, "digest")), "digest")
-    second = materialize(dealt.groupBy("band", "value", "i", "j").applyInArrow(_cross(weights, similarity), "src binary, dst binary"))
+    second = materialize(dealt.groupBy("band", "value", "i", "j").applyInArrow(lean_group(_cross(weights, similarity)), "src binary, dst binary"))
     labels = parts
     if not second.isEmpty():  # the second round joins whole components
         known = member.select("digest", "component")

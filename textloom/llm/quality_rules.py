@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD_PATTERN
+from .common import WORD_PATTERN, lean
 
 _WORDS = re.compile(WORD_PATTERN)
 _SYMBOLS = "#*$%&|<>"
@@ -144,7 +144,7 @@ def rule_ledger(docs: DataFrame, text: str = "text", keys: tuple[str, ...] = ("d
     whole = text in keys and docs.schema[text].dataType == T.StringType()
     source = docs.select(*keys) if whole else docs.select(*keys, F.col(text).cast("string").alias("__text"))
     fields = [source.schema[k] for k in keys] + [T.StructField(m, T.LongType(), False) for m in MEASURES]
-    measured = source.mapInArrow(_measure_batches(len(keys), keys.index(text) if whole else len(keys)), T.StructType(fields))
+    measured = source.mapInArrow(lean(_measure_batches(len(keys), keys.index(text) if whole else len(keys))), T.StructType(fields))
     bits = sum((F.when(F.expr(r.fails), F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, r in enumerate(RULES)), F.lit(0).cast("long"))
     return measured.withColumn("failed_bits", bits)
 

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 SPACE = "▁"
 #: Atoms, and pairs of neighbours, that a worker remembers, and the longest atom among them.
 MEMO_ENTRIES, MEMO_PAIRS = 250_000, 400_000
@@ -321,7 +323,7 @@ def encode_and_decode(docs: DataFrame, model: str, text: str = "text", keys: tup
     source = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(f"`{text}`").cast("string").alias("__value"))
     fields = [source.schema[i] for i in range(len(keys))]
     fields += [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)]
-    return source.mapInArrow(_coded_batches(model, chunk), T.StructType(fields))
+    return source.mapInArrow(lean(_coded_batches(model, chunk)), T.StructType(fields))
 
 
 def _apply(docs: DataFrame, column: str, cast: str, out: T.StructField, convert, path: str, chunk: int) -> DataFrame:
