@@ -77,3 +77,9 @@ def test_rules_are_evaluated_before_entries_are_read_by_verdict(spark):
     entries = spark.range(40).select(src.alias("src"), F.when(F.col("id") % 2 == 0, "Vương An").otherwise("vương ?").alias("dst"), F.col("id").alias("ord"))
     for found in (glossary.sanitized(entries), glossary.sanitized(entries, "runtime")):
         assert "translate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blocked_targets_read_verdicts_and_not_rules(spark):
+    src = F.translate(F.col("id").cast("string"), "0123456789", "王李张赵山安平海城主")
+    entries = spark.range(40).select(src.alias("src"), F.when(F.col("id") % 2 == 0, "Vương An").otherwise("vương ?").alias("dst"), F.col("id").alias("ord"))
+    assert "translate(" not in glossary.blocked_targets(glossary.sanitized(entries))._jdf.queryExecution().optimizedPlan().toString()
