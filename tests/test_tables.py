@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import drift, licences, ranges, relational, replay, terms, usage
+from textloom.operators import drift, licences, quality, ranges, relational, replay, terms, usage
 from textloom.operators.ranges import BatchRule
 from textloom.operators.replay import Limits
 from textloom.plans import relational_queries
@@ -382,3 +382,10 @@ def test_conspicuous_targets(spark):
     assert pairs(got, "d", "target", "n") == [(2, "Đông Hải", 1), (3, "Đông Hải", 2)]
     listed = licences.unlicensed_targets(texts, entries, ["d"], "s", "t", targets=spark.createDataFrame([("Đông",)], "dst string"), anywhere=False)
     assert pairs(listed, "d", "target", "n") == [(1, "Đông", 1), (2, "Đông", 1), (3, "Đông", 2)]
+
+
+def test_gaps_are_counted_without_a_row_for_each_number(spark):
+    rows = spark.createDataFrame([(1, 0), (1, 10**12), (1, 10**12 + 1), (1, 0), (2, 5), (3, None), (3, 1), (3, 4)], "k long, number long")
+    got = quality.gap_ranges(rows, ("k",))
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 10**12 - 1), (3, 2, 3)]
+    assert sorted(tuple(r) for r in quality.gaps(rows.where("k = 3"), ("k",)).collect()) == [(3, 2), (3, 3)]

@@ -161,8 +161,9 @@ def missing_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def number_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers missing between the smallest and the largest."""
     rows = table(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_partkey").alias("number"))
-    found = quality.gaps(rows, ("l_suppkey",))
-    return found.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_missing"), F.min("number").alias("first_missing"), F.max("number").alias("last_missing"))
+    found = quality.gap_ranges(rows, ("l_suppkey",))
+    missing = F.sum(F.col("last") - F.col("first") + 1)
+    return found.groupBy("l_suppkey").agg(missing.alias("n_missing"), F.min("first").alias("first_missing"), F.max("last").alias("last_missing"))
 
 
 @query(
