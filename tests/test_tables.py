@@ -389,3 +389,13 @@ def test_gaps_are_counted_without_a_row_for_each_number(spark):
     got = quality.gap_ranges(rows, ("k",))
     assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 10**12 - 1), (3, 2, 3)]
     assert sorted(tuple(r) for r in quality.gaps(rows.where("k = 3"), ("k",)).collect()) == [(3, 2), (3, 3)]
+
+
+def test_places_of_few_terms_come_from_one_pass_over_a_text(spark):
+    """As by the way for many terms, and without a text beside every one of its terms."""
+    texts = spark.createDataFrame([(1, "aaaa bab 𝄞ab"), (2, ""), (3, None), (4, "x")], "i int, t string")
+    found = licences.occurrences(texts, spark.createDataFrame([("aa",), ("a",), ("ab",), ("bab",), ("𝄞a",), ("",), (None,)], "w string"), "t", "w", ["i"])
+    text, want = "aaaa bab 𝄞ab", []
+    for w in ("aa", "a", "ab", "bab", "𝄞a"):
+        want += [(1, w, k, k + len(w)) for k in range(len(text)) if text.startswith(w, k)]
+    assert pairs(found, "i", "term", "start", "end") == sorted(want) and "Join" not in found._jdf.queryExecution().optimizedPlan().toString()

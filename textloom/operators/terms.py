@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,6 +79,56 @@ def _found_terms(terms: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
+#: Places of terms that a task holds before it hands them on.
+MOST_PLACES = 100_000
+
+
+def _term_places(terms: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Every place of every term in each text (last column), a row for each, from one pass over the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = ahocorasick.Automaton()
+        for k, t in enumerate(terms):
+            matcher.add_word(t, k)
+        matcher.make_automaton()
+        names, sizes = pa.array(terms, pa.string()), np.array([len(t) for t in terms], np.int64)
+
+        def told(batch: pa.RecordBatch, rows: list[int], counts: list[int], hits: list[tuple[int, int]]) -> pa.RecordBatch:
+            last, which = np.array(hits, np.int64).reshape(-1, 2).T
+            start, take = last + 1 - sizes[which], pa.array(np.repeat(np.array(rows, np.int64), counts))
+            more = [names.take(pa.array(which)), pa.array(start.astype(np.int32)), pa.array((last + 1).astype(np.int32))]
+            return pa.RecordBatch.from_arrays([*[c.take(take) for c in batch.columns[:-1]], *more], names=[*batch.schema.names[:-1], "term", "start", "end"])
+
+        for batch in batches:
+            rows, counts, hits = [], [], []
+            for i, text in enumerate(batch.column(batch.num_columns - 1)):
+                before = len(hits)
+                hits += matcher.iter(text.as_py()) if len(matcher) else ()
+                rows.append(i)
+                counts.append(len(hits) - before)
+                if len(hits) >= MOST_PLACES:
+                    yield told(batch, rows, counts, hits)
+                    rows, counts, hits = [], [], []
+            yield told(batch, rows, counts, hits)
+
+    return run
+
+
+def few_terms(terms: DataFrame, term: str) -> list[str] | None:
+    """The different terms, if they may travel with the tasks; else null."""
+    distinct = terms.select(term).where(F.col(term).isNotNull()).distinct()
+    n, chars = distinct.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length(term)), F.lit(0))).first()
+    return [r[0] for r in distinct.collect()] if n <= MOST_TERMS and chars <= MOST_CHARS else None
+
+
+def places(texts: DataFrame, terms: Sequence[str], text: str, keys: Sequence[str]) -> DataFrame:
+    """``keys, term, start, end`` of every place of few terms, none of them empty."""
+    source = texts.select(*keys, F.col(text).cast("string").alias("__whole")).where("__whole is not null")
+    kinds = {"term": T.StringType(), "start": T.IntegerType(), "end": T.IntegerType()}
+    schema = T.StructType([*source.schema.fields[: len(keys)], *(T.StructField(n, k) for n, k in kinds.items())])
+    return source.mapInArrow(_term_places(terms), schema)
+
+
 def contained_strings(texts: DataFrame, terms: DataFrame, text: str, term: str, keys: Sequence[str], term_keys: Sequence[str]) -> DataFrame:
     """Which terms are substrings of which texts.
 
