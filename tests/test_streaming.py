@@ -139,3 +139,11 @@ def test_a_day_of_idling_frees_a_key(spark, tmp_path):
     stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     found, held = run_with_progress(spark, stateful.admission(stream, ["key"], replay.Limits(rpd=1), "at", "id", "tokens"), str(tmp_path))
     assert [tuple(r) for r in found] == [("a", 1, True, "")] and held[-1] == 0
+
+
+def test_a_provider_is_asked_for_a_bounded_amount_of_text_at_once(spark, monkeypatch):
+    monkeypatch.setattr(stream_queries, "ASKED_CHARS", 10)
+    sizes = lambda texts: [f"{len(texts)} {t}" for t in texts]
+    rows = spark.createDataFrame([(0, None), (1, "abcdef"), (2, "abcdef"), (3, "x" * 50), (4, None), (5, "")], "i int, t string").coalesce(1)
+    made = {r["i"]: r["out"] for r in stream_queries.provided(rows, sizes, "t", "out").collect()}
+    assert made == {0: None, 1: "2 abcdef", 2: "2 abcdef", 3: "1 " + "x" * 50, 4: None, 5: "1 "}

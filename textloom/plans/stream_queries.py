@@ -6,7 +6,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -126,19 +126,32 @@ def reversed_words(texts: list[str]) -> list[str]:
     return [" ".join(reversed(t.split(" "))) for t in texts]
 
 
-def provided(rows: DataFrame, provider: Provider, text: str, out: str) -> DataFrame:
-    """Adds ``out``: what a provider makes of a text, asked once for each batch; null texts are not asked for."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
+#: Characters of texts that a provider is asked for at once; a longer text goes alone.
+ASKED_CHARS = 1 << 20
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            asked = pdf[text].notna()
-            made = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            if asked.any():
-                made[asked] = provider(pdf.loc[asked, text].tolist())
-            yield pdf.assign(**{out: made})
 
-    return rows.mapInPandas(run, schema)
+def provided(rows: DataFrame, provider: Provider, text: str, out: str) -> DataFrame:
+    """Adds ``out``: what a provider makes of a text, asked for about ASKED_CHARS characters at once; null texts are not asked for."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
+    at = rows.columns.index(text)
+
+    def answers(texts: pa.Array) -> Iterator[str | None]:
+        asked: list[str | None] = []
+        size = 0
+        for i, t in enumerate(texts):
+            asked.append(t.as_py())
+            size += len(asked[-1] or "")
+            if size >= ASKED_CHARS or i == len(texts) - 1:
+                made = iter(provider(there) if (there := [x for x in asked if x is not None]) else ())
+                yield from (None if x is None else next(made) for x in asked)
+                asked, size = [], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Built value by value: neither a frame nor all texts of a batch are Python objects at once.
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers(batch.column(at)), pa.string(), size=batch.num_rows)], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def translated(rows: DataFrame, keys: list[str], text: str, provider: Provider, repairs: list[tuple[Callable[[Column], Column], Provider]], most: int = 800) -> DataFrame:
