@@ -107,6 +107,16 @@ def test_drift_is_found_by_searching(spark, fan):
         assert len(asked) <= 8 and sum(asked) < 0.7 * sum(b for _, _, b in bounds)
 
 
+def test_a_search_of_drifts_sends_no_table_through_the_driver(spark, monkeypatch):
+    plans, real = [], drift.materialize
+    monkeypatch.setattr(drift, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    numbered = spark.range(300).selectExpr("id div 50 AS k", "id % 50 + 1 AS id", "id % 50 + 1 - int(id % 50 > 20) AS number")
+    bounds = spark.range(6).selectExpr("id AS k", "1L AS low", "50L AS high")
+    got = drift.drift_segments(bounds, drift.table_probe(numbered, ["k"]), ["k"])
+    assert pairs(got, "k", "start", "diff") == [(k, 21, 1) for k in range(6)]
+    assert len(plans) > 1 and not any("Broadcast" in p for p in plans) and all("SortMergeJoin" in p for p in plans)
+
+
 def test_numbers_become_ids(spark):
     segments = spark.createDataFrame([("a", 2381, 4), ("a", 2400, 9)], "book string, start long, diff long")
     numbers = spark.createDataFrame([("a", 2380), ("a", 2381), ("a", 2400), ("b", 5)], "book string, number long")

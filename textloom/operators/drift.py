@@ -7,7 +7,8 @@ points are therefore searched for and not read off all ids.  Every round looks
 up FAN ids inside each open interval of every source at once and keeps the
 parts whose ends differ, so a round is one job and the number of rounds follows
 the logarithm of the longest interval, however many sources and changes there
-are.
+are.  All joins of a round are by source and grow with the sources, so none of
+their sides goes through the driver as a broadcast.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ Probe = Callable[[DataFrame], DataFrame]
 def table_probe(numbered: DataFrame, keys: Sequence[str], id_: str = "id", number: str = "number") -> Probe:
     """Looks ids up in a table."""
     known = numbered.select(*keys, F.col(id_).cast("long").alias("id"), F.col(number).cast("long").alias("number")).where("number is not null")
-    return lambda asked: asked.join(known, [*keys, "id"])
+    return lambda asked: asked.join(known.hint("merge"), [*keys, "id"])
 
 
 def drift_segments(bounds: DataFrame, probe: Probe, keys: Sequence[str], low: str = "low", high: str = "high", fan: int = FAN) -> DataFrame:
@@ -48,7 +49,7 @@ def drift_segments(bounds: DataFrame, probe: Probe, keys: Sequence[str], low: st
     asked = bounds.select(*keys, F.explode(F.array_distinct(ends)).alias("id"))
     known = probe(asked).where("number is not null").select(*keys, "id", (F.col("id") - F.col("number")).alias("diff"))
     both = known.groupBy(*keys).agg(F.min(F.struct("id", "diff")).alias("a"), F.max(F.struct("id", "diff")).alias("b"))
-    whole = bounds.join(both, list(keys)).where((F.col("a.id") == F.col(low)) & (F.col("b.id") == F.col(high)))
+    whole = bounds.join(both.hint("merge"), list(keys)).where((F.col("a.id") == F.col(low)) & (F.col("b.id") == F.col(high)))
     open_ = materialize(whole.where("a.diff <> b.diff").select(*keys, "a", "b", F.lit(fan).alias("fan")))
     found = None
     while not open_.isEmpty():
@@ -58,9 +59,9 @@ def drift_segments(bounds: DataFrame, probe: Probe, keys: Sequence[str], low: st
         asked = cut.select(*keys, F.explode(points).alias("id")).distinct()
         looked = probe(asked).where("number is not null").select(*keys, "id", (F.col("id") - F.col("number")).alias("diff"))
         # Intervals of a source share no inner id: what was looked up goes back to its interval.
-        inner = cut.select(*keys, "a", F.explode_outer(points).alias("id")).join(looked, [*keys, "id"], "left")
+        inner = cut.select(*keys, "a", F.explode_outer(points).alias("id")).join(looked.hint("merge"), [*keys, "id"], "left")
         seen = inner.groupBy(*keys, "a").agg(F.array_sort(F.collect_list(F.when(F.col("diff").isNotNull(), F.struct("id", "diff")))).alias("seen"))
-        cut = cut.join(seen, [*keys, "a"])
+        cut = cut.join(seen.hint("merge"), [*keys, "a"])
         chain = F.concat(F.array("a"), "seen", F.array("b"))
         parts = F.transform(F.sequence(F.lit(1), F.size("seen") + 1), lambda i: F.struct(F.element_at(chain, i).alias("a"), F.element_at(chain, i + 1).alias("b")))
         wider = F.when(F.size("seen") == 0, F.col("fan") * 2).otherwise(F.lit(fan)).alias("fan")
