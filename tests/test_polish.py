@@ -122,3 +122,15 @@ def test_repeats_reach_a_fixed_point(one):
     nested = "x y x y z x y x y z w"
     assert one(tx.collapse_phrases("t"), t=nested) == "x y z w"
     assert one(tx.collapse_phrases("t"), t="one\ntwo one two") == "one\ntwo one two"
+
+
+def test_rules_run_once(spark):
+    rows = spark.createDataFrame([(1, "x")], "n int, t string")
+    plan = polish.polish(rows, "t", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("loadAdv") == 1 and plan.count("(?mdU)^([ \\t]*)“") == 1
+
+
+def test_phrases_end_at_letters_that_are_no_word_characters(one):
+    assert one(tx.collapse_phrases("t"), t="a b×c a b x a b a b") == "a b×c a b x a b"
+    assert one(tx.collapse_phrases("t"), t="ab cd ab cd×e") == "ab cd×e"
+    assert one(tx.collapse_phrases("t"), t="ab cd ab cde ab cd1 ab cd1") == "ab cd ab cde ab cd1 ab cd1"

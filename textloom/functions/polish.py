@@ -17,7 +17,7 @@ CHARACTERS = (
     ("[\u2028\u2029]", "\n"),
     ("[\u00ad\u200b\u200c\u200d\ufeff]", ""),
     ("[\u00a0\u202f\u2009\u2007\u2008\u200a\u205f\u3000]", " "),
-    (r"[^\n\r\t \x20-\x7E\u00c0-\u024f\u1e00-\u1eff\u0300-\u036f]", ""),
+    (r"[^\n\r\t \x20-\x7E\u00c0-\u024f\u1e00-\u1eff\u0300-\u036f]+", ""),
 )
 # Fixed value: what stands for a paragraph break.
 BREAK = "QZXBRQ"
@@ -67,7 +67,7 @@ _PART_GAP = r"(?U)(?<=[.!?…])\s+|(?=[“\"])"
 
 def strip_hidden(text: Column) -> Column:
     """Without characters that are neither letters in use, ASCII nor line ends."""
-    return rule_rewrite(text, CHARACTERS)
+    return F.when(text.rlike(CHARACTERS[-1][0]), rule_rewrite(text, CHARACTERS)).otherwise(text)
 
 
 def _first_line(text: Column) -> Column:
@@ -110,14 +110,16 @@ def packed(parts: Column, most: int) -> Column:
 def rebalanced(line: Column, most: int = LONGEST) -> Column:
     """A line as paragraphs: cut between sentences if it is long or holds speeches of several speakers."""
 
+    marks = lambda c: F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
+    spoken = (marks("“") >= 2) & (marks(":") >= 2)
+
     def of(units: Column) -> Column:
-        marks = lambda c: F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        speeches = (F.size(units) > 1) & (marks("“") >= 2) & (marks(":") >= 2)
+        speeches = (F.size(units) > 1) & spoken
         cut = F.when(F.size(units) > 1, units).otherwise(F.split(line, _SPEECH_GAP))
         short = lambda p: F.when(F.length(p) <= most, F.array(p)).otherwise(packed(F.split(p, _PART_GAP), most))
         return F.when((F.length(line) <= most) & ~speeches, F.array(line)).otherwise(F.flatten(F.transform(packed(cut, most), short)))
 
-    return let(F.split(line, _SENTENCE_GAP), of)
+    return F.when((F.length(line) <= most) & ~spoken, F.array(line)).otherwise(let(F.split(line, _SENTENCE_GAP), of))
 
 
 def merged_lines(lines: Column) -> Column:
@@ -176,8 +178,11 @@ def polish(
         out = folded(out, none, (line != "") & ~line.rlike(r"^[“\"'(-]"), "?!.")
     alone = F.regexp_replace(here, F.concat(F.lit("(?md)^"), heading, F.lit("\n(?!\n)")), F.concat(heading, F.lit("\n\n")))
     for step in (
-        split_camel(rule_rewrite(here, RESIDUE + QUOTES)),
-        collapse_repeats(collapse_phrases(here), EMPHASIS),
+        rule_rewrite(here, RESIDUE),
+        F.when(here.rlike('[“”"]'), rule_rewrite(here, QUOTES)).otherwise(here),
+        split_camel(here),
+        collapse_phrases(here),
+        collapse_repeats(here, EMPHASIS),
         rule_rewrite(here, SPACING),
         paragraphs(alone),
         F.concat(strip(normalize_ellipsis(here)), F.lit("\n")),

@@ -166,9 +166,16 @@ def collapse_repeats(text: ColumnOrName, kept: Sequence[str] = ()) -> Column:
 
 def collapse_phrases(text: ColumnOrName, longest: int = 6) -> Column:
     """Phrases of 2 to ``longest`` words that follow themselves, collapsed to one until none does."""
-    word = f"[{LETTERS}]+"
-    again = rf"(?iuU)\b({word}(?:[ \t]+{word}){{1,{longest - 1}}})\b[ \t]+\1\b"
-    return settled(text, lambda t: F.regexp_replace(t, again, "$1"), F.regexp_count(_col(text), F.lit(r"[ \t]+")))
+
+    def once(t: Column) -> Column:
+        # Where all letters are word characters no word ends inside a run of them, so none of a run is given back.
+        plain, exact = (
+            rf"(?iuU)\b({word}(?:[ \t]+{word}){{1,{longest - 1}}})\b[ \t]+\1\b" for word in (f"[{LETTERS}]++", f"[{LETTERS}]+")
+        )
+        odd = t.rlike(rf"(?U)[{LETTERS}&&[^\w]]")
+        return F.when(odd, F.regexp_replace(t, exact, "$1")).otherwise(F.regexp_replace(t, plain, "$1"))
+
+    return settled(text, once, F.regexp_count(_col(text), F.lit(r"[ \t]+")))
 
 
 def template(pattern: str, **values: ColumnOrName) -> Column:
