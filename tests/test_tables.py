@@ -425,3 +425,13 @@ def test_conspicuous_targets_look_at_the_words_beside_them_only_behind_a_blank(s
     found = licences.unlicensed_targets(texts, entries, ["i"], "source", "text", conspicuous=True)
     assert pairs(found, "i", "target", "n") == [(1, "ab", 2), (2, "ab", 2), (3, "ab", 1), (4, "ab", 1)]
     assert r"CASE WHEN RLIKE" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pages_are_parsed_piece_by_piece(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(web, "PARSED_BYTES", 10)
+    pages = [None, "aaaa", "", "b" * 30, None, "cc", "é" * 5, "d"]
+    batch = pa.RecordBatch.from_pydict({"k": list(range(8)), "__html": pages})
+    pieces = [p.column("k").to_pylist() for p in web._pieces(iter((batch, batch.slice(0, 0))), "__html")]
+    assert pieces == [[0, 1, 2, 3], [4, 5, 6], [7]]

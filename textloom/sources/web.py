@@ -12,6 +12,7 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,13 +98,28 @@ def _beside(batch: pa.RecordBatch, n_keys: int, rows: Sequence[int], schema: T.S
     return pa.RecordBatch.from_arrays([*[c.take(take) for c in batch.columns[:n_keys]], *more], names=schema.names)
 
 
+#: Bytes of pages that are Python objects at once; a longer page goes alone.
+PARSED_BYTES = 1 << 20
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], html: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut into pieces of about PARSED_BYTES of pages, so that what is found in a batch is never held all at once."""
+    for batch in batches:
+        first = size = 0
+        for i, n in enumerate(pc.binary_length(batch.column(html)).to_pylist(), 1):
+            size += n or 0
+            if size >= PARSED_BYTES or i == batch.num_rows:
+                yield batch.slice(first, i - first)
+                first, size = i, 0
+
+
 def page_links(pages: DataFrame, keys: tuple[str, ...], url: str = "url", html: str = "html") -> DataFrame:
     """``keys, pos, href, link, text`` of every link; ``link`` is absolute."""
     source = pages.select(*keys, F.col(url).alias("__url"), F.col(html).alias("__html"))
     schema = _with_fields(source.select(*keys), pos=T.IntegerType(), href=T.StringType(), link=T.StringType(), text=T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, "__html"):
             owner, pos, href, link, text = [], [], [], [], []
             for i, (base, page) in enumerate(zip(batch.column("__url").to_pylist(), batch.column("__html").to_pylist(), strict=True)):
                 for k, (there, said) in enumerate(_read(page).links):
@@ -190,7 +206,7 @@ def page_text(pages: DataFrame, layout: PageLayout, keys: tuple[str, ...], html:
         return ["".join(reader.candidates[k][1]) for k in ranked if reader.candidates[k][0] in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, "__html"):
             title, candidates = [], []
             for page in batch.column("__html").to_pylist():
                 reader = _read(page, tuple(dict.fromkeys(layout.title + layout.content)))
@@ -290,7 +306,7 @@ def resolve(pages: DataFrame, site: str, keys: tuple[str, ...], url: str = "url"
     schema = _with_fields(source.select(*keys), number=T.IntegerType(), title=T.StringType(), link=T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches, "__html"):
             pages = zip(batch.column("__url").to_pylist(), batch.column("__html").to_pylist(), strict=True)
             found = [(i, *entry) for i, (base, page) in enumerate(pages) for entry in function(page or "", base or "")]
             owner, *values = zip(*found, strict=True) if found else [()] * 4
