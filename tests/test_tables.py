@@ -435,3 +435,10 @@ def test_pages_are_parsed_piece_by_piece(monkeypatch):
     batch = pa.RecordBatch.from_pydict({"k": list(range(8)), "__html": pages})
     pieces = [p.column("k").to_pylist() for p in web._pieces(iter((batch, batch.slice(0, 0))), "__html")]
     assert pieces == [[0, 1, 2, 3], [4, 5, 6], [7]]
+
+
+def test_reasons_are_counted_once(spark):
+    from textloom.plans import catalog
+
+    plan = catalog.QUERIES["repair_reasons"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("thiển trương viên") == 1 and plan.count("u4dbf") == 1

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.text import lines, strip
+from textloom.functions.text import let, lines, strip
 
 from .quality import METADATA_LINES, WATERMARKS, fold_marks
 from .relational import first_wins
@@ -51,15 +51,15 @@ def repair_reasons(
 
     ``changed`` says whether its source has changed since, ``blocked`` how many
     terms it holds that it must not.  An empty part has ``empty-part`` twice,
-    for the file and for the text.
+    for the file and for the text.  Every count is taken once; a filter on the
+    result would take all of them again.
     """
     text = F.col(part) if isinstance(part, str) else part
     yes = lambda c: F.lit(False) if c is None else F.coalesce(c, F.lit(False))
-    some = lambda name, n: F.when(n > 0, F.concat(F.lit(f"{name}:"), n.cast("string")))
+    some = lambda name, count, least=1: let(count, lambda n: F.when(n >= least, F.concat(F.lit(f"{name}:"), n.cast("string"))))
     paragraphs = F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: F.length(p) >= PARAGRAPH)
-    again = F.size(paragraphs) - F.size(F.array_distinct(paragraphs))
+    again = let(paragraphs, lambda ps: F.size(ps) - F.size(F.array_distinct(ps)))
     left = F.size(F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit("(?iu)" + "|".join(romanized)), F.lit(0)), lambda x: F.lower(strip(x)))))
-    headings = F.regexp_count(text, F.lit(HEADING))
     checks = [
         F.when(text == "", "empty-part"),
         F.when(yes(changed), "stale-part"),
@@ -68,8 +68,8 @@ def repair_reasons(
         some("blocked-glossary-targets", F.lit(0) if blocked is None else F.coalesce(blocked, F.lit(0))),
         some("romanized-artifacts", left),
         some("han-residue", F.regexp_count(text, F.lit(f"[{han}]"))),
-        F.when(headings > 1, F.concat(F.lit("duplicate-headers:"), headings.cast("string"))),
-        F.when(again >= 3, F.concat(F.lit("duplicate-paragraphs:"), again.cast("string"))),
+        some("duplicate-headers", F.regexp_count(text, F.lit(HEADING)), 2),
+        some("duplicate-paragraphs", again, 3),
     ]
     return F.when(text.isNull(), F.array(F.lit("missing-part"))).otherwise(F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
