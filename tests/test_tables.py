@@ -442,3 +442,12 @@ def test_reasons_are_counted_once(spark):
 
     plan = catalog.QUERIES["repair_reasons"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("thiển trương viên") == 1 and plan.count("u4dbf") == 1
+
+
+def test_noise_lines_fold_texts_of_plain_characters_without_python(spark):
+    from textloom.operators import repair
+
+    rows = spark.createDataFrame([(1, "Été\nPROMO x\n12"), (2, "ﬁn\nﬁx promo"), (3, None)], "i int, text string")
+    got = repair.without_noise(rows, "text", ("promo",), ("^[0-9]+$",))
+    assert pairs(got, "i", "text") == [(1, "Été"), (2, "ﬁn"), (3, None)]
+    assert "translate(" in got._jdf.queryExecution().optimizedPlan().toString()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.text import let, lines, strip
 
-from .quality import METADATA_LINES, WATERMARKS, fold_marks
+from .quality import METADATA_LINES, WATERMARKS, folded
 from .relational import first_wins
 
 #: Fixed value: the body of a section that no source has.
@@ -77,10 +77,10 @@ def repair_reasons(
 def without_noise(texts: DataFrame, text: str = "text", watermarks: tuple[str, ...] = WATERMARKS, metadata: tuple[str, ...] = METADATA_LINES) -> DataFrame:
     """Texts without promotion and metadata lines.
 
-    Folding is a Python function, so the folded text is a column of its own and
-    lines are compared by place.
+    Folding may need a Python function, so the folded text is a column of its own
+    and lines are compared by place.
     """
-    folded = texts.withColumn("__plain", lines(fold_marks(text))).withColumn("__lines", lines(text))
+    both = texts.withColumn("__plain", lines(folded(text))).withColumn("__lines", lines(text))
 
     def bad(line: Column, i: Column) -> Column:
         hit = F.lit(False)
@@ -90,7 +90,7 @@ def without_noise(texts: DataFrame, text: str = "text", watermarks: tuple[str, .
             hit = hit | F.trim(line).rlike(f"(?iud){p}")
         return F.coalesce(hit, F.lit(False))
 
-    return folded.withColumn(text, F.array_join(F.filter("__lines", lambda x, i: ~bad(x, i)), "\n")).drop("__plain", "__lines")
+    return both.withColumn(text, F.array_join(F.filter("__lines", lambda x, i: ~bad(x, i)), "\n")).drop("__plain", "__lines")
 
 
 def apply_repairs(sections: DataFrame, replacements: DataFrame, expected: DataFrame) -> DataFrame:
