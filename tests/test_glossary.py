@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import glossary, variants
+from textloom.plans import glossary_queries
 
 
 def judged(spark, entries, mode="default", context=None):
@@ -83,3 +84,13 @@ def test_blocked_targets_read_verdicts_and_not_rules(spark):
     src = F.translate(F.col("id").cast("string"), "0123456789", "王李张赵山安平海城主")
     entries = spark.range(40).select(src.alias("src"), F.when(F.col("id") % 2 == 0, "Vương An").otherwise("vương ?").alias("dst"), F.col("id").alias("ord"))
     assert "translate(" not in glossary.blocked_targets(glossary.sanitized(entries))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_entries_are_dealt_out_before_they_are_made(spark, tmp_path):
+    spark.range(1, 41, 1, 1).selectExpr("id AS p_partkey", "int(id) AS p_size", "'Brand#1' AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    assert glossary_queries.entries_of(spark, str(tmp_path)).rdd.getNumPartitions() > 1
+
+
+def test_blocked_targets_are_found_without_a_join(spark):
+    entries = spark.createDataFrame([("abc", "Lý An", 1), ("云海", "Vân Hải", 2), ("ghi", "Vân Hải", 3)], "src string, dst string, ord int")
+    assert "Join" not in glossary.blocked_targets(glossary.sanitized(entries))._jdf.queryExecution().optimizedPlan().toString()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import glossary, variants
+from textloom.shared import dealt_out
 
 from .registry import query, table
 
@@ -48,10 +49,11 @@ READINGS = ("Vương", "Lý", "Trương", "Triệu", "Sơn", "An", "Bình", "H
 
 
 def entries_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts as entries, some of them unsound in one way or another."""
+    """Parts as entries, some of them unsound in one way or another; dealt out first, as a part is few bytes and its entry much work."""
     key, size = F.col("p_partkey").cast("string"), F.col("p_size")
     words = F.transform(F.split(key, ""), lambda c: F.element_at(F.array(*map(F.lit, READINGS)), c.cast("int") + 1))
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand", key.alias("key")).withColumn("ws", words)
+    parts = dealt_out(table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand"), "p_partkey")
+    rows = parts.select("p_partkey", "p_size", "p_brand", key.alias("key")).withColumn("ws", words)
     whole, odd = F.array_join("ws", " "), size % 10
     tail = F.when(F.col("p_partkey") % 11 == 0, "3").when(F.col("p_partkey") % 13 == 0, "x").otherwise("")
     target = (

@@ -24,6 +24,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def dealt_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out to all cores by keys: few bytes that are much work lie in few splits of a file."""
+    return df.repartition(max(2, df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
