@@ -147,3 +147,14 @@ def test_a_provider_is_asked_for_a_bounded_amount_of_text_at_once(spark, monkeyp
     rows = spark.createDataFrame([(0, None), (1, "abcdef"), (2, "abcdef"), (3, "x" * 50), (4, None), (5, "")], "i int, t string").coalesce(1)
     made = {r["i"]: r["out"] for r in stream_queries.provided(rows, sizes, "t", "out").collect()}
     assert made == {0: None, 1: "2 abcdef", 2: "2 abcdef", 3: "1 " + "x" * 50, 4: None, 5: "1 "}
+
+
+def test_a_task_of_a_cascade_has_one_python_worker(spark):
+    rows = spark.createDataFrame([(1, "a #b\n\n c d"), (2, ""), (3, None), (4, "#\n12 #x"), (5, "x\nx")], "i int, t string")
+    hashes = lambda texts: [None if t == "#" else t.replace("#", "") + f"/{len(texts)}" for t in texts]
+    zeros = lambda texts: [t.replace("1", "0") for t in texts]
+    repairs = [(lambda c: c.contains("#"), hashes), (lambda c: c.rlike("[0-9]{2}"), zeros)]
+    out = stream_queries.translated(rows.coalesce(1), ["i"], "t", stream_queries.reversed_words, repairs, most=0)
+    assert "MapInArrow" not in out._jdf.queryExecution().optimizedPlan().toString()
+    # A repair that gives nothing back leaves its chunk, and it was asked for the three chunks with a # only.
+    assert {r["i"]: r["translated"] for r in out.collect()} == {1: "b a/3\nd c", 2: "", 3: "", 4: "#\nx 02/3", 5: "x\nx"}

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from textloom.functions.polish import packed
 from textloom.operators.replay import Limits
-from textloom.shared import shared_dir
+from textloom.shared import materialize, shared_dir
 from textloom.streaming import state, stateful
 from textloom.streaming import usage as streaming
 
@@ -159,12 +159,17 @@ def translated(rows: DataFrame, keys: list[str], text: str, provider: Provider,
 
     ``repairs`` are (what is wrong, provider) in their order; a repair sees only
     the chunks that are wrong by its own test.  A text without lines is empty.
+
+    What a provider has made is written before it is tested, and of a repair only
+    the repaired chunks: a task has one Python worker at a time, however many
+    repairs there are, sound chunks pass none of them, and nothing is asked for twice.
     """
     chunks = rows.select(*keys, F.posexplode_outer(packed(F.split(F.coalesce(text, F.lit("")), "\n"), most)).alias("pos", "chunk"))
-    made = provided(chunks, provider, "chunk", "made")
+    made = materialize(provided(chunks, provider, "chunk", "made").select(*keys, "pos", "made"))
     for wrong, repair in repairs:
-        asked = made.withColumn("asked", F.when(wrong(F.col("made")), F.col("made")))
-        made = provided(asked, repair, "asked", "again").withColumn("made", F.coalesce("again", "made")).select(*keys, "pos", "made")
+        bad = F.coalesce(wrong(F.col("made")), F.lit(False))
+        again = provided(made.where(bad), repair, "made", "again").withColumn("made", F.coalesce("again", "made"))
+        made = made.where(~bad).unionByName(materialize(again.select(*keys, "pos", "made")))
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "made"))), lambda c: c["made"]), "\n")
     return made.groupBy(*keys).agg(whole.alias("translated"))
 
