@@ -451,3 +451,12 @@ def test_noise_lines_fold_texts_of_plain_characters_without_python(spark):
     got = repair.without_noise(rows, "text", ("promo",), ("^[0-9]+$",))
     assert pairs(got, "i", "text") == [(1, "Été"), (2, "ﬁn"), (3, None)]
     assert "translate(" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_completeness_of_odd_rows_without_a_join(spark):
+    expected = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (2, 1), (2, None), (None, 1), (3, 1)], "k int, part int")
+    parts = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1), (2, None), (None, 1), (4, 1)], "k long, part long")
+    out = relational.completeness(expected, parts, ("k",), "part")
+    assert {tuple(r) for r in out.collect()} == {(1, 3, 3, True), (2, 2, 1, False), (None, 1, 0, False), (3, 1, 0, False)}
+    assert out.dtypes == [("k", "int"), ("n_expected", "bigint"), ("n_there", "bigint"), ("complete", "boolean")]
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()

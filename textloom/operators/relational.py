@@ -78,10 +78,20 @@ def modulo_assign(rows: DataFrame, index: str, proxies: Sequence[str], per_proxy
 
 
 def completeness(expected: DataFrame, parts: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
-    """Per key: parts expected, parts there, and whether all are."""
-    joined = expected.join(parts.select(*keys, part).distinct().withColumn("there", F.lit(1)), [*keys, part], "left")
-    counted = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_expected"), F.count("there").alias("n_there"))
-    return counted.withColumn("complete", F.col("n_there") == F.col("n_expected"))
+    """Per key: parts expected, parts there, and whether all are.
+
+    Both sides are dealt out together before anything is kept of them, to as many
+    tasks as shuffles have: a split of a table, or partitions put together for
+    their few compressed bytes, would be millions of parts in the memory of one task.
+    """
+    names = [*keys, part]
+    known = parts.select(*names).dropna(subset=names)  # a part without a key or a number is nobody's
+    both = expected.select(*names, F.lit(1).alias("due"), F.lit(0).alias("there")).unionByName(known.withColumns({"due": F.lit(0), "there": F.lit(1)}))
+    dealt = both.repartition(int(expected.sparkSession.conf.get("spark.sql.shuffle.partitions")), *names)
+    met = dealt.groupBy(*names).agg(F.sum("due").alias("due"), F.max("there").alias("there")).where("due > 0")
+    counted = met.groupBy(*keys).agg(F.sum("due").alias("n_expected"), F.sum(F.col("due") * F.col("there")).alias("n_there"))
+    typed = [F.col(k).cast(expected.schema[k].dataType).alias(k) for k in keys]
+    return counted.select(*typed, "n_expected", "n_there", (F.col("n_there") == F.col("n_expected")).alias("complete"))
 
 
 def rebuilt(expected: DataFrame, parts: DataFrame, keys: Sequence[str], part: str, text: str, require_complete: bool = True) -> DataFrame:
