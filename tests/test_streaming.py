@@ -130,6 +130,28 @@ def test_state_of_admission_goes_with_the_watermark(spark, tmp_path):
     assert held[-1] == 0 and max(held) < 300, held
 
 
+def test_many_keys_are_held_in_few_entries_of_state(spark, tmp_path):
+    """Entries of state, each some round trips to the JVM, follow the buckets and not the keys; keys of a bucket stay apart."""
+    rng = random.Random(5)
+    rows = []
+    for day in range(2):
+        for i in range(1500):
+            key = (f"k{rng.randrange(20)}", rng.choice(["m", "n", None]))
+            rows.append((day, *key, day * 2000 + i, datetime(2024, 1, 1) + timedelta(hours=20 * day, seconds=rng.randrange(7200)), rng.randrange(60)))
+    frame = spark.createDataFrame([*rows, (2, None, None, None, datetime(2024, 1, 5), None)], "d int, key string, model string, id long, at timestamp, tokens long")
+    for day in range(3):
+        frame.where(f"d = {day}").drop("d").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(0.02)
+    stream = spark.readStream.schema(frame.drop("d").schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    limits = replay.Limits(rpm=2, tpm=90, rpd=30)
+    found, held = run_with_progress(spark, stateful.admission(stream, ["key", "model"], limits, "at", "id", "tokens", buckets=2), str(tmp_path))
+    calls = spark.createDataFrame([(k, m, i, at.timestamp(), n) for _, k, m, i, at, n in rows], "key string, model string, id long, ts double, tokens long")
+    batch = {(r["key"], r["model"], r["id"], r["admitted"], r["reasons"]) for r in replay.admission(calls, ["key", "model"], limits).collect()}
+    assert len(found) == 3000 and {tuple(r) for r in found} == batch
+    assert {"rpm", "tpm", "rpd"} <= {x for r in batch for x in r[4].split(",")}
+    assert held[-1] == 0 and 0 < max(held) <= 8, held  # waiting and granted lists of two buckets; 98 when every key had its own
+
+
 def test_a_day_of_idling_frees_a_key(spark, tmp_path):
     """What is left of a key's usage after a day is nothing, also without further events of the key."""
     frame = spark.createDataFrame([("a", 1, datetime(2024, 1, 1, 1), 5), (None, None, datetime(2024, 1, 1, 2), None)], "key string, id long, at timestamp, tokens long")
