@@ -427,6 +427,41 @@ def test_conspicuous_targets_look_at_the_words_beside_them_only_behind_a_blank(s
     assert r"CASE WHEN RLIKE" in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_few_entries_tell_each_text_without_dealing_anything_out(spark):
+    texts = spark.createDataFrame([(1, "x", "ab Otto ab"), (2, "q", "ab ab"), (3, "x", "abc")], "i int, source string, text string")
+    entries = spark.createDataFrame([("q", "ab"), ("r", "abc")], "src string, dst string")
+    for anywhere in (True, False):
+        found = licences.unlicensed_targets(texts, entries, ["i"], "source", "text", anywhere=anywhere, conspicuous=True)
+        assert pairs(found, "i", "target", "n") == [(1, "ab", 2)]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(x in plan for x in ("Join", "Aggregate", "Window"))
+
+
+@pytest.mark.parametrize(
+    "anywhere, whole_words, conspicuous, listed", [(True, False, True, False), (False, False, False, False), (True, True, False, True), (False, True, True, True)]
+)
+def test_texts_told_by_themselves_are_those_told_by_joins(spark, monkeypatch, anywhere, whole_words, conspicuous, listed):
+    """Nested, overlapping and bridged targets, several for a source, beside blanks and words; texts that share their keys."""
+    rng = random.Random(11)
+    words = ["An", "Bình", "an", "Đông", "Hải", "x", "𝄞a", "sông", "9", "An Bình", "Hải An", "Bình Đông", "Đông Hải Xanh", "anan", "na", "n"]
+    entries = [(rng.choice("甲乙丙丁戊己") * rng.choice([1, 1, 2]), w) for w in words for _ in range(2)] + [(" ", "An"), ("甲", None), ("", "x")]
+    gaps = ["", " ", " ", "\t", "\n ", "  ", "\u00a0", ".", "\x0b", "_"]
+    rows = [(k // 2, k, "".join(rng.choices("甲乙丙丁戊己x", k=rng.randrange(5))), "".join(rng.choice(words) + rng.choice(gaps) for _ in range(rng.randrange(12)))) for k in range(60)]
+    rows += [(20, 41, "甲", "An Bình An"), (20, 41, "x", "anan An Bình Đông"), (70, 1, None, "An"), (71, 1, "甲", None)]
+    texts = spark.createDataFrame(rows, "i int, j int, s string, t string")
+    given = spark.createDataFrame(entries, "src string, dst string")
+    targets = spark.createDataFrame([("An",), (" an ",), ("Bình Đông",), ("",), ("Xanh",)], "dst string") if listed else None
+
+    def run(rows):
+        found = licences.unlicensed_targets(rows, given, ["i", "j"], "s", "t", targets, anywhere, whole_words, conspicuous)
+        assert found.dtypes == [("i", "int"), ("j", "int"), ("target", "string"), ("n", "bigint")]
+        return sorted(map(str, found.collect()))
+
+    told = run(texts)
+    monkeypatch.setattr(terms, "MOST_TERMS", 0)
+    assert told and told == run(texts)
+
+
 def test_pages_are_parsed_piece_by_piece(monkeypatch):
     import pyarrow as pa
 

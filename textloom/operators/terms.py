@@ -114,6 +114,28 @@ def _term_places(terms: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], I
     return run
 
 
+def _held_numbers(terms: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The numbers of the terms that each text (last column) holds, once each, in place of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = ahocorasick.Automaton()
+        for k, t in enumerate(terms):
+            matcher.add_word(t, k)
+        matcher.make_automaton()
+        for batch in batches:
+            held = [sorted({k for _, k in matcher.iter(t.as_py())} if len(matcher) else ()) for t in batch.column(batch.num_columns - 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(held, pa.list_(pa.int32()))], names=[*batch.schema.names[:-1], "__held"])
+
+    return run
+
+
+def held_numbers(texts: DataFrame, terms: Sequence[str], text: str) -> DataFrame:
+    """``texts`` with ``__held`` in place of a text: the numbers of the few terms that it holds, none of them empty."""
+    rest = texts.drop(text)
+    schema = T.StructType([*rest.schema.fields, T.StructField("__held", T.ArrayType(T.IntegerType()))])
+    return texts.select(*rest.columns, text).mapInArrow(_held_numbers(terms), schema)
+
+
 def few_terms(terms: DataFrame, term: str) -> list[str] | None:
     """The different terms, if they may travel with the tasks; else null."""
     distinct = terms.select(term).where(F.col(term).isNotNull()).distinct()
